@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlekit.functions import symbol
 from candlekit.schema import TICKERS_SCHEMA
 from candlekit.session import stage
 
@@ -60,7 +59,7 @@ def new_dimension_rows(dimension: DataFrame, symbols: DataFrame) -> DataFrame:
     """
     described = [name for name in ("name", "exchange") if name in symbols.columns]
     wanted = (
-        symbols.select(symbol(F.col("symbol")).alias("symbol"), *described)
+        symbols.select("symbol", *described)
         .filter("symbol is not null")
         .groupBy("symbol")
         .agg(*[F.max(name).alias(name) for name in described] or [F.count("*").alias("_rows")])

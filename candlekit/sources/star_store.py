@@ -30,9 +30,9 @@ def star_view(prices: DataFrame, tickers: DataFrame) -> DataFrame:
 
 
 def with_ticker_ids(bars: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Price rows: bars with the id in place of the symbol."""
+    """Price rows: bars with the id in place of the symbol (null if unknown)."""
     ids = tickers.select("ticker_id", F.col("symbol").alias("ticker"))
-    return bars.join(ids, "ticker").select(*PRICES_SCHEMA.fieldNames())
+    return bars.join(ids, "ticker", "left").select(*PRICES_SCHEMA.fieldNames())
 
 
 class StarStore:
@@ -82,30 +82,30 @@ class StarStore:
         """Id of a symbol, which is added if need be."""
         row = self.spark.createDataFrame([(symbol, name, exchange)], "symbol STRING, name STRING, exchange STRING")
         self.add_tickers(row)
-        return self.ticker_id(symbol.strip().upper())
+        return self.ticker_id(symbol)
 
     def upsert(
         self,
         bars: DataFrame,
         metadata: DataFrame | None = None,
         order: str | None = None,
-        unique: bool = False,
+        validated: bool = False,
     ) -> int:
         """Insert or replace by (ticker, timestamp); returns the rows written.
 
         Unknown tickers are added, with name and exchange from `metadata`
-        (symbol, name, exchange) if given. `unique` tells that no key repeats
-        within `bars`, as after validation.
+        (symbol, name, exchange) if given. `order` and `validated` are as for
+        the wide store.
         """
         batch = with_native_timestamp(bars)
-        if not unique:
+        if not validated:
             batch = last_write(batch, KEY_COLUMNS, order)
         symbols = batch.select(F.col("ticker").alias("symbol")).distinct()
         if metadata is not None:
             symbols = symbols.join(metadata.select("symbol", "name", "exchange"), "symbol", "left")
         self.add_tickers(symbols)
         rows = with_ticker_ids(batch, self.tickers()).withColumn("month", month_of(F.col("timestamp")))
-        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY)
+        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY, validated)
 
     def audit(self) -> DataFrame:
         return audit_star(self.prices(), self.tickers())

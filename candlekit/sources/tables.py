@@ -5,12 +5,17 @@ upsert can be run again; if it failed while partitions were being replaced,
 their complete new content is still in the staging folder.
 """
 
+from contextlib import nullcontext
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlekit.operators.prices import moment
 from candlekit.operators.upsert import merge
+from candlekit.schema import ValidationError
 from candlekit.session import staged
 
 # Most partition values that are passed to a scan as literals. Above it, the
@@ -54,35 +59,44 @@ def upsert_table(
     time: str,
     partition: str,
     sort: list[str],
+    stable: bool = False,
 ) -> int:
     """Insert or replace rows by key; returns the number of rows written.
 
-    `batch` must be unique in `keys`. Partitions without a key in common with the
-    batch only get new files, so loading new days never rewrites old ones.
+    `batch` must be unique in `keys`. It is read several times and therefore
+    staged, unless `stable` tells that it comes from a stored table that this
+    upsert does not change. Partitions without a key in common with the batch
+    only get new files, so loading new days never rewrites old ones.
     """
-    with staged(batch, "batch") as batch:
-        span = batch.agg(F.count("*").alias("rows"), F.min(time).alias("first"), F.max(time).alias("last")).first()
+    with nullcontext(batch) if stable else staged(batch, "batch") as batch:
+        no_key = [F.col(name).isNull() for name in keys]
+        span = batch.agg(
+            F.count("*").alias("rows"),
+            F.count_if(reduce(Column.__or__, no_key)).alias("without_key"),
+            F.min(time).alias("first"),
+            F.max(time).alias("last"),
+        ).first()
+        if span["without_key"]:
+            raise ValidationError(f"Found {span['without_key']} records without a ticker or timestamp")
         if not span["rows"]:
             return 0
-        existing = read_table(spark, path, batch.schema)
-        nearby = existing.filter(F.col(time).between(F.lit(span["first"]), F.lit(span["last"])))
-        collisions = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
 
-        with staged(collisions, "collisions") as collisions:
-            values = [row[0] for row in collisions.limit(LITERAL_PARTITIONS + 1).collect()]
+        existing = read_table(spark, path, batch.schema)
+        nearby = existing.filter(F.col(time).between(moment(span["first"]), moment(span["last"])))
+        hits = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
+        with staged(hits, "hits") as hits:
+            values = [row[0] for row in hits.limit(LITERAL_PARTITIONS + 1).collect()]
             if not values:
                 write_table(batch, path, partition, sort)
                 return span["rows"]
 
-            few = len(values) <= LITERAL_PARTITIONS
-
             def hit(df: DataFrame) -> DataFrame:
-                if few:
+                if len(values) <= LITERAL_PARTITIONS:
                     return df.filter(F.col(partition).isin(values))
-                return df.join(collisions, partition, "left_semi").select(*df.columns)
+                return df.join(hits, partition, "left_semi").select(*df.columns)
 
+            fresh = batch.join(hits, partition, "left_anti").select(*batch.columns)
             with staged(merge(hit(existing), hit(batch), keys), "merged") as merged:
                 write_table(merged, path, partition, sort, replace=True)
-            fresh = batch.join(collisions, partition, "left_anti").select(*batch.columns)
-            write_table(fresh, path, partition, sort)
+                write_table(fresh, path, partition, sort)
         return span["rows"]

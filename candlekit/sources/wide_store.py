@@ -51,18 +51,20 @@ class WideStore:
                 ready.write.mode("overwrite").parquet(self.path)
         return self.path
 
-    def upsert(self, bars: DataFrame, order: str | None = None, unique: bool = False) -> int:
+    def upsert(self, bars: DataFrame, order: str | None = None, validated: bool = False) -> int:
         """Insert or replace by (ticker, timestamp); returns the rows written.
 
-        `unique` tells that no key repeats within `bars`, as after validation.
+        Of several rows with one key the one with the largest `order` value is
+        kept. `validated` tells that `bars` come from `load_bars_csv`: their keys
+        are unique and they are stored already.
         """
         if not self.partitioned:
             raise ValueError("upsert needs a store partitioned by ticker")
         batch = with_native_timestamp(bars)
-        if not unique:
+        if not validated:
             batch = last_write(batch, KEY_COLUMNS, order)
         batch = batch.select(*self.schema.fieldNames())
-        return upsert_table(self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"])
+        return upsert_table(self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"], validated)
 
     def verify_integrity(self) -> StoreIntegrity:
         return check_store(self.spark, self.path, self.partitioned)
