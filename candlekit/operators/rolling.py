@@ -31,23 +31,22 @@ AUTO = "auto"
 def slot_seconds(bars: DataFrame, reach: int, task_bars: int = TASK_BARS) -> int | None:
     """Slot width for the longest ticker, or None if no ticker needs slots.
 
-    Runs one aggregation over two columns that returns a single row.
+    Counts bars per ticker first, which for a store partitioned by ticker reads
+    file footers only. Both aggregations return a single row.
     """
+    longest = bars.groupBy("ticker").agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0]
+    if longest is None or longest <= task_bars:
+        return None
     per_ticker = bars.groupBy("ticker").agg(
         F.count("*").alias("rows"),
         F.min("timestamp").alias("first"),
         F.max("timestamp").alias("last"),
     )
     span = seconds_since_epoch(F.col("last")) - seconds_since_epoch(F.col("first")) + 1
-    longest = per_ticker.agg(
-        F.max("rows").alias("rows"),
-        F.min(F.when(F.col("rows") > task_bars, span / F.col("rows"))).alias("seconds_per_bar"),
-    ).first()
-    if longest["seconds_per_bar"] is None:
-        return None
+    densest = per_ticker.filter(F.col("rows") > task_bars).agg(F.min(span / F.col("rows"))).first()[0]
     # Wider slots leave fewer edges: keep both levels of the split about equal.
-    bars_per_slot = max(task_bars, math.isqrt(2 * reach * longest["rows"]))
-    return max(1, int(longest["seconds_per_bar"] * bars_per_slot))
+    bars_per_slot = max(task_bars, math.isqrt(2 * reach * longest))
+    return max(1, int(densest * bars_per_slot))
 
 
 def _series(*partition: str) -> WindowSpec:

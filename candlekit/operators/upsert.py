@@ -13,11 +13,10 @@ def last_write(batch: DataFrame, keys: list[str], order: str | None = None) -> D
     Without an order column the rows of a DataFrame have no first and last; the
     largest row is taken then, so that a rerun gives the same result.
     """
-    values = [name for name in batch.columns if name not in keys]
-    row = F.struct(*([order] if order else []), *values)
-    return batch.groupBy(*keys).agg(F.max(row).alias("row")).select(*[
-        F.col(name) if name in keys else F.col(f"row.{name}").alias(name) for name in batch.columns
-    ])
+    values = F.struct(*[name for name in batch.columns if name not in keys]).alias("values")
+    row = F.struct(F.col(order).alias("order"), values) if order else F.struct(values)
+    kept = batch.groupBy(*keys).agg(F.max(row).alias("row")).select(*keys, "row.values.*")
+    return kept.select(*batch.columns)
 
 
 def merge(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlekit.functions import symbol
+from candlekit.operators.upsert import number_rows
 from candlekit.schema import BAR_COLUMNS
 
 
@@ -79,3 +80,34 @@ def supplier_bars(spark: SparkSession, folder: str) -> DataFrame:
         )
         .select(*BAR_COLUMNS)
     )
+
+
+def event_tickers(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticker metadata of the event bars: ticker_id, symbol, name, exchange."""
+    names = _table(spark, folder, "events").select(symbol(F.col("event_type")).alias("symbol")).distinct()
+    described = names.select("symbol", F.concat("symbol", F.lit(" events")).alias("name"), F.lit("EVENTS").alias("exchange"))
+    return number_rows(described, "symbol", "ticker_id", 1).select("ticker_id", "symbol", "name", "exchange")
+
+
+def defective_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a bar in text form, with one kind of defect per price band.
+
+    Times are cut to the hour, so the events of an hour are duplicates.
+    """
+    value = F.col("value")
+
+    def band(low: int, high: int, defect, otherwise):
+        return F.when((value >= low) & (value < high), defect).otherwise(otherwise)
+
+    text = value.cast("string")
+    at = F.concat(F.col("ts").cast("string").substr(1, 13), F.lit(":00:00"))
+    volume = F.concat(F.col("event_id").cast("string"), F.lit(".7"))
+    return _table(spark, folder, "events").select(
+        band(8, 9, F.lit("  "), F.concat(F.lit(" "), "event_type")).alias("ticker"),
+        F.when(value < 1, "invalid_date").when(value < 2, None).otherwise(at).alias("timestamp"),
+        band(2, 3, F.lit("abc"), text).alias("open"),
+        band(3, 4, F.concat(F.lit("-"), text), text).alias("high"),
+        band(4, 5, F.lit("NaN"), text).alias("low"),
+        band(5, 6, F.lit("inf"), text).alias("close"),
+        band(6, 7, F.lit("many"), band(7, 8, F.lit("-5"), volume)).alias("volume"),
+    )

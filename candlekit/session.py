@@ -48,16 +48,17 @@ def build_session(
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only a local-mode session may fall back to a folder of this machine.
+    Where it is unset, a checkpoint folder set on the context is taken; only a
+    local-mode session may fall back to a folder of this machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="candlekit-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="candlekit-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

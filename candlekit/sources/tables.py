@@ -27,7 +27,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     """The table at `path`, or an empty one. The schema is always given, since
     inference would turn a partition value such as 007 into a number."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        # A scan puts partition columns last; keep the given order.
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
