@@ -14,8 +14,11 @@ MISSING_TEXTS = ["", "NA", "N/A", "n/a", "NaN", "nan", "NULL", "null", "None", "
 # The number syntax accepted in a CSV field. A bare try_cast also
 # takes Java-only forms such as "1.5d" or "0x1p3".
 DECIMAL_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 INFINITY_PATTERN = r"^\s*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
 
+DEFAULT_PATTERN = "yyyy-MM-dd HH:mm:ss"
+
 LONG_LIMIT = float(2**63)
 
 
@@ -38,14 +41,13 @@ def number(column: Column) -> Column:
 def whole_number(column: Column) -> Column:
     """Text to bigint, cutting off any fraction; null when it does not fit.
 
-    Integers are read directly so that large ones keep every digit.
+    Integers are read directly so that large ones keep every digit. The pattern
+    comes first because a failing cast is slow.
     """
+    text = column.cast("string")
     as_double = number(column)
     fits = (as_double >= -LONG_LIMIT) & (as_double < LONG_LIMIT)
-    return F.coalesce(
-        column.cast("string").try_cast("bigint"),
-        F.when(fits, as_double).try_cast("bigint"),
-    )
+    return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint")).when(fits, as_double.cast("bigint"))
 
 
 def _wall_clock(instant: Column) -> Column:
@@ -55,13 +57,16 @@ def _wall_clock(instant: Column) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-def parse_timestamp(column: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+def parse_timestamp(column: Column, pattern: str = DEFAULT_PATTERN) -> Column:
     """Text to TIMESTAMP_NTZ: the given pattern first, ISO-like forms after it.
 
-    The text is read as UTC and turned back into a UTC wall-clock time, which
-    keeps it as written whatever the session zone is.
+    The default pattern is one of the ISO-like forms. Any other is read as UTC
+    and turned back into a UTC wall-clock time, which keeps the time as written
+    whatever the session zone is.
     """
     text = F.trim(column.cast("string"))
+    if pattern == DEFAULT_PATTERN:
+        return text.try_cast("timestamp_ntz")
     with_zone = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(pattern + " X"))
     return F.coalesce(_wall_clock(with_zone), text.try_cast("timestamp_ntz"))
 

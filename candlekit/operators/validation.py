@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlekit.functions import number, parse_timestamp, symbol, whole_number
-from candlekit.functions.expressions import is_missing
+from candlekit.functions.expressions import DEFAULT_PATTERN, is_missing
 from candlekit.schema import BAR_COLUMNS, KEY_COLUMNS, PRICE_COLUMNS, ValidationError
 
-DEFAULT_PATTERN = "yyyy-MM-dd HH:mm:ss"
 MIN_PRICE = 0.0
 MAX_PRICE = 1_000_000.0
 

@@ -18,7 +18,7 @@ def session_settings(input_bytes: int | None = None, cores: int | None = None) -
     join partitions are split at run time.
     """
     partitions = max(cores or 1, -(-(input_bytes or 0) // (128 * MIB)))
-    return {
+    settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,6 +28,10 @@ def session_settings(input_bytes: int | None = None, cores: int | None = None) -
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }
+    if cores:
+        # More listing tasks than a few per core only cost scheduling time.
+        settings["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(4 * cores)
+    return settings
 
 
 def build_session(

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlekit.functions import symbol, whole_number
+from candlekit.functions.expressions import DEFAULT_PATTERN
 from candlekit.operators.validation import (
-    DEFAULT_PATTERN,
     MALFORMED,
     MAX_PRICE,
     MIN_PRICE,

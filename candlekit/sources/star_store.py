@@ -12,6 +12,7 @@ from candlekit.operators.integrity import audit_star
 from candlekit.operators.prices import Moment, moment
 from candlekit.operators.upsert import last_write, new_dimension_rows
 from candlekit.schema import BAR_COLUMNS, KEY_COLUMNS, PRICES_SCHEMA, TICKERS_SCHEMA
+from candlekit.session import staged
 from candlekit.sources.tables import read_table, upsert_table
 from candlekit.sources.wide_store import with_native_timestamp
 
@@ -98,14 +99,18 @@ class StarStore:
         the wide store.
         """
         batch = with_native_timestamp(bars)
-        if not validated:
-            batch = last_write(batch, KEY_COLUMNS, order)
+        if validated:
+            return self._upsert(batch, metadata)
+        with staged(last_write(batch, KEY_COLUMNS, order), "batch") as batch:
+            return self._upsert(batch, metadata)
+
+    def _upsert(self, batch: DataFrame, metadata: DataFrame | None) -> int:
         symbols = batch.select(F.col("ticker").alias("symbol")).distinct()
         if metadata is not None:
             symbols = symbols.join(metadata.select("symbol", "name", "exchange"), "symbol", "left")
         self.add_tickers(symbols)
         rows = with_ticker_ids(batch, self.tickers()).withColumn("month", month_of(F.col("timestamp")))
-        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY, validated)
+        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY)
 
     def audit(self) -> DataFrame:
         return audit_star(self.prices(), self.tickers())

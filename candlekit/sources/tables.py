@@ -5,7 +5,6 @@ upsert can be run again; if it failed while partitions were being replaced,
 their complete new content is still in the staging folder.
 """
 
-from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -23,12 +22,16 @@ from candlekit.session import staged
 LITERAL_PARTITIONS = 10_000
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The table at `path`, or an empty one. The schema is always given, since
-    inference would turn a partition value such as 007 into a number."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, folder: str | None = None) -> DataFrame:
+    """The table at `path`, or only one partition folder of it; empty if absent.
+
+    The schema is always given, since inference would turn a partition value
+    such as 007 into a number.
+    """
+    reader = spark.read.schema(schema).option("basePath", path)
     try:
         # A scan puts partition columns last; keep the given order.
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        return reader.parquet(f"{path}/{folder}" if folder else path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -60,44 +63,42 @@ def upsert_table(
     time: str,
     partition: str,
     sort: list[str],
-    stable: bool = False,
 ) -> int:
     """Insert or replace rows by key; returns the number of rows written.
 
-    `batch` must be unique in `keys`. It is read several times and therefore
-    staged, unless `stable` tells that it comes from a stored table that this
-    upsert does not change. Partitions without a key in common with the batch
-    only get new files, so loading new days never rewrites old ones.
+    `batch` must be unique in `keys` and cheap to read several times, that is
+    come from a stored table other than this one. Partitions without a key in
+    common with the batch only get new files, so loading new days never rewrites
+    old ones.
     """
-    with nullcontext(batch) if stable else staged(batch, "batch") as batch:
-        no_key = [F.col(name).isNull() for name in keys]
-        span = batch.agg(
-            F.count("*").alias("rows"),
-            F.count_if(reduce(Column.__or__, no_key)).alias("without_key"),
-            F.min(time).alias("first"),
-            F.max(time).alias("last"),
-        ).first()
-        if span["without_key"]:
-            raise ValidationError(f"Found {span['without_key']} records without a ticker or timestamp")
-        if not span["rows"]:
-            return 0
-
-        existing = read_table(spark, path, batch.schema)
-        nearby = existing.filter(F.col(time).between(moment(span["first"]), moment(span["last"])))
-        hits = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
-        with staged(hits, "hits") as hits:
-            values = [row[0] for row in hits.limit(LITERAL_PARTITIONS + 1).collect()]
-            if not values:
-                write_table(batch, path, partition, sort)
-                return span["rows"]
-
-            def hit(df: DataFrame) -> DataFrame:
-                if len(values) <= LITERAL_PARTITIONS:
-                    return df.filter(F.col(partition).isin(values))
-                return df.join(hits, partition, "left_semi").select(*df.columns)
-
-            fresh = batch.join(hits, partition, "left_anti").select(*batch.columns)
-            with staged(merge(hit(existing), hit(batch), keys), "merged") as merged:
-                write_table(merged, path, partition, sort, replace=True)
-                write_table(fresh, path, partition, sort)
-        return span["rows"]
+    no_key = [F.col(name).isNull() for name in keys]
+    span = batch.agg(
+        F.count("*").alias("rows"),
+        F.count_if(reduce(Column.__or__, no_key)).alias("without_key"),
+        F.min(time).alias("first"),
+        F.max(time).alias("last"),
+    ).first()
+    if span["without_key"]:
+        raise ValidationError(f"Found {span['without_key']} records without a ticker or timestamp")
+    if not span["rows"]:
+        return 0
+
+    existing = read_table(spark, path, batch.schema)
+    nearby = existing.filter(F.col(time).between(moment(span["first"]), moment(span["last"])))
+    hits = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
+    with staged(hits, "hits") as hits:
+        values = [row[0] for row in hits.limit(LITERAL_PARTITIONS + 1).collect()]
+        if not values:
+            write_table(batch, path, partition, sort)
+            return span["rows"]
+
+        def hit(df: DataFrame) -> DataFrame:
+            if len(values) <= LITERAL_PARTITIONS:
+                return df.filter(F.col(partition).isin(values))
+            return df.join(hits, partition, "left_semi").select(*df.columns)
+
+        fresh = batch.join(hits, partition, "left_anti").select(*batch.columns)
+        with staged(merge(hit(existing), hit(batch), keys), "merged") as merged:
+            write_table(merged, path, partition, sort, replace=True)
+            write_table(fresh, path, partition, sort)
+    return span["rows"]

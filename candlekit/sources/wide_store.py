@@ -1,5 +1,7 @@
 """Bars as one wide Parquet table, partitioned by ticker or not at all."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,9 @@ from candlekit.schema import BARS_SCHEMA, KEY_COLUMNS
 from candlekit.session import staged
 from candlekit.sources.tables import read_table, upsert_table, write_table
 
+# Symbols whose partition folder has the same name.
+PLAIN_SYMBOL = r"[A-Za-z0-9._-]+"
+
 
 def with_native_timestamp(bars: DataFrame) -> DataFrame:
     """Bars whose timestamp column is TIMESTAMP_NTZ; text is parsed."""
@@ -36,12 +41,23 @@ class WideStore:
         self.schema = T.StructType(fields)
 
     def bars(self, ticker: str | None = None) -> DataFrame:
-        """All bars, or those of one ticker (only its partition is read)."""
-        return for_ticker(read_table(self.spark, self.path, self.schema), ticker)
+        """All bars, or those of one ticker.
+
+        For one ticker only its folder is listed and read. A symbol that Spark
+        escapes in folder names is found by pruning the partitions instead.
+        """
+        folder = None
+        if self.partitioned and ticker is not None and re.fullmatch(PLAIN_SYMBOL, ticker):
+            folder = f"ticker={ticker}"
+        return for_ticker(read_table(self.spark, self.path, self.schema, folder), ticker)
 
     def save(self, bars: DataFrame) -> str:
         """Partitioned: add `bars` as new files, so saving twice doubles the rows.
-        Unpartitioned: replace the table. Returns the path."""
+        Unpartitioned: replace the table. Returns the path.
+
+        Writing partitions evaluates `bars` twice, the first time to sample the
+        ranges; a costly query is better staged first.
+        """
         bars = with_native_timestamp(bars)
         if self.partitioned:
             write_table(bars, self.path, "ticker", ["timestamp"])
@@ -61,10 +77,14 @@ class WideStore:
         if not self.partitioned:
             raise ValueError("upsert needs a store partitioned by ticker")
         batch = with_native_timestamp(bars)
-        if not validated:
-            batch = last_write(batch, KEY_COLUMNS, order)
+        if validated:
+            return self._upsert(batch)
+        with staged(last_write(batch, KEY_COLUMNS, order), "batch") as batch:
+            return self._upsert(batch)
+
+    def _upsert(self, batch: DataFrame) -> int:
         batch = batch.select(*self.schema.fieldNames())
-        return upsert_table(self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"], validated)
+        return upsert_table(self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"])
 
     def verify_integrity(self) -> StoreIntegrity:
         return check_store(self.spark, self.path, self.partitioned)
