@@ -16,6 +16,9 @@ def spark(tmp_path_factory):
         master="local[4]",
         cores=4,
         **{
+            # Many short queries: skip the slow compiler stages.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",

@@ -59,13 +59,27 @@ DEFECTS = {
     "text volume": (dict(volume="many"), "Found 1 invalid volume values"),
     "infinite volume": (dict(volume="inf"), "Found 1 invalid volume values"),
     "blank ticker": (dict(ticker="  "), "Found 1 records without a ticker"),
-    "too many fields": (dict(volume="10,11"), "Failed to read CSV file: 1 rows"),
 }
 
 
 @pytest.mark.parametrize("defect", DEFECTS)
-def test_one_defect(spark, csv, defect):
+def test_one_defect(spark, defect):
     changes, message = DEFECTS[defect]
+    rows = [tuple(text or None for text in row.split(",")) for row in (one_row(**changes), ROWS[2])]
+    raw = spark.createDataFrame(rows, ", ".join(f"{name} string" for name in HEADER.strip().split(",")))
+    with pytest.raises(ValidationError, match=message):
+        validation.require_valid(validation.coerce(raw))
+
+
+@pytest.mark.parametrize(
+    "changes, message",
+    [
+        (dict(volume="10,11"), "Failed to read CSV file: 1 rows"),
+        (dict(timestamp=""), "Found 1 records with invalid timestamps"),
+        (dict(open="-185.5"), "Found 1 open prices out of valid range"),
+    ],
+)
+def test_defect_in_a_file(spark, csv, changes, message):
     with pytest.raises(ValidationError, match=message):
         load_bars_csv(spark, csv([one_row(**changes), ROWS[2]]))
 

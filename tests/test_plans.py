@@ -1,0 +1,99 @@
+"""What Spark plans for the queries: pruning, shuffles, no Python, no cross join."""
+
+import contextlib
+import io
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as registry
+from candlekit import QueryEngine, StarStore, WideStore
+from candlekit.operators import prices, rolling
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
+
+
+def nodes(df, name):
+    """Number of operators of a kind in the first plan tree of the explanation."""
+    tree = plan(df).split("\n\n")[0]
+    return len(re.findall(rf"^\W*(?:\* )?{name} \(\d+\)", tree, re.MULTILINE))
+
+
+@pytest.fixture(scope="module")
+def engine(spark, main_bars, tmp_path_factory):
+    root = tmp_path_factory.mktemp("stores")
+    engine = QueryEngine(StarStore(spark, str(root / "star")), WideStore(spark, str(root / "wide")))
+    engine.star.upsert(main_bars)
+    engine.wide.save(main_bars)
+    return engine
+
+
+def test_wide_range_prunes_partitions_and_pushes_the_time_filter(engine):
+    text = plan(engine.get_price_range("AAPL", "2024-01-02", "2024-01-03", "wide"))
+    assert re.search(r"PartitionFilters: .*ticker#\d+ = AAPL", text)
+    assert "GreaterThanOrEqual(timestamp" in text and "LessThanOrEqual(timestamp" in text
+
+
+def test_one_ticker_reads_one_folder(engine):
+    files = engine.wide.bars("AAPL").inputFiles()
+    assert files and all("/ticker=AAPL/" in file for file in files)
+
+
+def test_star_range_prunes_months_and_needs_no_join(engine):
+    text = plan(engine.get_price_range("AAPL", "2024-01-02", "2024-01-03", "star"))
+    assert re.search(r"PartitionFilters: .*month#\d+ >= 2024-01-01", text)
+    assert "EqualTo(ticker_id,1)" in text and "GreaterThanOrEqual(timestamp" in text
+    assert "Join" not in text
+
+
+def test_only_needed_columns_are_read(engine):
+    wide = plan(prices.avg_volume(engine.wide.bars("AAPL"), "AAPL"))
+    assert "ReadSchema: struct<volume:bigint>" in wide
+    volatility = plan(rolling.volatility(engine.wide.bars(), slot=None))
+    assert "ReadSchema: struct<timestamp:timestamp_ntz,close:double>" in volatility
+
+
+def test_small_dimension_is_broadcast(engine):
+    assert nodes(engine.star.bars(), "BroadcastHashJoin Inner BuildRight") == 1
+
+
+def test_volatility_shuffles_once(engine):
+    df = rolling.volatility(engine.wide.bars(), slot=None)
+    assert nodes(df, "Exchange") == 1
+    assert nodes(df, "Sort") == 1
+
+
+def test_split_volatility_shuffles_all_rows_once(spark, engine):
+    df = rolling.volatility(engine.wide.bars(), slot=3600)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    # All rows by (ticker, slot), reused, and the edges by ticker.
+    assert len(re.findall(r"\bReusedExchange \(", final)) == 1
+    assert len(re.findall(r"[ -]Exchange \(", final)) == 2
+
+
+def test_top_tickers_need_no_sort_of_bars(engine):
+    df = engine.get_top_tickers_by_return("2024-01-01", "2024-12-31", 3, "wide")
+    assert nodes(df, "TakeOrderedAndProject") == 1
+    assert nodes(df, "Sort") == 0
+    assert nodes(df, "HashAggregate") == 2
+    assert nodes(df, "Exchange") == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_no_python_and_no_cross_join_in_query_plans(spark):
+    builders = registry.queries()
+    names = [name for name, build in builders.items() if build.__name__ == "<lambda>"]
+    names += ["validation_report", "normalized_bars", "duplicate_bars", "missing_tickers", "merged_bars", "star_audit"]
+    for name in names:
+        text = plan(builders[name](spark, FOLDER))
+        for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate"):
+            assert node not in text, f"{node} in {name}"

@@ -63,8 +63,7 @@ def uneven():
     return {"LONG": points, **short}
 
 
-@pytest.mark.parametrize("slot", [None, 1, 60, 86400, 10**9])
-@pytest.mark.parametrize("window", [2, 5])
+@pytest.mark.parametrize("window, slot", [(5, None), (5, 1), (5, 60), (5, 86400), (5, 10**9), (2, 3600), (20, 86400)])
 def test_any_slot_gives_the_same_values(spark, uneven, window, slot):
     check(bars_of(spark, uneven), uneven, window, slot)
 
@@ -86,8 +85,7 @@ def test_automatic_split(spark, uneven, monkeypatch):
     check(bars, uneven, 5, rolling.AUTO)
 
 
-@pytest.mark.parametrize("window", [1, 3, 5])
-@pytest.mark.parametrize("slot", [None, 86400 * 4])
+@pytest.mark.parametrize("window, slot", [(1, None), (3, None), (5, None), (1, 86400 * 4), (5, 86400 * 4)])
 def test_zero_prices(spark, window, slot):
     closes = [10, 11, 0, 12, 13, 14, 15, 16, 0, 0, 3, 4, 5, 6]
     series = {"Z": [(START + timedelta(days=i), float(close)) for i, close in enumerate(closes)]}
