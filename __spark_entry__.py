@@ -352,9 +352,11 @@ SOURCES = {
         FROM events""",
     "supplier_bars": """
         SELECT 'S' || l_suppkey AS ticker, l_shipdate AS "timestamp",
-               arg_min(l_extendedprice / l_quantity, l_orderkey * 8 + l_linenumber) AS open,
+               arg_min(l_extendedprice / l_quantity,
+                       CAST(l_orderkey * 8 + l_linenumber AS HUGEINT) * 10000000000 + l_partkey) AS open,
                max(l_extendedprice / l_quantity) AS high, min(l_extendedprice / l_quantity) AS low,
-               arg_max(l_extendedprice / l_quantity, l_orderkey * 8 + l_linenumber) AS "close",
+               arg_max(l_extendedprice / l_quantity,
+                       CAST(l_orderkey * 8 + l_linenumber AS HUGEINT) * 10000000000 + l_partkey) AS "close",
                CAST(sum(l_quantity) AS BIGINT) AS volume
         FROM lineitem GROUP BY 1, 2""",
     "defective_rows": """

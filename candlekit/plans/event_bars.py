@@ -64,7 +64,9 @@ def _ticks(events: DataFrame, ticker) -> DataFrame:
 def supplier_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars of the unit price, one ticker per supplier."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    # Order, line and part as one number: no two lines of a supplier's day share it.
+    line = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("decimal(20,0)")
+    line = line * F.lit(10**10) + F.col("l_partkey")
     return (
         _table(spark, folder, "lineitem")
         .groupBy(

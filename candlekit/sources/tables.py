@@ -41,12 +41,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, folder: str
 def write_table(df: DataFrame, path: str, partition: str, sort: list[str], replace: bool = False) -> None:
     """Add rows, or with `replace` replace the partitions that occur in `df`.
 
-    Ranges over partition and sort columns spread a partition that holds most of
-    the rows over many tasks and give files with narrow, sorted time ranges;
-    small partitions share a task, which avoids a file per task and partition.
+    The rebalance hint brings the rows of a partition together, which avoids a
+    file per task and partition, merges small partitions into one task and, by
+    adaptive execution, splits a partition that holds many of the rows over
+    several tasks. Files are sorted, so that a time filter skips pages.
     """
     (
-        df.repartitionByRange(partition, *sort)
+        df.hint("rebalance", F.col(partition))
         .sortWithinPartitions(partition, *sort)
         .write.mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")

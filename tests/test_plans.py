@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from candlekit import QueryEngine, StarStore, WideStore
@@ -97,3 +98,27 @@ def test_no_python_and_no_cross_join_in_query_plans(spark):
         text = plan(builders[name](spark, FOLDER))
         for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate"):
             assert node not in text, f"{node} in {name}"
+
+
+def test_a_hot_ticker_is_written_by_several_tasks(spark, tmp_path):
+    """One ticker has half of the rows; the others share the remaining tasks."""
+    rows = spark.range(0, 200_000, 1, 8)
+    price = (F.hash("id") % 1000).cast("double")
+    bars = rows.select(
+        F.when(F.col("id") % 2 == 0, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 20)).alias("ticker"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins="id")).alias("timestamp"),
+        *[price.alias(name) for name in ("open", "high", "low", "close")],
+        F.col("id").alias("volume"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "300KB")
+    try:
+        store = WideStore(spark, str(tmp_path / "wide"))
+        store.save(bars)
+    finally:
+        spark.conf.set(key, old)
+    hot = store.bars("HOT")
+    assert len(hot.inputFiles()) > 3
+    assert len(store.bars("T1").inputFiles()) <= 2
+    assert hot.count() == 100_000 and store.bars().count() == 200_000
