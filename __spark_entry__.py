@@ -299,6 +299,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rolling_close_split": _on(
             event_ticks, rolling.rolling_close_average, None, 20, slot=SLOT, rounded=["rolling_close"]
         ),
+        "volatility_ranges": _on(user_ticks, rolling.volatility, slot=rolling.RANGES, rounded=["volatility"]),
         # ingest
         "validation_report": validation_report,
         "normalized_bars": normalized_bars,
@@ -573,6 +574,7 @@ def oracle_sql() -> dict[str, str]:
         "bar_returns_split": _returns("event_ticks"),
         "volatility_split": _volatility("event_ticks"),
         "rolling_close_split": _rolling_close("event_ticks", window=20),
+        "volatility_ranges": _volatility("user_ticks"),
         "validation_report": _report(),
         "normalized_bars": _select("coerced"),
         "duplicate_bars": _sql(

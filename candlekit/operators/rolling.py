@@ -1,7 +1,7 @@
 """Row-based rolling windows per ticker.
 
 A window partitioned by ticker alone puts a ticker's whole history into one
-task. Where one ticker is too long for that, its history is cut into time slots:
+task. Where one ticker is too long for that, its history is cut into slots:
 
 1. every (ticker, slot) is a window partition of its own, and a bar with enough
    earlier bars in its slot gets its final value there;
@@ -9,8 +9,10 @@ task. Where one ticker is too long for that, its history is cut into time slots:
    smaller series per ticker. The bars before a slot's first bars are all in it,
    so the same expressions give their final values.
 
-The result equals the plain window for any slot width; the width only decides
-how the work is spread.
+The result equals the plain window for any way of cutting; the slots only decide
+how the work is spread. Slots of equal time need no extra shuffle. Where the bars
+of a ticker are too unevenly spread over time for that, slots are sampled ranges
+of (ticker, timestamp) with about equally many bars.
 """
 
 import math
@@ -21,21 +23,39 @@ from pyspark.sql import functions as F
 
 from candlekit.functions import seconds_since_epoch
 from candlekit.operators.prices import for_ticker
+from candlekit.session import stage
 
 # Bars of one ticker that a single task may sort.
 TASK_BARS = 1_000_000
 
+# How far the fullest time slot may exceed the intended number of bars. Trading
+# sessions alone make bars about five times as dense as on average.
+UNEVENNESS = 16
+
 AUTO = "auto"
+RANGES = "ranges"
+
+# Seconds per time slot, None for no slots, RANGES, or AUTO.
+Slot = int | str | None
+
+
+def _largest(bars: DataFrame, *group: str | Column) -> int:
+    rows = bars.groupBy(*group).agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0]
+    return rows or 0
+
+
+def _time_slot(seconds: int) -> Column:
+    return F.floor(seconds_since_epoch(F.col("timestamp")) / F.lit(seconds)).alias("_slot")
 
 
-def slot_seconds(bars: DataFrame, reach: int, task_bars: int = TASK_BARS) -> int | None:
-    """Slot width for the longest ticker, or None if no ticker needs slots.
+def choose_slot(bars: DataFrame, reach: int, task_bars: int = TASK_BARS) -> Slot:
+    """How to cut the longest ticker, or None if no ticker needs it.
 
     Counts bars per ticker first, which for a store partitioned by ticker reads
-    file footers only. Both aggregations return a single row.
+    file footers only. Every aggregation here returns a single row.
     """
-    longest = bars.groupBy("ticker").agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0]
-    if longest is None or longest <= task_bars:
+    longest = _largest(bars, "ticker")
+    if longest <= task_bars:
         return None
     per_ticker = bars.groupBy("ticker").agg(
         F.count("*").alias("rows"),
@@ -46,7 +66,19 @@ def slot_seconds(bars: DataFrame, reach: int, task_bars: int = TASK_BARS) -> int
     densest = per_ticker.filter(F.col("rows") > task_bars).agg(F.min(span / F.col("rows"))).first()[0]
     # Wider slots leave fewer edges: keep both levels of the split about equal.
     bars_per_slot = max(task_bars, math.isqrt(2 * reach * longest))
-    return max(1, int(densest * bars_per_slot))
+    seconds = max(1, int(densest * bars_per_slot))
+    even = _largest(bars, "ticker", _time_slot(seconds)) <= UNEVENNESS * bars_per_slot
+    return seconds if even else RANGES
+
+
+def _with_slots(bars: DataFrame, slot: int | str) -> DataFrame:
+    if slot == RANGES:
+        # Staged, since a second evaluation could cut the ranges elsewhere.
+        ranges = bars.repartitionByRange("ticker", "timestamp")
+        return stage(ranges.withColumn("_slot", F.spark_partition_id()), "slots")
+    if slot < 1:
+        raise ValueError(f"slot must be at least one second: {slot}")
+    return bars.withColumn("_slot", _time_slot(slot))
 
 
 def _series(*partition: str) -> WindowSpec:
@@ -59,23 +91,20 @@ def over_series(
     bars: DataFrame,
     reach: int,
     add_columns: Callable[[DataFrame, WindowSpec], DataFrame],
-    slot: int | str | None = AUTO,
+    slot: Slot = AUTO,
 ) -> DataFrame:
     """Apply `add_columns` over each ticker's bars in time order.
 
-    `reach` is how many earlier bars a value depends on. `slot` is the slot
-    width in seconds, None for one window per ticker, or AUTO.
+    `reach` is how many earlier bars a value depends on.
     """
     columns = bars.columns
     if slot == AUTO:
-        slot = slot_seconds(bars, reach)
+        slot = choose_slot(bars, reach)
     if slot is None:
         return add_columns(bars, _series("ticker"))
-    if slot < 1:
-        raise ValueError(f"slot must be at least one second: {slot}")
 
     reach = max(reach, 1)
-    slotted = bars.withColumn("_slot", F.floor(seconds_since_epoch(F.col("timestamp")) / F.lit(slot)))
+    slotted = _with_slots(bars, slot)
     in_slot = _series("ticker", "_slot")
     local = add_columns(slotted, in_slot).withColumns(
         {
@@ -109,7 +138,7 @@ def _closes(bars: DataFrame, ticker: str | None) -> DataFrame:
     return for_ticker(bars, ticker).select("ticker", "timestamp", "close")
 
 
-def bar_returns(bars: DataFrame, ticker: str | None = None, slot: int | str | None = AUTO) -> DataFrame:
+def bar_returns(bars: DataFrame, ticker: str | None = None, slot: Slot = AUTO) -> DataFrame:
     """Return from bar to bar; null on a ticker's first bar and after a zero close."""
     return over_series(
         _closes(bars, ticker),
@@ -120,7 +149,7 @@ def bar_returns(bars: DataFrame, ticker: str | None = None, slot: int | str | No
 
 
 def volatility(
-    bars: DataFrame, ticker: str | None = None, window: int = 5, slot: int | str | None = AUTO
+    bars: DataFrame, ticker: str | None = None, window: int = 5, slot: Slot = AUTO
 ) -> DataFrame:
     """Sample standard deviation of the last `window` returns."""
     _check_window(window)
@@ -136,7 +165,7 @@ def volatility(
 
 
 def rolling_close_average(
-    bars: DataFrame, ticker: str | None = None, window: int = 5, slot: int | str | None = AUTO
+    bars: DataFrame, ticker: str | None = None, window: int = 5, slot: Slot = AUTO
 ) -> DataFrame:
     """Mean of the last `window` closes."""
     _check_window(window)

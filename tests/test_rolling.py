@@ -68,18 +68,49 @@ def test_any_slot_gives_the_same_values(spark, uneven, window, slot):
     check(bars_of(spark, uneven), uneven, window, slot)
 
 
-def test_slot_width_follows_the_longest_ticker(spark, uneven):
+@pytest.fixture
+def many_ranges(spark):
+    settings = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("window", [5, 20])
+def test_range_slots_give_the_same_values(spark, uneven, many_ranges, window):
     bars = bars_of(spark, uneven)
-    assert rolling.slot_seconds(bars, 5) is None
-    width = rolling.slot_seconds(bars, 5, task_bars=50)
-    span = (uneven["LONG"][-1][0] - uneven["LONG"][0][0]).total_seconds()
-    assert 4 <= span / width <= 8  # 300 bars in slots of about 54
-    check(bars, uneven, 5, width)
+    slots = rolling._with_slots(bars, rolling.RANGES).groupBy("_slot").count().collect()
+    assert len(slots) == 7 and max(row["count"] for row in slots) < 100
+    check(bars, uneven, window, rolling.RANGES)
+
+
+def test_slot_follows_the_longest_ticker(spark):
+    every_minute = [(START + timedelta(minutes=i), 1.0 + i % 7) for i in range(300)]
+    series = {"LONG": every_minute, "SHORT": every_minute[:40]}
+    bars = bars_of(spark, series)
+    assert rolling.choose_slot(bars, 5) is None
+    width = rolling.choose_slot(bars, 5, task_bars=50)
+    assert 50 <= width / 60 <= 60  # room for isqrt(2 * 5 * 300) = 54 bars
+    check(bars, series, 5, width)
+
+
+def test_bars_crowded_in_time_are_cut_into_ranges(spark, many_ranges, monkeypatch):
+    crowd = [(START + timedelta(microseconds=i), 1.0 + i % 11) for i in range(290)]
+    series = {"LONG": crowd + [(START + timedelta(days=i + 1), 2.0 + i) for i in range(10)]}
+    bars = bars_of(spark, series)
+    assert rolling.choose_slot(bars, 5, task_bars=50) != rolling.RANGES
+    monkeypatch.setattr(rolling, "UNEVENNESS", 4)
+    assert rolling.choose_slot(bars, 5, task_bars=50) == rolling.RANGES
+    monkeypatch.setattr(rolling.choose_slot, "__defaults__", (50,))
+    check(bars, series, 5, rolling.AUTO)
 
 
 def test_automatic_split(spark, uneven, monkeypatch):
     bars = bars_of(spark, uneven)
-    monkeypatch.setattr(rolling.slot_seconds, "__defaults__", (50,))
+    monkeypatch.setattr(rolling.choose_slot, "__defaults__", (50,))
     plan = rolling.volatility(bars, None, 5)
     assert "_slot" in plan._jdf.queryExecution().toString()
     check(bars, uneven, 5, rolling.AUTO)
