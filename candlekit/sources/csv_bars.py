@@ -2,7 +2,8 @@
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ())
     Every file of a folder must have the same header.
     """
     header = _header(spark, path)
+    if not header:
+        raise ValidationError(f"Failed to read CSV file: no header in {path}")
     names = [name.strip().lower() for name in header]
     missing = sorted(set(required) - set(names))
     if missing:
@@ -92,7 +95,12 @@ def load_bars_csv(
     """
     raw = read_text_csv(spark, path)
     require_columns(raw.columns)
-    coerced = stage(coerce(raw, timestamp_format), "csv-bars")
+    try:
+        coerced = stage(coerce(raw, timestamp_format), "csv-bars")
+    except (PySparkException, Py4JJavaError) as error:
+        if "FAILED_READ_FILE" in str(error):
+            raise ValidationError(f"Failed to read CSV file: {error}") from error
+        raise
     require_valid(coerced, _expected_frame(spark, expected_tickers), min_price, max_price)
     return typed_bars(coerced)
 

@@ -182,6 +182,28 @@ def test_folder_of_files(spark, csv, tmp_path):
     assert load_bars_csv(spark, str(tmp_path)).count() == 4
 
 
+def test_unreadable_files(spark, csv, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValidationError, match="Failed to read CSV file: no header"):
+        load_bars_csv(spark, str(tmp_path / "empty.csv"))
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + ROWS[0] + "\n")
+    (folder / "b.csv").write_text("timestamp,ticker,open,high,low,close,volume\n" + ROWS[2] + "\n")
+    with pytest.raises(ValidationError, match="Failed to read CSV file"):
+        load_bars_csv(spark, str(folder))
+
+
+def test_header_without_rows(spark, csv):
+    assert load_bars_csv(spark, csv([])).count() == 0
+
+
+def test_byte_order_mark_and_windows_line_ends(spark, tmp_path):
+    path = tmp_path / "windows.csv"
+    path.write_bytes(("\ufeff" + HEADER + ROWS[0] + "\n").replace("\n", "\r\n").encode())
+    assert load_bars_csv(spark, str(path)).first()["volume"] == 1000000
+
+
 def test_report_counts_all_checks(spark, csv):
     rows = [one_row(timestamp="x"), one_row(open="-1", low="-1"), one_row(open="-2", low="-2"), one_row(ticker="")]
     coerced = validation.coerce(read_text_csv(spark, csv(rows)))
