@@ -24,7 +24,7 @@ LONG_LIMIT = float(2**63)
 
 def symbol(column: Column) -> Column:
     """Ticker text in its stored form: trimmed, upper case, blank as null."""
-    return F.nullif(F.upper(F.trim(column.cast("string"))), F.lit(""))
+    return F.nullif(F.upper(F.trim(column.cast("string"), F.lit(" \t\r\n"))), F.lit(""))
 
 
 def is_missing(column: Column) -> Column:

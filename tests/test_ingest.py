@@ -124,7 +124,7 @@ def test_first_check_in_order_is_reported(spark, csv):
 
 
 def test_headers_and_tickers_are_normalized(spark, csv):
-    path = csv([one_row(ticker=" aapl ")], "Ticker,  Timestamp  ,OPEN,High,LOW,close , Volume\n")
+    path = csv([one_row(ticker="\t aapl ")], "Ticker,  Timestamp  ,OPEN,High,LOW,close , Volume\n")
     rows = load_bars_csv(spark, path, ["AAPL"]).collect()
     assert [row["ticker"] for row in rows] == ["AAPL"]
 
@@ -222,7 +222,7 @@ def test_report_counts_all_checks(spark, csv):
 
 def test_metadata_file(spark, csv):
     tickers = csv(
-        ["1,aapl ,Apple Inc.,NASDAQ", "2,GOOGL,Alphabet Inc.,NASDAQ"], "ticker_id,symbol,name,exchange\n", "tickers.csv"
+        ["1,aapl ,Apple Inc.,NASDAQ", "2,GOOGL,Alphabet Inc.,NASDAQ"], "ticker_id,symbol,name,exchange\n", "symbols.csv"
     )
     rows = load_tickers_csv(spark, tickers).collect()
     assert [tuple(row) for row in rows][0] == (1, "AAPL", "Apple Inc.", "NASDAQ")
