@@ -30,6 +30,15 @@ from candlekit.plans.event_bars import (  # noqa: E402
 from candlekit.session import staging_path  # noqa: E402
 from candlekit.sources.csv_bars import load_bars_csv, load_tickers_csv  # noqa: E402
 
+# The training-data operators can be taken out together with their pipeline.
+try:
+    import corpus_pipeline
+    from candlekit.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name != "corpus_pipeline" and not str(missing.name).startswith("candlekit.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 FOLDER = "/root/testdata/sf0.001"
 START, END = "2024-01-05", "2024-01-25 12:00:00"
 SPLIT = "2024-01-15"
@@ -263,7 +272,9 @@ def missing_tickers(spark, folder):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    corpus = {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
     return {
+        **corpus,
         # filters and grouped queries
         "price_range": _on(event_bars, prices.price_range, "VIEW", START, END),
         "time_window": _on(event_bars, prices.in_range, START, END),
@@ -538,6 +549,9 @@ def _select(source: str, where: str = "") -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    corpus = dict(llm.ORACLE_SQL) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
     view = "WHERE ticker = 'VIEW'"
     view_range = f"{view} AND {_range(START, END)}"
     changed = _sql(
@@ -548,6 +562,7 @@ def oracle_sql() -> dict[str, str]:
     )
     avg = 'SELECT coalesce(avg(volume), 0.0) AS avg_volume FROM event_bars WHERE ticker = '
     return {
+        **corpus,
         "price_range": _select("event_bars", view_range),
         "time_window": _select("event_bars", f"WHERE {_range(START, END)}"),
         "avg_volume": _sql("event_bars", avg + "'VIEW'"),

@@ -17,7 +17,7 @@ def database():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.oracle_sql())
 def test_query(spark, database, name):
     columns, rows = spark_result(registry.queries()[name](spark, FOLDER))
     expected_columns, expected = sql_result(database, registry.oracle_sql()[name])
@@ -28,6 +28,10 @@ def test_query(spark, database, name):
     assert rows, "no rows to compare"
 
 
+def test_every_sql_has_a_query():
+    assert set(registry.oracle_sql()) <= set(registry.queries())
+
+
 def test_entry(spark):
     result = registry.entry(spark)
     assert result.columns == ["ticker", "return_pct"]
