@@ -182,13 +182,22 @@ def _segments(repeated, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iter
     size = 0
 
     def flush():
-        rows = []
-        for segment, (anchor, places) in held.items():
-            doc, mark, start, n = places[0]
-            rows.append((anchor, segment, doc, mark, start, n))
-            if any(place != places[0] for place in places):
-                rows += [(anchor, None, *place) for place in places]
-        columns = list(zip(*rows))
+        first = [(anchor, segment, *places[0]) for segment, (anchor, places) in held.items()]
+        known = [
+            (anchor, *place) for anchor, places in held.values() if any(x != places[0] for x in places) for place in places
+        ]
+        columns = list(zip(*first))
+        if known:
+            # Neighbouring segments of a document make one run.
+            anchor, doc, mark, start, n = (np.array(x, np.int64) for x in zip(*known))
+            order = np.lexsort((start, mark, doc))
+            anchor, doc, mark, start, n = (x[order] for x in (anchor, doc, mark, start, n))
+            new = np.ones(len(doc), bool)
+            new[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (start[1:] > start[:-1] + n[:-1])
+            at = np.flatnonzero(new)
+            last = np.append(at[1:], len(doc)) - 1
+            runs = (anchor[at], [None] * len(at), doc[at], mark[at], start[at], start[last] + n[last] - start[at])
+            columns = [[*x, *y] for x, y in zip(columns, runs)]
         kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         arrays = [pa.array(x, kind) for x, kind in zip(columns, kinds)]
         bucket = (np.array(columns[0], np.int64).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
@@ -329,7 +338,11 @@ def repeated_strings(docs: DataFrame, sketch_bytes: int = A.SKETCH_BYTES, block_
     else:
         every = rows.mapInArrow(lambda batches: _segments(lambda a: np.ones(len(a), bool), buckets, batches), SEGMENTS)
         segments = A.keep_estimated(every, buckets, merged)
-    dealt = segments.drop("bucket").repartition("anchor").sortWithinPartitions("anchor")
+    # Runs that are known already go anywhere.
+    dealt = segments.drop("bucket").withColumn(
+        "deal", F.when(F.col("segment").isNull(), F.xxhash64("doc", "start")).otherwise(F.col("anchor"))
+    )
+    dealt = dealt.repartition("deal").drop("deal").sortWithinPartitions("anchor")
     found = stage(dealt.mapInArrow(lambda batches: _resolve(block_bytes, batches), FOUND), "repeated-strings")
     places = ["doc", "mark", "start"]
     single = found.filter("n = 0")
