@@ -276,7 +276,13 @@ def _sorted_block(part: pa.Table) -> pa.RecordBatch:
     doc, mark, start = (part.column(name).to_numpy() for name in ("doc", "mark", "start"))
     # A place that came twice (from repeated rows) is no repetition.
     _, first = np.unique(np.stack([doc, mark, start]), axis=1, return_index=True)
-    part = part.take(pa.array(np.sort(first))).combine_chunks()
+    part = part.take(pa.array(np.sort(first)))
+    # A segment that is alone with its anchor has no string that stands elsewhere.
+    anchor = part.column("anchor").to_numpy()
+    with_next = np.append(anchor[1:] == anchor[:-1], False)
+    part = part.filter(pa.array(with_next | np.append(False, with_next[:-1]))).combine_chunks()
+    if not part.num_rows:
+        return _found(*[np.zeros(0, np.int64)] * 6)
     doc, mark, start = (part.column(name).to_numpy() for name in ("doc", "mark", "start"))
     data, bounds = text_arrays(part.column("segment").chunk(0))
     owner, offset, at = _spread(data, bounds)
