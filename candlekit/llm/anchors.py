@@ -29,7 +29,7 @@ LOAD = 0.25
 #: Largest merged sketch that is sent to the executors.
 SKETCH_BYTES = 64 << 20
 #: Anchors or windows that a task combines before it hands rows on.
-BUFFER = 2 << 20
+BUFFER = 1 << 20
 #: What stands for a null doc_id where rows are joined.
 NO_ID = -(1 << 63)
 

@@ -39,7 +39,7 @@ RUN = 68
 PERIOD = 32
 BLOCK_BYTES = 4 << 20
 #: Segments of a task that are compared before they are handed on.
-BUFFER_BYTES = 32 << 20
+BUFFER_BYTES = 24 << 20
 BYTES_PER_ANCHOR = (LENGTH - RUN + 2) // 2
 SEGMENTS = "bucket BIGINT, anchor BIGINT, segment BINARY, doc BIGINT, mark BIGINT, start BIGINT, n BIGINT"
 FOUND = "h1 BIGINT, h2 BIGINT, doc BIGINT, mark BIGINT, start BIGINT, n BIGINT"
