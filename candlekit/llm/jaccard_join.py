@@ -18,22 +18,20 @@ affects the cost: any choice gives the same links.
 Equal sets are one class with a representative; only representatives are joined.
 Within a list not all pairs are made: all members are compared with one pivot and
 the components of the links are formed; lists whose members are in one component
-are done. That is repeated with other pivots while it joins components. For the
-lists that remain, the pairs between different components are compared, so that
-no link is lost.
+are done. After `STAR_ROUNDS` rounds with different pivots, the pairs between different
+components of the lists that remain are compared, so that no link is lost.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from candlekit.llm.components import components
 from candlekit.llm.textbytes import chunks, mix, shingle_hashes
-from candlekit.session import stage
+from candlekit.session import stage, staged
 
 WORDS = 5
 PERCENT = 80
@@ -41,8 +39,12 @@ PERCENT = 80
 #: FREQUENT of them are sent to the executors (8 bytes each).
 COMMON = 32
 FREQUENT = 1 << 20
-BUFFER = 4 << 20
+BUFFER = 2 << 20
+#: Sets of that size or more are heavy at any cost.
+HEAVY = 512
 SKETCH_WORDS = 16
+#: Rounds in which lists are compared with one pivot only, before what remains is compared in full.
+STAR_ROUNDS = 2
 #: Cost of a member of a scanned list, in listed subsets.
 SCAN_COST = 2.0
 
@@ -68,29 +70,37 @@ def _within_head(rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray,
     return sizes, place, place < _head(sizes)[rows]
 
 
-def _count_heads(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, n): shingles of the heads, in order of hash, that a buffer has repeatedly.
-    One row per buffer has a null token and the buffer's mean list length times 1000."""
+def _measure(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, value, n). Kind 0: shingles of the heads, in order of hash, that n > 1 texts of a
+    buffer have. Kind 1: sizes of the sets, up to HEAVY, that n texts have. Kind 2: members and
+    lists of the buffer."""
     held, size = [], 0
+    sizes = np.zeros(HEAVY + 1, np.int64)
+
+    def rows(kind, values, counts):
+        columns = [pa.array(np.full(len(values), kind, np.int32)), pa.array(values, pa.int64()), pa.array(counts, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["kind", "value", "n"])
 
     def flush():
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
         common = counts > 1
-        token = pa.array(np.append(tokens[common].view(np.int64), 0), mask=np.append(np.zeros(common.sum(), bool), True))
-        n = np.append(counts[common], 1000 * counts.sum() // len(tokens)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([token, pa.array(n)], names=["token", "n"])
+        yield rows(0, tokens[common].view(np.int64), counts[common])
+        yield rows(2, [0, 1], [int(counts.sum()), len(tokens)])
 
     for batch in batches:
         for chunk in chunks(batch.column("text")):
-            rows, hashes = _distinct(*shingle_hashes(chunk, words))
-            _, _, inside = _within_head(rows, chunk.rows)
+            shingles, hashes = _distinct(*shingle_hashes(chunk, words))
+            own, _, inside = _within_head(shingles, chunk.rows)
+            sizes += np.bincount(np.minimum(own, HEAVY), minlength=HEAVY + 1)
             held.append(hashes[inside])
             size += len(held[-1])
             if size >= BUFFER:
-                yield flush()
+                yield from flush()
                 held, size = [], 0
     if size:
-        yield flush()
+        yield from flush()
+    found = np.flatnonzero(sizes)
+    yield rows(1, found, sizes[found])
 
 
 def _sketches(rows: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
@@ -116,18 +126,19 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
             digest = (sums[:, first[1:]] - sums[:, first[:-1]]).view(np.int64)
             sketch = _sketches(rows, hashes, count)
 
+            late = np.zeros(len(hashes), bool)
             if len(frequent) and len(hashes):
                 at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
                 late = frequent[at] == hashes
                 order = np.lexsort((hashes, late, rows))
-                hashes = hashes[order]
-            sizes, place, inside = _within_head(rows, count)
+                hashes, late = hashes[order], late[order]
+            sizes, _, inside = _within_head(rows, count)
             # Single shingles for heavy sets and for light sets that can link with them.
             single = inside & (sizes[rows] >= min(reach, light + 1))
             key_rows, keys = [rows[single]], [hashes[single]]
             # 2-subsets for light sets; a set of one shingle has that alone.
             small = inside & (sizes[rows] <= light)
-            small_rows, small_hashes, small_place = rows[small], hashes[small], place[small]
+            small_rows, small_hashes = rows[small], hashes[small]
             ends = np.searchsorted(small_rows, small_rows, "right")
             alone = sizes[small_rows] == 1
             key_rows.append(small_rows[alone])
@@ -138,8 +149,10 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
                 a, b = small_hashes[left], small_hashes[left + step]
                 key_rows.append(small_rows[left])
                 keys.append(mix(np.minimum(a, b) ^ mix(np.maximum(a, b))))
-            del small_place
             key_rows, keys = np.concatenate(key_rows), np.concatenate(keys)
+            # The lowest bit tells the keys that are frequent shingles.
+            keys = (keys & ~np.uint64(1)) | np.append(late[single], np.zeros(len(keys) - int(single.sum()), bool)).astype(np.uint64)
+            rare = np.bincount(rows[single & ~late & (sizes[rows] > light)], minlength=count)
             order = np.argsort(key_rows, kind="stable")
             key_first = np.searchsorted(key_rows[order], np.arange(count + 1))
             lists = pa.ListArray.from_arrays(pa.array(key_first, pa.int32()), pa.array(keys[order].view(np.int64)))
@@ -152,10 +165,11 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
                     pa.array(sizes.astype(np.int64)),
                     pa.array(digest[0]),
                     pa.array(digest[1]),
+                    pa.array(rare.astype(np.int64)),
                     sketches,
                     lists,
                 ],
-                names=["doc_id", "size", "d1", "d2", "sketch", "keys"],
+                names=["doc_id", "size", "d1", "d2", "rare", "sketch", "keys"],
             )
 
 
@@ -201,8 +215,8 @@ def _may_link(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
 
 def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches allow a link."""
-    left = about.toDF("a", "size_a", "sketch_a")
-    right = about.toDF("b", "size_b", "sketch_b")
+    described = about.select("id", "size", "sketch")
+    left, right = described.toDF("a", "size_a", "sketch_a"), described.toDF("b", "size_b", "sketch_b")
     may = _may_link(F.col("sketch_a"), F.col("sketch_b"), F.col("size_a"), F.col("size_b"))
     return pairs.join(left, "a").join(right, "b").filter(may).select("a", "b")
 
@@ -216,7 +230,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id, n_links) for every row of `docs`.
+    """(doc_id, n_shingles, component_id, class_id) for every row of `docs`.
 
     n_shingles is the number of distinct shingles of `words` words of the whole text,
     A-Z lower-cased; a text with fewer words is one shingle, a text without words (or
@@ -228,45 +242,40 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = texts.select("text").mapInArrow(lambda batches: _count_heads(words, batches), "token BIGINT, n BIGINT")
-    tokens = stage(counted.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("buffers")), "head-counts")
-    mean = tokens.filter("token is null").select(F.col("n") / F.col("buffers") / 1000).first()
-    top = tokens.filter(F.col("token").isNotNull() & (F.col("n") >= COMMON)).orderBy(F.desc("n"), "token").limit(FREQUENT)
-    frequent = np.sort(top.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-    # Sizes by their word count, capped at a size that is heavy at any cost.
-    number = F.size(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"))
-    histogram = texts.groupBy(F.least(number, F.lit(512)).alias("size")).count().collect()
-    light = light_boundary([(max(1, row["size"] - words + 1), row["count"]) for row in histogram], mean[0] if mean else 1.0)
+    measured = texts.select("text").mapInArrow(lambda batches: _measure(words, batches), "kind INT, value BIGINT, n BIGINT")
+    measures = stage(measured.groupBy("kind", "value").agg(F.sum("n").alias("n")), "set-measures")
+    top = measures.filter((F.col("kind") == 0) & (F.col("n") >= COMMON)).orderBy(F.desc("n"), "value").limit(FREQUENT)
+    frequent = np.sort(top.select("value").toPandas()["value"].to_numpy(np.int64).view(np.uint64))
+    histogram = [(row["value"], row["n"]) for row in measures.filter("kind = 1 and value > 0").collect()]
+    members, lists = (dict(measures.filter("kind = 2").select("value", "n").collect()).get(i, 1) for i in (0, 1))
+    light = light_boundary(histogram, members / lists)
 
     # FREQUENT bounds what is broadcast: 8 MB.
     shared = spark.sparkContext.broadcast(frequent)
-    described = stage(
-        texts.mapInArrow(
-            lambda batches: _describe(words, shared.value, light, batches),
-            "doc_id BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, sketch ARRAY<BIGINT>, keys ARRAY<BIGINT>",
-        ),
-        "shingle-sets",
+    described = texts.mapInArrow(
+        lambda batches: _describe(words, shared.value, light, batches),
+        "doc_id BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, rare BIGINT, sketch ARRAY<BIGINT>, keys ARRAY<BIGINT>",
     )
     same = ["size", "d1", "d2"]
-    members = described.select("doc_id", *same)
-    named = described.filter("size > 0 and doc_id is not null")
-    classes = named.groupBy(*same).agg(F.min("doc_id").alias("id"))
-    # Equal sets have equal keys: those of the representative's row are taken.
-    entries = named.join(classes.select("id", *same), same).filter("doc_id = id").select("id", "size", F.explode("keys").alias("key"))
-    by_key = Window.partitionBy("key")
-    shared_keys = stage(
-        entries.withColumn("members", F.count("*").over(by_key)).filter("members > 1").drop("members"), "lists"
-    )
-    ids = stage(shared_keys.select("id").distinct(), "listed")
-    about = stage(
-        described.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-        .groupBy(F.col("doc_id").alias("id"))
-        .agg(F.first("size").alias("size"), F.first("sketch").alias("sketch")),
-        "listed-sketches",
-    )
-    found = _link_lists(texts, words, shared_keys, about)
+    with staged(described, "shingle-sets") as described:
+        members = stage(described.select("doc_id", *same), "set-members")
+        named = members.filter("size > 0 and doc_id is not null")
+        classes = stage(named.groupBy(*same).agg(F.min("doc_id").alias("id")), "set-classes")
+        # Equal sets have equal keys: those of the representative's row are taken.
+        own = described.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        lists = stage(_lists(own.select(F.col("doc_id").alias("id"), "size", "rare", "keys")), "lists")
+        listed = lists.select(F.col("id").alias("doc_id")).distinct()
+        about = described.join(listed, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
+        about = about.agg(*[F.first(name).alias(name) for name in ("size", "rare", "sketch")])
+        rare_keys = lists.filter("key % 2 = 0").select("id", "key").distinct().groupBy("id").agg(F.count("*").alias("met"))
+        # Rare shingles of the head that no other set of similar size has in its head.
+        alone = F.greatest(F.col("rare") - F.coalesce("met", F.lit(0)), F.lit(0)).alias("alone")
+        about = stage(about.join(rare_keys, "id", "left").select("id", "size", alone, "sketch"), "set-sketches")
+    found = _link_lists(texts, words, lists, about)
     table = classes.join(found, "id", "left").select(
-        *same, F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        *same,
+        F.col("id").alias("class_id"),
+        F.coalesce("component", "id").alias("component_id"),
     )
     joined = members.join(table, same, "left")
     own = F.when(F.col("size") == 0, F.col("doc_id"))
@@ -275,58 +284,84 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         F.col("size").alias("n_shingles"),
         F.coalesce(own, "component_id").alias("component_id"),
         F.coalesce(own, "class_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
 
 
-def _banded(lists: DataFrame) -> DataFrame:
-    """Lists by size: every set in the band of its size and in the next, so that sets of
-    which one is at most 1.25 times the other meet in a list."""
+def _lists(sets: DataFrame) -> DataFrame:
+    """(key, band, id, pivot, members): the lists of two members or more.
+
+    A list has sets of similar size only: every set is in the band of its size and in the
+    next, so that sets of which one is at most 1.25 times the other meet. The pivot is the
+    set with the fewest rare shingles: among edited copies of a text, the one closest to it.
+    The rows are shuffled once, by key.
+    """
+    entries = sets.select("id", "size", "rare", F.explode("keys").alias("key"))
+    entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1")
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9)
-    return lists.withColumn("band", F.explode(F.array(band, band + 1)))
+    banded = entries.select("key", "id", "rare", F.explode(F.array(band, band + 1)).alias("band"))
+    one_list = Window.partitionBy("key", "band")
+    counted = banded.withColumns(
+        {"members": F.count("*").over(one_list), "pivot": F.min(F.struct("rare", "id")).over(one_list)["id"]}
+    )
+    return counted.filter("members > 1").select("key", "band", "id", "pivot", "members")
 
 
 def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame) -> DataFrame:
-    """(id, component, n_links) of the representatives that have a link."""
+    """(id, component) of the representatives that have a link."""
     spark = texts.sparkSession
     group = ["key", "band"]
-    banded = _banded(lists).select(*group, "id")
+    # Of a list of two, the pivot's pair is all.
+    longer = lists.filter("members > 2").select(*group, "id").join(about.select("id", "size", "alone"), "id")
+    # In the list of a frequent shingle a set links with sets up to a size (see _can_meet). Of two
+    # that link, at least one reaches its own size; the other must reach a set that does.
+    reach = F.floor((F.col("size") - F.col("alone")) * ((100 + PERCENT) / PERCENT) + 1e-9) - F.col("size")
+    strong = F.col("reach") >= F.col("size")
+    longer = longer.withColumn("reach", reach)
+    smallest = longer.groupBy(*group).agg(F.min(F.when(strong, F.col("size"))).alias("smallest"))
+    longer = longer.join(smallest, group).filter((F.col("key") % 2 == 0) | strong | (F.col("reach") >= F.col("smallest")))
+    longer = stage(longer.select(*group, "id", "size", "alone"), "longer-lists")
     links = spark.createDataFrame([], "a BIGINT, b BIGINT")
     linked = spark.createDataFrame([], "id BIGINT, component BIGINT")
     sets = spark.createDataFrame([], "id BIGINT, shingles ARRAY<BIGINT>")
-    turn, found = 0, None
+    turn = 0
     while True:
-        members = banded.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        # First the smallest id is the pivot, which most lists of a group share; then a random one.
-        rank = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
-        open_lists = (
-            members.groupBy(*group)
-            .agg(
+        last = turn == STAR_ROUNDS
+        if not turn:
+            pairs = lists.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+        else:
+            members = longer.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))
+            own = ["id", "size", "alone", "component"]
+            open_lists = members.groupBy(*group).agg(
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
-                F.min(F.struct(rank.alias("rank"), "id", "component")).alias("pivot"),
+                F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("rank"), *own)).alias("pivot"),
             )
-            .filter("low != high")
-            .select(*group, F.col("pivot.id").alias("other"), F.col("pivot.component").alias("component_other"))
-        )
-        last = found == 0
-        if last:
-            rest = members.join(open_lists.select(*group), group)
-            open_lists = rest.select(*group, F.col("id").alias("other"), F.col("component").alias("component_other"))
-        pairs = members.join(open_lists, group).filter("component != component_other")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        pairs = stage(_likely(pairs, about), "likely-pairs")
+            open_lists = open_lists.filter("low != high").select(*group, "pivot")
+            if last:
+                rest = members.join(open_lists.select(*group), group)
+                open_lists = rest.select(*group, F.struct(*own).alias("pivot"))
+            others = open_lists.select(*group, *[F.col(f"pivot.{name}").alias(f"{name}_other") for name in own])
+            pairs = members.join(others, group).filter("component != component_other").filter(_can_meet())
+            pairs = pairs.select(F.least("id", "id_other").alias("a"), F.greatest("id", "id_other").alias("b"))
+        pairs = stage(_likely(pairs.distinct(), about), "likely-pairs")
         sets = sets.unionByName(_missing_sets(texts, words, pairs, sets))
         new = stage(_links(pairs, sets), "jaccard-links")
-        found = new.count()
-        if found:
+        if not new.isEmpty():
             links = links.unionByName(new)
             linked = stage(components(links), "jaccard-components")
         if last:
             break
         turn += 1
-    ends = links.distinct().select(F.explode(F.array("a", "b")).alias("id"))
-    return linked.join(ends.groupBy("id").agg(F.count("*").alias("n_links")), "id")
+    return linked
+
+
+def _can_meet() -> Column:
+    """Necessary for a pair of a list: the shared shingles, of which the `alone` ones are none, can
+    be enough. Sets in the list of a frequent shingle have all their rare ones in the head, so
+    there `alone` shingles are in no other set of the list."""
+    least = (F.col("size") + F.col("size_other")) * PERCENT
+    enough = [(F.col(f"size{x}") - F.col(f"alone{x}")) * (100 + PERCENT) >= least for x in ("", "_other")]
+    return (F.col("key") % 2 == 0) | (enough[0] & enough[1])
 
 
 def _missing_sets(texts: DataFrame, words: int, pairs: DataFrame, sets: DataFrame) -> DataFrame:
