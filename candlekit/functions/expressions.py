@@ -50,6 +50,10 @@ def whole_number(column: Column) -> Column:
     return F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint")).when(fits, as_double.cast("bigint"))
 
 
+# A zone after a time of day: Z, or an offset.
+ZONE_PATTERN = r":\d{2}(\.\d+)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)$"
+
+
 def _wall_clock(instant: Column) -> Column:
     """An instant as its UTC wall-clock time."""
     seconds = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
@@ -60,15 +64,19 @@ def _wall_clock(instant: Column) -> Column:
 def parse_timestamp(column: Column, pattern: str = DEFAULT_PATTERN) -> Column:
     """Text to TIMESTAMP_NTZ: the given pattern first, ISO-like forms after it.
 
+    A time with a zone offset (or Z) becomes the UTC wall-clock time of that instant.
+
     The default pattern is one of the ISO-like forms. Any other is read as UTC
     and turned back into a UTC wall-clock time, which keeps the time as written
     whatever the session zone is.
     """
     text = F.trim(column.cast("string"))
+    instant = _wall_clock(text.try_cast("timestamp"))
+    iso = F.when(text.rlike(ZONE_PATTERN), instant).otherwise(text.try_cast("timestamp_ntz"))
     if pattern == DEFAULT_PATTERN:
-        return text.try_cast("timestamp_ntz")
+        return iso
     with_zone = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(pattern + " X"))
-    return F.coalesce(_wall_clock(with_zone), text.try_cast("timestamp_ntz"))
+    return F.coalesce(_wall_clock(with_zone), iso)
 
 
 def percent_return(first: Column, last: Column) -> Column:

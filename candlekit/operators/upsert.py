@@ -3,20 +3,28 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlekit.schema import TICKERS_SCHEMA
+from candlekit.schema import TICKERS_SCHEMA, ValidationError
 from candlekit.session import stage
 
 
 def last_write(batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """One row per key: the one with the largest `order` value.
+    """One row per key: the one with the largest `order` value, which must be unique in a key.
 
-    Without an order column the rows of a DataFrame have no first and last; the
-    largest row is taken then, so that a rerun gives the same result.
+    Without an order column the rows of a DataFrame have no first and last; they are
+    returned as they are, and `require_unique` tells whether that will do.
     """
-    values = F.struct(*[name for name in batch.columns if name not in keys]).alias("values")
-    row = F.struct(F.col(order).alias("order"), values) if order else F.struct(values)
-    kept = batch.groupBy(*keys).agg(F.max(row).alias("row")).select(*keys, "row.values.*")
-    return kept.select(*batch.columns)
+    if not order:
+        return batch
+    # Per column, as fixed-width buffers keep the aggregation a hash aggregation.
+    values = [F.max_by(F.col(f"`{name}`"), F.col(order)).alias(name) for name in batch.columns if name not in keys]
+    return batch.groupBy(*keys).agg(*values).select(*[F.col(f"`{name}`") for name in batch.columns])
+
+
+def require_unique(batch: DataFrame, keys: list[str]) -> None:
+    """Raise ValidationError if a key has several rows."""
+    repeated = batch.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1").count()
+    if repeated:
+        raise ValidationError(f"Found {repeated} keys with several records; name the column that orders them")
 
 
 def merge(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,7 +69,9 @@ def new_dimension_rows(dimension: DataFrame, symbols: DataFrame) -> DataFrame:
         symbols.select("symbol", *described)
         .filter("symbol is not null")
         .groupBy("symbol")
-        .agg(*[F.max(name).alias(name) for name in described] or [F.count("*").alias("_rows")])
+        # Name and exchange of one row, not the largest of each.
+        .agg(F.max(F.struct(*[F.col(name) for name in described] or [F.lit(0).alias("none")])).alias("row"))
+        .select("symbol", *[F.col(f"row.{name}").alias(name) for name in described])
     )
     unknown = wanted.join(dimension.select("symbol"), "symbol", "left_anti")
     largest = dimension.agg(F.coalesce(F.max("ticker_id"), F.lit(0))).first()[0]

@@ -21,9 +21,6 @@ NO_TIMESTAMP = "_no_timestamp"
 VOLUME_NUMBER = "_volume_number"
 HELPER_COLUMNS = [MALFORMED, NO_TIMESTAMP, VOLUME_NUMBER]
 
-# How many tickers an error message names; the message also says how many there are.
-NAMED_IN_MESSAGE = 100
-
 
 def require_columns(columns: list[str]) -> None:
     missing = sorted(set(BAR_COLUMNS) - set(columns))
@@ -140,7 +137,10 @@ def require_valid(
     min_price: float = MIN_PRICE,
     max_price: float = MAX_PRICE,
 ) -> None:
-    """Raise ValidationError for the first failing check."""
+    """Raise ValidationError for the first failing check.
+
+    For missing tickers the error has them as the DataFrame `missing` (column ticker).
+    """
     # One row per check.
     found = {row["check"]: row["violations"] for row in report(coerced, expected, min_price, max_price).collect()}
     for check, message in _messages(min_price, max_price).items():
@@ -148,7 +148,8 @@ def require_valid(
         if not violations:
             continue
         text = message.format(n=violations)
+        error = ValidationError(text)
         if check == "missing_ticker":
-            named = missing_tickers(coerced, expected).orderBy("ticker").limit(NAMED_IN_MESSAGE).collect()
-            text += " " + str([row["ticker"] for row in named])
-        raise ValidationError(text)
+            # All of them, as a DataFrame: there may be any number.
+            error.missing = missing_tickers(coerced, expected)
+        raise error

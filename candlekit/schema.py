@@ -33,4 +33,6 @@ PRICES_SCHEMA = T.StructType(
 
 
 class ValidationError(Exception):
-    """The input cannot be loaded as valid bars."""
+    """The input cannot be loaded as valid bars. `missing` may hold a DataFrame of what is missing."""
+
+    missing = None

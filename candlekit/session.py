@@ -24,7 +24,7 @@ def session_settings(input_bytes: int | None = None, cores: int | None = None) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
         "spark.sql.files.maxPartitionBytes": str(128 * MIB),
-        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }

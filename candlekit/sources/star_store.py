@@ -10,11 +10,10 @@ from pyspark.sql import types as T
 
 from candlekit.operators.integrity import audit_star
 from candlekit.operators.prices import Moment, moment
-from candlekit.operators.upsert import last_write, new_dimension_rows
-from candlekit.schema import BAR_COLUMNS, KEY_COLUMNS, PRICES_SCHEMA, TICKERS_SCHEMA
+from candlekit.operators.upsert import last_write, new_dimension_rows, require_unique
+from candlekit.schema import BAR_COLUMNS, BARS_SCHEMA, KEY_COLUMNS, PRICES_SCHEMA, TICKERS_SCHEMA
 from candlekit.session import staged
-from candlekit.sources.tables import read_table, upsert_table
-from candlekit.sources.wide_store import with_native_timestamp
+from candlekit.sources.tables import conform, read_table, reporting, upsert_table
 
 PRICE_KEY = ["ticker_id", "timestamp"]
 STORED_PRICES = T.StructType([*PRICES_SCHEMA.fields, T.StructField("month", T.DateType())])
@@ -98,11 +97,17 @@ class StarStore:
         (symbol, name, exchange) if given. `order` and `validated` are as for
         the wide store.
         """
-        batch = with_native_timestamp(bars)
-        if validated:
-            return self._upsert(batch, metadata)
-        with staged(last_write(batch, KEY_COLUMNS, order), "batch") as batch:
-            return self._upsert(batch, metadata)
+        with reporting():
+            # The star has the bar columns only.
+            known = last_write(bars, KEY_COLUMNS, order)
+            known = known.select(*[F.col(name) for name in known.columns if name in BAR_COLUMNS])
+            batch = conform(known, BARS_SCHEMA, BAR_COLUMNS, [])
+            if validated:
+                return self._upsert(batch, metadata)
+            with staged(batch, "batch") as batch:
+                if not order:
+                    require_unique(batch, KEY_COLUMNS)
+                return self._upsert(batch, metadata)
 
     def _upsert(self, batch: DataFrame, metadata: DataFrame | None) -> int:
         symbols = batch.select(F.col("ticker").alias("symbol")).distinct()
@@ -110,7 +115,7 @@ class StarStore:
             symbols = symbols.join(metadata.select("symbol", "name", "exchange"), "symbol", "left")
         self.add_tickers(symbols)
         rows = with_ticker_ids(batch, self.tickers()).withColumn("month", month_of(F.col("timestamp")))
-        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY)
+        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY, month_of)
 
     def audit(self) -> DataFrame:
         return audit_star(self.prices(), self.tickers())

@@ -5,6 +5,9 @@ upsert can be run again; if it failed while partitions were being replaced,
 their complete new content is still in the staging folder.
 """
 
+import re
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,16 +15,81 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from candlekit.functions import parse_timestamp
 from candlekit.operators.prices import moment
 from candlekit.operators.upsert import merge
-from candlekit.schema import ValidationError
+from candlekit.schema import KEY_COLUMNS, ValidationError
 from candlekit.session import staged
 
+FAULT = "candlekit cannot store"
+
 # Most partition values that are passed to a scan as literals. Above it, the
 # affected partitions are found by a join.
 LITERAL_PARTITIONS = 10_000
 
 
+def conform(df: DataFrame, schema: T.StructType, required: list[str], keys: list[str]) -> DataFrame:
+    """`df` with the columns of `schema`, in its order and types.
+
+    Columns that are not `required` may be absent and are null then. A required column that
+    is absent, a column that `schema` does not have, and (when the rows are read) a value that
+    its column cannot hold or one of `keys` that is null raise ValidationError; reading goes
+    through `reporting`. A blank ticker is a null one.
+    """
+    absent = [name for name in required if name not in df.columns]
+    if absent:
+        raise ValidationError(f"Missing required columns: {sorted(absent)}")
+    unknown = [name for name in df.columns if name not in schema.fieldNames()]
+    if unknown:
+        raise ValidationError(f"Columns that the store does not have: {sorted(unknown)}")
+    columns = []
+    for field in schema.fields:
+        if field.name not in df.columns:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        given, kind = F.col(f"`{field.name}`"), df.schema[field.name].dataType
+        value, wrong = given, F.lit(False)
+        if kind != field.dataType:
+            if isinstance(field.dataType, T.TimestampNTZType) and isinstance(kind, T.StringType):
+                value, same = parse_timestamp(given), F.lit(True)
+            else:
+                value = given.try_cast(field.dataType)
+                # Text need not be written as Spark would write it.
+                same = F.lit(True) if isinstance(kind, T.StringType) else value.try_cast(kind).eqNullSafe(given)
+            wrong = given.isNotNull() & (value.isNull() | ~same)
+        if field.name == "ticker":
+            value = F.when(F.trim(value) != "", value)
+        if field.name in keys:
+            wrong = wrong | value.isNull()
+        fault = F.raise_error(F.lit(f"{FAULT} {field.name}")).cast(field.dataType)
+        columns.append(F.when(F.coalesce(wrong, F.lit(True)), fault).otherwise(value).alias(field.name))
+    return df.select(*columns)
+
+
+@contextmanager
+def reporting() -> Iterator[None]:
+    """Turn what `conform` finds while rows are read into a ValidationError."""
+    try:
+        yield
+    except Exception as error:
+        found = re.search(rf"{FAULT} (\w+)", str(error))
+        if not found:
+            raise
+        if found[1] in KEY_COLUMNS:
+            raise ValidationError("Found records without a ticker or timestamp that can be stored") from error
+        raise ValidationError(f"Found records whose {found[1]} cannot be stored") from error
+
+
+def stored_fields(spark: SparkSession, path: str, folder: str | None = None) -> list[T.StructField]:
+    """The columns of the table at `path`, or of one folder of it; none if it is absent or empty."""
+    try:
+        return list(spark.read.option("basePath", path).parquet(f"{path}/{folder}" if folder else path).schema.fields)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, folder: str | None = None) -> DataFrame:
     """The table at `path`, or only one partition folder of it; empty if absent.
 
@@ -64,9 +132,15 @@ def upsert_table(
     time: str,
     partition: str,
     sort: list[str],
+    partition_of: Callable[[Column], Column] | None = None,
+    lacking: list[str] = (),
 ) -> int:
     """Insert or replace rows by key; returns the number of rows written.
 
+    `partition_of` gives the partition of a time, if that alone decides it: then only the
+    partitions of the batch's time span are read. Replaced rows keep their values in the
+    columns named `lacking`, which the batch does not know.
+
     `batch` must be unique in `keys` and cheap to read several times, that is
     come from a stored table other than this one. Partitions without a key in
     common with the batch only get new files, so loading new days never rewrites
@@ -86,6 +160,9 @@ def upsert_table(
 
     existing = read_table(spark, path, batch.schema)
     nearby = existing.filter(F.col(time).between(moment(span["first"]), moment(span["last"])))
+    if partition_of:
+        first, last = (partition_of(moment(span[name])) for name in ("first", "last"))
+        nearby = nearby.filter(F.col(partition).between(first, last))
     hits = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
     with staged(hits, "hits") as hits:
         values = [row[0] for row in hits.limit(LITERAL_PARTITIONS + 1).collect()]
@@ -99,7 +176,11 @@ def upsert_table(
             return df.join(hits, partition, "left_semi").select(*df.columns)
 
         fresh = batch.join(hits, partition, "left_anti").select(*batch.columns)
-        with staged(merge(hit(existing), hit(batch), keys), "merged") as merged:
+        replacing = hit(batch)
+        if lacking:
+            old = hit(existing).select(*keys, *lacking)
+            replacing = replacing.drop(*lacking).join(old, keys, "left").select(*batch.columns)
+        with staged(merge(hit(existing), replacing, keys), "merged") as merged:
             write_table(merged, path, partition, sort, replace=True)
             write_table(fresh, path, partition, sort)
     return span["rows"]

@@ -3,42 +3,49 @@
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from candlekit.functions import parse_timestamp
 from candlekit.operators.integrity import StoreIntegrity, check_store
 from candlekit.operators.prices import for_ticker
-from candlekit.operators.upsert import last_write
-from candlekit.schema import BARS_SCHEMA, KEY_COLUMNS
+from candlekit.operators.upsert import last_write, require_unique
+from candlekit.schema import BAR_COLUMNS, BARS_SCHEMA, KEY_COLUMNS
 from candlekit.session import staged
-from candlekit.sources.tables import read_table, upsert_table, write_table
+from candlekit.sources.tables import conform, read_table, reporting, stored_fields, upsert_table, write_table
 
 # Symbols whose partition folder has the same name.
 PLAIN_SYMBOL = r"[A-Za-z0-9._-]+"
 
 
-def with_native_timestamp(bars: DataFrame) -> DataFrame:
-    """Bars whose timestamp column is TIMESTAMP_NTZ; text is parsed."""
-    kind = bars.schema["timestamp"].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return bars
-    if isinstance(kind, T.StringType):
-        return bars.withColumn("timestamp", parse_timestamp(F.col("timestamp")))
-    return bars.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-
-
 class WideStore:
-    """The table at `path`. `extra` is a DDL string of columns beyond the bar columns."""
+    """The table at `path`.
+
+    Columns beyond the bar columns belong to the stored table and are found there; `extra`, a
+    DDL string, declares further ones that a batch may bring.
+    """
 
     def __init__(self, spark: SparkSession, path: str, partitioned: bool = True, extra: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partitioned = partitioned
-        fields = list(BARS_SCHEMA.fields)
-        if extra:
-            fields += T.StructType.fromDDL(extra).fields
-        self.schema = T.StructType(fields)
+        self._declared = T.StructType.fromDDL(extra).fields if extra else []
+        self._stored: list[T.StructField] | None = None
+
+    def _schema(self, folder: str | None = None) -> T.StructType:
+        """The columns of the table; if they are not known yet, those of one folder will do."""
+        stored = self._stored or stored_fields(self.spark, self.path, folder)
+        if not folder:
+            self._stored = stored
+        fields = {field.name: field for field in [*BARS_SCHEMA.fields, *self._declared]}
+        for field in stored:
+            fields.setdefault(field.name, field)
+        return T.StructType(list(fields.values()))
+
+    def _conformed(self, bars: DataFrame, keys: list[str]) -> DataFrame:
+        # An empty store takes its columns from the first batch.
+        schema = self._schema()
+        if not self._stored and not self._declared:
+            schema = T.StructType([*schema.fields, *[x for x in bars.schema.fields if x.name not in BAR_COLUMNS]])
+        return conform(bars, schema, BAR_COLUMNS, keys)
 
     def bars(self, ticker: str | None = None) -> DataFrame:
         """All bars, or those of one ticker.
@@ -49,38 +56,53 @@ class WideStore:
         folder = None
         if self.partitioned and ticker is not None and re.fullmatch(PLAIN_SYMBOL, ticker):
             folder = f"ticker={ticker}"
-        return for_ticker(read_table(self.spark, self.path, self.schema, folder), ticker)
+        return for_ticker(read_table(self.spark, self.path, self._schema(folder), folder), ticker)
 
     def save(self, bars: DataFrame) -> str:
         """Partitioned: add `bars` as new files, so saving twice doubles the rows.
         Unpartitioned: replace the table. Returns the path."""
-        bars = with_native_timestamp(bars)
-        if self.partitioned:
-            write_table(bars, self.path, "ticker", ["timestamp"])
-        else:
-            # Staged first: `bars` may be a query over the table being replaced.
-            with staged(bars, "wide") as ready:
-                ready.write.mode("overwrite").parquet(self.path)
+        with reporting():
+            if self.partitioned:
+                write_table(self._conformed(bars, KEY_COLUMNS), self.path, "ticker", ["timestamp"])
+            else:
+                # Staged first: `bars` may be a query over the table being replaced, whose
+                # columns may be others.
+                schema = T.StructType([*BARS_SCHEMA.fields, *[x for x in bars.schema.fields if x.name not in BAR_COLUMNS]])
+                with staged(conform(bars, schema, BAR_COLUMNS, KEY_COLUMNS), "wide") as ready:
+                    ready.write.mode("overwrite").parquet(self.path)
+        self._stored = None
         return self.path
 
     def upsert(self, bars: DataFrame, order: str | None = None, validated: bool = False) -> int:
         """Insert or replace by (ticker, timestamp); returns the rows written.
 
         Of several rows with one key the one with the largest `order` value is
-        kept. `validated` tells that `bars` come from `load_bars_csv`: their keys
+        kept; without `order`, several rows are an error. Columns of the table that `bars`
+        lack keep their values. `validated` tells that `bars` come from `load_bars_csv`: their keys
         are unique and they are stored already.
         """
         if not self.partitioned:
             raise ValueError("upsert needs a store partitioned by ticker")
-        batch = with_native_timestamp(bars)
-        if validated:
-            return self._upsert(batch)
-        with staged(last_write(batch, KEY_COLUMNS, order), "batch") as batch:
-            return self._upsert(batch)
-
-    def _upsert(self, batch: DataFrame) -> int:
-        batch = batch.select(*self.schema.fieldNames())
-        return upsert_table(self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"])
+        with reporting():
+            known = last_write(bars, KEY_COLUMNS, order)
+            if order and order not in self._schema().fieldNames():
+                known = known.drop(order)
+            # Missing keys are counted by the upsert itself.
+            batch = self._conformed(known, [])
+            lacking = [name for name in batch.columns if name not in bars.columns]
+            if validated:
+                return self._upsert(batch, lacking)
+            with staged(batch, "batch") as batch:
+                if not order:
+                    require_unique(batch, KEY_COLUMNS)
+                return self._upsert(batch, lacking)
+
+    def _upsert(self, batch: DataFrame, lacking: list[str]) -> int:
+        written = upsert_table(
+            self.spark, self.path, batch, KEY_COLUMNS, "timestamp", "ticker", ["timestamp"], lacking=lacking
+        )
+        self._stored = None
+        return written
 
     def verify_integrity(self) -> StoreIntegrity:
         return check_store(self.spark, self.path, self.partitioned)

@@ -3,6 +3,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from candlekit import QueryEngine, StarStore, ValidationError, WideStore, build_all_assets, build_wide_store
 from candlekit.operators import upsert
@@ -194,7 +195,49 @@ def test_extra_columns_are_kept(spark, tmp_path, main_bars):
     store = build_wide_store(spark, bars, str(tmp_path / "wide"))
     assert store.bars().columns == [*BARS_SCHEMA.fieldNames(), "sector"]
     assert {row["sector"] for row in store.bars().collect()} == {"tech"}
-    assert WideStore(spark, store.path).bars().columns == BARS_SCHEMA.fieldNames()
+    assert WideStore(spark, store.path).bars().columns == [*BARS_SCHEMA.fieldNames(), "sector"]
+    # A batch that does not have the column changes it for no row.
+    store.upsert(main_bars.filter("ticker = 'AAPL'").limit(1).withColumn("volume", F.lit(7).cast("int")))
+    assert [row["sector"] for row in store.bars().collect()] == ["tech"] * 10
+    assert [row["sector"] for row in store.bars("AAPL").collect()] == ["tech"] * 5
+    with pytest.raises(ValidationError, match="does not have"):
+        WideStore(spark, store.path).upsert(main_bars.selectExpr("*", "1 as other"))
+
+
+@pytest.mark.parametrize(
+    "change",
+    ["'' as ticker", "cast(null as string) as ticker", "'garbage' as timestamp", "1.5D as volume", "'x' as close"],
+)
+def test_rows_that_cannot_be_stored(spark, tmp_path, main_bars, change):
+    name = change.split()[-1]
+    bad = main_bars.withColumn(name, F.expr(change.rsplit(" as ", 1)[0]))
+    for store in (WideStore(spark, str(tmp_path / "wide")), StarStore(spark, str(tmp_path / "star"))):
+        with pytest.raises(ValidationError):
+            store.upsert(bad)
+        assert store.bars().count() == 0
+    with pytest.raises(ValidationError):
+        WideStore(spark, str(tmp_path / "wide")).save(bad)
+    with pytest.raises(ValidationError, match="close"):
+        WideStore(spark, str(tmp_path / "wide")).save(main_bars.drop("close"))
+
+
+def test_other_types_are_cast(spark, tmp_path, main_bars):
+    other = main_bars.selectExpr(
+        "ticker", "cast(timestamp as string) as timestamp", "cast(open as decimal(10,2)) as open", "high", "low", "close",
+        "cast(volume as double) as volume",
+    )
+    wide = WideStore(spark, str(tmp_path / "wide"))
+    wide.save(other)
+    wide.upsert(main_bars)
+    wide.upsert(other)
+    assert rows_of(wide.bars()) == rows_of(main_bars)
+
+
+def test_repeated_keys_need_an_order(spark, tmp_path, main_bars):
+    twice = main_bars.unionByName(main_bars.withColumn("open", F.lit(2.0)))
+    for store in (WideStore(spark, str(tmp_path / "wide")), StarStore(spark, str(tmp_path / "star"))):
+        with pytest.raises(ValidationError, match="10 keys"):
+            store.upsert(twice)
 
 
 def test_integrity(wide, main_bars):
