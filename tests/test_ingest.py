@@ -1,9 +1,12 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from candlekit.functions import parse_timestamp
 from candlekit.operators import validation
 from candlekit.schema import BARS_SCHEMA, ValidationError
+from candlekit.session import session_settings
 from candlekit.sources.csv_bars import load_and_validate, load_bars_csv, load_tickers_csv, read_text_csv
 
 HEADER = "ticker,timestamp,open,high,low,close,volume\n"
@@ -107,8 +110,25 @@ def test_duplicates_count_every_row(spark, csv):
 
 
 def test_missing_ticker(spark, csv):
-    with pytest.raises(ValidationError, match=r"Missing expected tickers: 1 \['GOOGL'\]"):
+    with pytest.raises(ValidationError, match="Missing expected tickers: 1") as raised:
         load_bars_csv(spark, csv(ROWS[:2]), {"AAPL", "GOOGL"})
+    assert [row["ticker"] for row in raised.value.missing.collect()] == ["GOOGL"]
+
+
+def test_all_missing_tickers_are_told(spark, csv):
+    with pytest.raises(ValidationError, match="Missing expected tickers: 250") as raised:
+        load_bars_csv(spark, csv(ROWS), {"AAPL", *(f"T{i}" for i in range(250))})
+    assert raised.value.missing.count() == 250
+
+
+def test_zone_offsets_become_utc(spark):
+    texts = ["2024-01-02 09:30:00+05:00", "2024-01-02T04:31:00Z", "2024-01-02 04:32:00", "2024-01-02 04:33:00 -0030"]
+    parsed = spark.createDataFrame([(x,) for x in texts], "t STRING").select(parse_timestamp(F.col("t")).alias("t"))
+    assert [row["t"] for row in parsed.collect()][:3] == [datetime(2024, 1, 2, 4, minute) for minute in (30, 31, 32)]
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert session_settings(100 << 40)["spark.sql.shuffle.partitions"] == "819200"
 
 
 def test_unexpected_ticker_is_allowed(spark, csv):

@@ -240,6 +240,12 @@ def test_repeated_keys_need_an_order(spark, tmp_path, main_bars):
             store.upsert(twice)
 
 
+def test_metadata_comes_from_one_row(spark, star):
+    rows = [("A", "Alpha", "NYSE"), ("A", "Beta", "AMEX")]
+    star.add_tickers(spark.createDataFrame(rows, "symbol STRING, name STRING, exchange STRING"))
+    assert star.tickers().select("symbol", "name", "exchange").collect() == [rows[1]]
+
+
 def test_integrity(wide, main_bars):
     wide.save(main_bars)
     check = wide.verify_integrity()
