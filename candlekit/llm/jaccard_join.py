@@ -35,9 +35,10 @@ from candlekit.session import stage, staged
 
 WORDS = 5
 PERCENT = 80
-#: A shingle is frequent if that many documents of a few buffers have it; at most
-#: FREQUENT of them are sent to the executors (8 bytes each).
+#: A shingle is frequent if that many sets have it, counting those of buffers in which
+#: SEEN sets or more have it; at most FREQUENT of them are sent to the executors (8 bytes each).
 COMMON = 32
+SEEN = 3
 FREQUENT = 1 << 20
 BUFFER = 2 << 20
 #: Sets of that size or more are heavy at any cost.
@@ -71,10 +72,11 @@ def _within_head(rows: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _measure(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, value, n). Kind 0: shingles of the heads, in order of hash, that n > 1 texts of a
-    buffer have. Kind 1: sizes of the sets, up to HEAVY, that n texts have. Kind 2: members and
-    lists of the buffer."""
-    held, size = [], 0
+    """(kind, value, n). Kind 0: shingles, of whole sets, that n >= SEEN texts of a buffer
+    have. Those outside the heads count too: they move up when frequent ones are put last.
+    Kind 1: sizes of the sets, up to HEAVY, that n texts have. Kind 2: members and lists of
+    the buffer's heads, in order of hash."""
+    held, heads, size = [], [], 0
     sizes = np.zeros(HEAVY + 1, np.int64)
 
     def rows(kind, values, counts):
@@ -83,20 +85,22 @@ def _measure(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
     def flush():
         tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-        common = counts > 1
+        common = counts >= SEEN
         yield rows(0, tokens[common].view(np.int64), counts[common])
-        yield rows(2, [0, 1], [int(counts.sum()), len(tokens)])
+        listed = np.concatenate(heads)
+        yield rows(2, [0, 1], [len(listed), len(np.unique(listed))])
 
     for batch in batches:
         for chunk in chunks(batch.column("text")):
             shingles, hashes = _distinct(*shingle_hashes(chunk, words))
             own, _, inside = _within_head(shingles, chunk.rows)
             sizes += np.bincount(np.minimum(own, HEAVY), minlength=HEAVY + 1)
-            held.append(hashes[inside])
-            size += len(held[-1])
+            held.append(hashes)
+            heads.append(hashes[inside])
+            size += len(hashes)
             if size >= BUFFER:
                 yield from flush()
-                held, size = [], 0
+                held, heads, size = [], [], 0
     if size:
         yield from flush()
     found = np.flatnonzero(sizes)
