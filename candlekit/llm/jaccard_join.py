@@ -295,19 +295,25 @@ def _lists(sets: DataFrame) -> DataFrame:
     """(key, band, id, pivot, members): the lists of two members or more.
 
     A list has sets of similar size only: every set is in the band of its size and in the
-    next, so that sets of which one is at most 1.25 times the other meet. The pivot is the
-    set with the fewest rare shingles: among edited copies of a text, the one closest to it.
+    next, so that sets of which one is at most 1.25 times the other meet. Lists whose members
+    all come from the band below are left out, as that band's list has the same members. The
+    pivot is the set with the fewest rare shingles: among edited copies of a text, the one
+    closest to it.
     The rows are shuffled once, by key.
     """
     entries = sets.select("id", "size", "rare", F.explode("keys").alias("key"))
     entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1")
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9)
-    banded = entries.select("key", "id", "rare", F.explode(F.array(band, band + 1)).alias("band"))
+    banded = entries.select("key", "id", "rare", band.alias("own"), F.explode(F.array(band, band + 1)).alias("band"))
     one_list = Window.partitionBy("key", "band")
     counted = banded.withColumns(
-        {"members": F.count("*").over(one_list), "pivot": F.min(F.struct("rare", "id")).over(one_list)["id"]}
+        {
+            "members": F.count("*").over(one_list),
+            "pivot": F.min(F.struct("rare", "id")).over(one_list)["id"],
+            "highest": F.max("own").over(one_list),
+        }
     )
-    return counted.filter("members > 1").select("key", "band", "id", "pivot", "members")
+    return counted.filter("members > 1 and highest = band").select("key", "band", "id", "pivot", "members")
 
 
 def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame) -> DataFrame:
