@@ -44,6 +44,9 @@ BUFFER = 2 << 20
 #: Sets of that size or more are heavy at any cost.
 HEAVY = 512
 SKETCH_WORDS = 16
+#: A larger set has a wide sketch too, of about a bit per shingle, up to WIDE bits; beyond
+#: that it only excludes fewer pairs.
+WIDE = 1 << 20
 #: Rounds in which lists are compared with one pivot only, before what remains is compared in full.
 STAR_ROUNDS = 2
 #: Cost of a member of a scanned list, in listed subsets.
@@ -116,8 +119,25 @@ def _sketches(rows: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
     return packed.view("<i8")
 
 
+def _wide_sketches(first: np.ndarray, mixed: np.ndarray) -> pa.ListArray:
+    """Sketches like those of `_sketches`, as wide as the set's size, rounded up to a power of
+    two; empty for sets that have no more shingles than a plain sketch has bits. The two
+    halves of a sketch, combined by xor, are the sketch of half the width."""
+    sizes = np.diff(first)
+    exponent = np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    bits = np.where(sizes > 64 * SKETCH_WORDS, np.minimum(np.int64(1) << exponent, WIDE), 0)
+    starts = np.concatenate([[0], np.cumsum(bits)])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    large = bits[rows] > 0
+    rows = rows[large]
+    places = starts[rows] + (mixed[large] & (bits[rows] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(places, minlength=starts[-1]) & 1).astype(bool)
+    packed = np.packbits(odd, bitorder="little").view("<i8")
+    return pa.ListArray.from_arrays(pa.array(starts // 64, pa.int32()), pa.array(packed, pa.int64()))
+
+
 def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: its set's size, digest, sketch and the keys under which it is listed."""
+    """Per document: its set's size, digest, sketches and the keys under which it is listed."""
     reach = PERCENT * light // 100
     for batch in batches:
         for chunk in chunks(batch.column("text")):
@@ -125,10 +145,12 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
             count = chunk.rows
             first = np.searchsorted(rows, np.arange(count + 1))
             sums = np.zeros((2, len(hashes) + 1), np.uint64)
-            np.cumsum(mix(hashes ^ np.uint64(1)), out=sums[0, 1:])
+            mixed = mix(hashes ^ np.uint64(1))
+            np.cumsum(mixed, out=sums[0, 1:])
             np.cumsum(mix(hashes ^ np.uint64(2)), out=sums[1, 1:])
             digest = (sums[:, first[1:]] - sums[:, first[:-1]]).view(np.int64)
             sketch = _sketches(rows, hashes, count)
+            wide = _wide_sketches(first, mixed)
 
             late = np.zeros(len(hashes), bool)
             if len(frequent) and len(hashes):
@@ -171,9 +193,10 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
                     pa.array(digest[1]),
                     pa.array(rare.astype(np.int64)),
                     sketches,
+                    wide,
                     lists,
                 ],
-                names=["doc_id", "size", "d1", "d2", "rare", "sketch", "keys"],
+                names=["doc_id", "size", "d1", "d2", "rare", "sketch", "wide", "keys"],
             )
 
 
@@ -217,12 +240,28 @@ def _may_link(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
     )
 
 
+def _may_link_wide(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
+    """Like `_may_link`, by the wide sketches, which two large sets of similar size have; the
+    widths differ by one halving at most."""
+    width = F.least(F.size(a), F.size(b))
+
+    def narrow(x: Column) -> Column:
+        halves = F.zip_with(F.slice(x, F.lit(1), width), F.slice(x, width + 1, width), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > width, halves).otherwise(x)
+
+    apart = F.zip_with(narrow(a), narrow(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(apart, F.lit(0), lambda sum_, bits: sum_ + bits)
+    return (width == 0) | (differ * (100 + PERCENT) <= (100 - PERCENT) * (size_a + size_b))
+
+
 def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches allow a link."""
-    described = about.select("id", "size", "sketch")
-    left, right = described.toDF("a", "size_a", "sketch_a"), described.toDF("b", "size_b", "sketch_b")
-    may = _may_link(F.col("sketch_a"), F.col("sketch_b"), F.col("size_a"), F.col("size_b"))
-    return pairs.join(left, "a").join(right, "b").filter(may).select("a", "b")
+    for sketch, may_link in (("sketch", _may_link), ("wide", _may_link_wide)):
+        described = about.select("id", "size", sketch)
+        left, right = described.toDF("a", "size_a", "sketch_a"), described.toDF("b", "size_b", "sketch_b")
+        may = may_link(F.col("sketch_a"), F.col("sketch_b"), F.col("size_a"), F.col("size_b"))
+        pairs = pairs.join(left, "a").join(right, "b").filter(may).select("a", "b")
+    return pairs
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -258,7 +297,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     shared = spark.sparkContext.broadcast(frequent)
     described = texts.mapInArrow(
         lambda batches: _describe(words, shared.value, light, batches),
-        "doc_id BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, rare BIGINT, sketch ARRAY<BIGINT>, keys ARRAY<BIGINT>",
+        "doc_id BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, rare BIGINT, sketch ARRAY<BIGINT>, wide ARRAY<BIGINT>, keys ARRAY<BIGINT>",
     )
     same = ["size", "d1", "d2"]
     with staged(described, "shingle-sets") as described:
@@ -270,11 +309,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         lists = stage(_lists(own.select(F.col("doc_id").alias("id"), "size", "rare", "keys")), "lists")
         listed = lists.select(F.col("id").alias("doc_id")).distinct()
         about = described.join(listed, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
-        about = about.agg(*[F.first(name).alias(name) for name in ("size", "rare", "sketch")])
+        about = about.agg(*[F.first(name).alias(name) for name in ("size", "rare", "sketch", "wide")])
         rare_keys = lists.filter("key % 2 = 0").select("id", "key").distinct().groupBy("id").agg(F.count("*").alias("met"))
         # Rare shingles of the head that no other set of similar size has in its head.
         alone = F.greatest(F.col("rare") - F.coalesce("met", F.lit(0)), F.lit(0)).alias("alone")
-        about = stage(about.join(rare_keys, "id", "left").select("id", "size", alone, "sketch"), "set-sketches")
+        about = stage(about.join(rare_keys, "id", "left").select("id", "size", alone, "sketch", "wide"), "set-sketches")
     found = _link_lists(texts, words, lists, about)
     table = classes.join(found, "id", "left").select(
         *same,

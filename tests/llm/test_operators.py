@@ -21,6 +21,7 @@ from candlekit.llm.components import components
 from candlekit.llm.containment_search import contained_items, without_contained
 from candlekit.llm.curriculum_mix import mix_sources, training_order
 from candlekit.llm.exact_dedup import exact_dedup
+from candlekit.llm.jaccard_join import _wide_sketches as wide_sketches
 from candlekit.llm.jaccard_join import jaccard_components
 from candlekit.llm.language_masks import identify, train
 from candlekit.llm.window_dedup import without_repeated_windows
@@ -226,15 +227,23 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(21)}, 50: 0, 30: 30, 31: 30}
 
 
-def test_jaccard(docs, none):
-    sets = {doc: shingles(text) for doc, text, *_ in TEXTS if doc is not None}
+def jaccard_roots(sets):
     root = {doc: doc for doc in sets}
     for _ in sets:
+        before = dict(root)
         for a in sets:
             for b in sets:
                 common = len(sets[a] & sets[b])
                 if sets[a] and sets[b] and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
                     root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+    return root
+
+
+def test_jaccard(docs, none):
+    sets = {doc: shingles(text) for doc, text, *_ in TEXTS if doc is not None}
+    root = jaccard_roots(sets)
     rows = jaccard_components(docs).collect()
     assert len(rows) == len(TEXTS)
     for row in rows:
@@ -243,6 +252,40 @@ def test_jaccard(docs, none):
     assert jaccard_components(none).count() == 0
 
 
+def edited(text, seed, edits):
+    found = text.split()
+    rng = np.random.default_rng(seed)
+    for place in rng.choice(len(found), edits, replace=False):
+        found[place] = f"new{seed}x{place}"
+    return " ".join(found)
+
+
+@pytest.mark.parametrize("length, edits, copies", [(120, (0, 5), 70), (2060, (8, 60), 14), (1030, (4, 30), 14)])
+def test_jaccard_near_the_threshold(spark, length, edits, copies):
+    """Copies just above and just below the threshold: with frequent shingles, and with sets
+    of different sketch widths."""
+    base = phrase(20, length)
+    texts = {i: edited(base, i, int(np.linspace(*edits, copies)[i])) for i in range(copies)}
+    texts |= {copies + i: " ".join(edited(base, 500 + i, edits[1]).split()[: length * (9 - i) // 9]) for i in range(3)}
+    sets = {doc: shingles(text) for doc, text in texts.items()}
+    root = jaccard_roots(sets)
+    assert 1 < len(set(root.values())) < len(root)
+    found = jaccard_components(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")).collect()
+    assert {row["doc_id"]: row["component_id"] for row in found} == root
+
+
+def test_wide_sketches_fold_and_bound_the_difference():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
+    own = rng.integers(0, 1 << 63, 700, dtype=np.uint64)
+    sets = [shared, np.concatenate([shared, own]), own]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    plain, larger, none = (np.array(x, np.int64) for x in wide_sketches(first, np.concatenate(sets)).to_pylist())
+    assert (len(plain), len(larger), len(none)) == (2048 // 64, 4096 // 64, 0)
+    apart = plain ^ larger[: len(plain)] ^ larger[len(plain) :]
+    assert 350 < sum(int(x).bit_count() for x in apart.view(np.uint64)) <= len(own)
+
+
 @pytest.mark.parametrize("sketch_bytes", [64 << 20, 0])
 def test_windows(docs, none, sketch_bytes):
     seen, expected = set(), {}
