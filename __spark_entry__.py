@@ -238,6 +238,57 @@ def csv_load_with_metadata(spark, folder):
     return load_and_validate(spark, *_csv_files(spark, folder))
 
 
+def csv_timestamp_patterns(spark, folder):
+    """Times before a day are written in another form, those of one hour in a third."""
+    bars, at = event_bars(spark, folder), F.col("timestamp")
+    text = (
+        F.when(F.hour(at) == 3, F.date_format(at, "yyyyMMdd HH.mm"))
+        .when(at < prices.moment(SPLIT), F.date_format(at, "dd/MM/yyyy HH:mm"))
+        .otherwise(at.cast("string"))
+    )
+    path = staging_path(spark, "bars-csv")
+    bars.withColumn("timestamp", text).write.option("header", True).csv(path)
+    return load_bars_csv(spark, path, timestamp_format=["dd/MM/yyyy HH:mm", "yyyyMMdd HH.mm"])
+
+
+def csv_extra_columns(spark, folder):
+    """A column with a dot in its name goes through the file, the load and an upsert."""
+    path = staging_path(spark, "bars-csv")
+    event_bars(spark, folder).withColumn("Adj.Close", F.col("close")).write.option("header", True).csv(path)
+    store = WideStore(spark, staging_path(spark, "wide"))
+    for _ in range(2):
+        store.upsert(load_bars_csv(spark, path), validated=True)
+    bars = store.bars()
+    return bars.toDF(*bars.columns[:-1], "adj_close").withColumn("adj_close", F.col("adj_close").cast("double"))
+
+
+def wide_upsert_extra_columns(spark, folder):
+    """The second batch lacks a column that the stored rows keep."""
+    old, changed = _old_and_changed(event_bars(spark, folder))
+    store = _wide(spark, old.withColumn("sector", F.concat("ticker", F.lit("-1"))))
+    store.upsert(changed)
+    return store.bars()
+
+
+def upsert_twice_same_rows(spark, folder):
+    old, changed = _old_and_changed(event_bars(spark, folder))
+    store = _wide(spark, old)
+    for _ in range(2):
+        store.upsert(changed)
+    return store.bars()
+
+
+def text_timestamps_saved(spark, folder):
+    bars = event_bars(spark, folder)
+    return _wide(spark, bars.withColumn("timestamp", F.col("timestamp").cast("string"))).bars()
+
+
+def flat_replaced(spark, folder):
+    store = _wide(spark, supplier_bars(spark, folder), partitioned=False)
+    store.save(event_bars(spark, folder))
+    return store.bars()
+
+
 def build_all(spark, folder):
     built = build_all_assets(
         spark, *_csv_files(spark, folder), staging_path(spark, "star"), staging_path(spark, "wide")
@@ -318,6 +369,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_tickers": missing_tickers,
         "csv_load": csv_load,
         "csv_load_with_metadata": csv_load_with_metadata,
+        "csv_timestamp_patterns": csv_timestamp_patterns,
+        "csv_extra_columns": csv_extra_columns,
         # star store
         "star_view": star_view,
         "star_price_range": star_price_range,
@@ -335,6 +388,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "flat_roundtrip": flat_roundtrip,
         "appended_twice": appended_twice,
         "wide_upsert": wide_upsert,
+        "wide_upsert_extra_columns": wide_upsert_extra_columns,
+        "upsert_twice_same_rows": upsert_twice_same_rows,
+        "text_timestamps_saved": text_timestamps_saved,
+        "flat_replaced": flat_replaced,
         "store_integrity": store_integrity,
         "store_summary": store_summary,
         # both stores
@@ -601,6 +658,8 @@ def oracle_sql() -> dict[str, str]:
                               WHERE o_custkey NOT IN (SELECT user_id FROM events)""",
         "csv_load": _select("event_bars"),
         "csv_load_with_metadata": _select("event_bars"),
+        "csv_timestamp_patterns": _select("event_bars"),
+        "csv_extra_columns": _sql("event_bars", f'SELECT {BARS}, "close" AS adj_close FROM event_bars'),
         "star_view": _select("supplier_bars"),
         "star_price_range": _select("event_bars", view_range),
         "dim_metadata": """SELECT row_number() OVER (ORDER BY symbol) AS ticker_id, symbol,
@@ -625,6 +684,11 @@ def oracle_sql() -> dict[str, str]:
         "flat_roundtrip": _select("supplier_bars"),
         "appended_twice": _counts("event_bars", 2),
         "wide_upsert": changed,
+        "wide_upsert_extra_columns": f"""
+            SELECT *, CASE WHEN "timestamp" < TIMESTAMP '2024-01-20' THEN ticker || '-1' END AS sector FROM ({changed})""",
+        "upsert_twice_same_rows": changed,
+        "text_timestamps_saved": _select("event_bars"),
+        "flat_replaced": _select("event_bars"),
         "store_integrity": _sql(
             "user_ticks",
             "SELECT ticker, count(*) AS records, CAST(0 AS BIGINT) AS bad_files FROM user_ticks GROUP BY 1",

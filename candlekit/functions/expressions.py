@@ -5,6 +5,8 @@ session time zone (a cast through TIMESTAMP would move times that fall into a
 daylight-saving gap).
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,8 +63,8 @@ def _wall_clock(instant: Column) -> Column:
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-def parse_timestamp(column: Column, pattern: str = DEFAULT_PATTERN) -> Column:
-    """Text to TIMESTAMP_NTZ: the given pattern first, ISO-like forms after it.
+def parse_timestamp(column: Column, pattern: str | Sequence[str] = DEFAULT_PATTERN) -> Column:
+    """Text to TIMESTAMP_NTZ: the given patterns in their order, ISO-like forms after them.
 
     A time with a zone offset (or Z) becomes the UTC wall-clock time of that instant.
 
@@ -73,10 +75,14 @@ def parse_timestamp(column: Column, pattern: str = DEFAULT_PATTERN) -> Column:
     text = F.trim(column.cast("string"))
     instant = _wall_clock(text.try_cast("timestamp"))
     iso = F.when(text.rlike(ZONE_PATTERN), instant).otherwise(text.try_cast("timestamp_ntz"))
-    if pattern == DEFAULT_PATTERN:
-        return iso
-    with_zone = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(pattern + " X"))
-    return F.coalesce(_wall_clock(with_zone), iso)
+
+    def parsed(one: str) -> Column:
+        if one == DEFAULT_PATTERN:
+            return iso
+        return _wall_clock(F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(one + " X")))
+
+    patterns = [pattern] if isinstance(pattern, str) else list(pattern)
+    return F.coalesce(*[parsed(one) for one in patterns if one != DEFAULT_PATTERN or len(patterns) > 1], iso)
 
 
 def percent_return(first: Column, last: Column) -> Column:

@@ -32,6 +32,10 @@ TASK_BARS = 1_000_000
 # sessions alone make bars about five times as dense as on average.
 UNEVENNESS = 16
 
+# How far the edges of one ticker may exceed the same number. A ticker with few bars in a
+# slot would have hardly anything but edges.
+EDGES = 2
+
 AUTO = "auto"
 RANGES = "ranges"
 
@@ -39,11 +43,20 @@ RANGES = "ranges"
 Slot = int | str | None
 
 
-def _largest(bars: DataFrame, *group: str | Column) -> int:
+def _largest(bars: DataFrame, *group: str) -> int:
     rows = bars.groupBy(*group).agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0]
     return rows or 0
 
 
+def _fullest_and_edges(bars: DataFrame, slot: Column, reach: int) -> tuple[int, int]:
+    """The most bars of a slot, and the most edges of a ticker."""
+    slots = bars.groupBy("ticker", slot).agg(F.count("*").alias("rows"))
+    edges = F.sum(F.least("rows", F.lit(2 * max(reach, 1))))
+    tickers = slots.groupBy("ticker").agg(F.max("rows").alias("fullest"), edges.alias("edges"))
+    worst = tickers.agg(F.max("fullest"), F.max("edges")).first()
+    return worst[0] or 0, worst[1] or 0
+
+
 def _time_slot(seconds: int) -> Column:
     return F.floor(seconds_since_epoch(F.col("timestamp")) / F.lit(seconds)).alias("_slot")
 
@@ -67,7 +80,8 @@ def choose_slot(bars: DataFrame, reach: int, task_bars: int = TASK_BARS) -> Slot
     # Wider slots leave fewer edges: keep both levels of the split about equal.
     bars_per_slot = max(task_bars, math.isqrt(2 * reach * longest))
     seconds = max(1, int(densest * bars_per_slot))
-    even = _largest(bars, "ticker", _time_slot(seconds)) <= UNEVENNESS * bars_per_slot
+    fullest, edges = _fullest_and_edges(bars, _time_slot(seconds), reach)
+    even = fullest <= UNEVENNESS * bars_per_slot and edges <= EDGES * bars_per_slot
     return seconds if even else RANGES
 
 

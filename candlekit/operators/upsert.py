@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlekit.schema import TICKERS_SCHEMA, ValidationError
+from candlekit.schema import TICKERS_SCHEMA, ValidationError, quoted
 from candlekit.session import stage
 
 
@@ -30,8 +30,8 @@ def require_unique(batch: DataFrame, keys: list[str]) -> None:
 def merge(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """`existing` without the keys of `batch`, plus `batch`."""
     columns = existing.columns
-    kept = existing.join(batch.select(*keys), keys, "left_anti").select(*columns)
-    return kept.unionByName(batch.select(*columns))
+    kept = existing.join(batch.select(*keys), keys, "left_anti").select(*quoted(columns))
+    return kept.unionByName(batch.select(*quoted(columns)))
 
 
 def number_rows(df: DataFrame, order: str, column: str, first: int) -> DataFrame:
@@ -74,6 +74,8 @@ def new_dimension_rows(dimension: DataFrame, symbols: DataFrame) -> DataFrame:
         .select("symbol", *[F.col(f"row.{name}").alias(name) for name in described])
     )
     unknown = wanted.join(dimension.select("symbol"), "symbol", "left_anti")
+    if unknown.isEmpty():
+        return dimension.sparkSession.createDataFrame([], TICKERS_SCHEMA)
     largest = dimension.agg(F.coalesce(F.max("ticker_id"), F.lit(0))).first()[0]
     numbered = number_rows(unknown, "symbol", "ticker_id", largest + 1)
     for name in ("name", "exchange"):

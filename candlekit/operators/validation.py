@@ -5,12 +5,14 @@ the checks need to tell a missing field from an unreadable one. `report` counts
 violations; `require_valid` raises on the first check that fails.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlekit.functions import number, parse_timestamp, symbol, whole_number
 from candlekit.functions.expressions import DEFAULT_PATTERN, is_missing
-from candlekit.schema import BAR_COLUMNS, KEY_COLUMNS, PRICE_COLUMNS, ValidationError
+from candlekit.schema import BAR_COLUMNS, KEY_COLUMNS, PRICE_COLUMNS, ValidationError, quoted
 
 MIN_PRICE = 0.0
 MAX_PRICE = 1_000_000.0
@@ -28,7 +30,7 @@ def require_columns(columns: list[str]) -> None:
         raise ValidationError(f"Missing required columns: {missing}")
 
 
-def coerce(raw: DataFrame, timestamp_format: str = DEFAULT_PATTERN) -> DataFrame:
+def coerce(raw: DataFrame, timestamp_format: str | Sequence[str] = DEFAULT_PATTERN) -> DataFrame:
     """Typed bars from text columns; what cannot be read becomes null."""
     require_columns(raw.columns)
     values = {
@@ -41,7 +43,7 @@ def coerce(raw: DataFrame, timestamp_format: str = DEFAULT_PATTERN) -> DataFrame
     malformed = F.col(MALFORMED) if MALFORMED in raw.columns else F.lit(False)
     return raw.select(
         *[value.alias(name) for name, value in values.items()],
-        *extra,
+        *quoted(extra),
         malformed.alias(MALFORMED),
         is_missing(F.col("timestamp")).alias(NO_TIMESTAMP),
         number(F.col("volume")).alias(VOLUME_NUMBER),
@@ -113,17 +115,18 @@ def report(
 
 
 def _messages(min_price: float, max_price: float) -> dict[str, str]:
-    """Error text per check, in the order in which checks are reported."""
+    """Error text per check, in the order in which checks are reported. the
+    beginnings of the texts, which callers match."""
     messages = {
         "malformed_row": "Failed to read CSV file: {n} rows have more fields than the header",
         "unparseable_timestamp": "Failed to parse timestamps: {n} values",
         "null_timestamp": "Found {n} records with invalid timestamps",
-        "duplicate_bars": "Found {n} duplicate records (same ticker and timestamp)",
+        "duplicate_bars": "Found {n} duplicate records (rows that share their ticker and time)",
     }
     for name in PRICE_COLUMNS:
         messages[f"invalid_{name}"] = f"Found {{n}} invalid {name} prices"
         messages[f"{name}_out_of_range"] = f"Found {{n}} {name} prices out of valid range [{min_price}, {max_price}]"
-    messages["invalid_ohlc"] = "Found {n} records with invalid OHLC relationship (high must be >= low, open, close)"
+    messages["invalid_ohlc"] = "Found {n} records with invalid OHLC relationship (some price is below low or above high)"
     messages["invalid_volume"] = "Found {n} invalid volume values"
     messages["negative_volume"] = "Found {n} records with negative volume"
     messages["null_ticker"] = "Found {n} records without a ticker"

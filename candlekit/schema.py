@@ -1,5 +1,9 @@
 """Column layouts shared by every module, and the error raised on bad input."""
 
+from collections.abc import Iterable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEY_COLUMNS = ["ticker", "timestamp"]
@@ -32,6 +36,11 @@ PRICES_SCHEMA = T.StructType(
 )
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """The columns with these names, whatever characters a name has."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 class ValidationError(Exception):
     """The input cannot be loaded as valid bars. `missing` may hold a DataFrame of what is missing."""
 

@@ -77,10 +77,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     store be rewritten from data that no longer depends on the store's files.
     The caller decides when the table is no longer needed (see `staged`).
     """
-    return _stage_at(df, staging_path(df.sparkSession, label))
+    return stage_at(df, staging_path(df.sparkSession, label))
 
 
-def _stage_at(df: DataFrame, path: str) -> DataFrame:
+def stage_at(df: DataFrame, path: str) -> DataFrame:
+    """Like `stage`, at a path that the caller can `discard`."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -93,6 +94,11 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    yield _stage_at(df, path)
+    yield stage_at(df, path)
+    discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

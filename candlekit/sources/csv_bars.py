@@ -1,6 +1,6 @@
 """CSV sources: bars and ticker metadata."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -18,15 +18,18 @@ from candlekit.operators.validation import (
     require_valid,
     typed_bars,
 )
-from candlekit.schema import TICKERS_CSV_COLUMNS, ValidationError
-from candlekit.session import stage
+from candlekit.schema import TICKERS_CSV_COLUMNS, ValidationError, quoted
+from candlekit.session import discard, stage, stage_at, staging_path
 
 _CORRUPT = "_corrupt_row"
 
+# A field in quotes, in which a quote is doubled.
+_QUOTED_FIELD = r'(?<=^|,)"[^"]*+(?:""[^"]*+)*+"'
+
 
 def _header(spark: SparkSession, path: str) -> list[str]:
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.option("header", True).option("escape", '"').csv(path).columns
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise ValidationError(f"File not found: {path}") from error
@@ -36,7 +39,8 @@ def _header(spark: SparkSession, path: str) -> list[str]:
 def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
     """All columns as text under trimmed, lower-case names.
 
-    A row with more fields than the header is marked in the `_malformed` column.
+    A row with more fields than the header is marked in the `_malformed` column. Names that
+    are equal when trimmed and in lower case raise ValidationError.
     Every file of a folder must have the same header.
     """
     header = _header(spark, path)
@@ -46,16 +50,22 @@ def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ())
     missing = sorted(set(required) - set(names))
     if missing:
         raise ValidationError(f"Missing required columns: {missing}")
+    repeated = sorted({name for name in names if names.count(name) > 1})
+    if repeated:
+        raise ValidationError(f"Repeated columns: {repeated}")
     fields = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in [*header, _CORRUPT])
     raw = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("escape", '"')
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .schema(fields)
         .csv(path)
     )
-    # Short rows are marked too, but their last column is null.
-    too_long = F.col(_CORRUPT).isNotNull() & F.col(names[-1]).isNotNull()
+    # Short rows are marked too: their last column is null and they have fewer separators.
+    separators = F.regexp_count(F.regexp_replace(_CORRUPT, _QUOTED_FIELD, ""), F.lit(","))
+    last = quoted(names)[-1]
+    too_long = F.col(_CORRUPT).isNotNull() & (last.isNotNull() | (separators >= len(names)))
     return raw.toDF(*names, _CORRUPT).withColumn(MALFORMED, too_long).drop(_CORRUPT)
 
 
@@ -82,26 +92,34 @@ def load_bars_csv(
     spark: SparkSession,
     path: str,
     expected_tickers: DataFrame | Iterable[str] | None = None,
-    timestamp_format: str = DEFAULT_PATTERN,
+    timestamp_format: str | Sequence[str] = DEFAULT_PATTERN,
     min_price: float = MIN_PRICE,
     max_price: float = MAX_PRICE,
 ) -> DataFrame:
     """Validated bars, with any extra columns of the file.
 
     The text is parsed once, into a staged Parquet table; validation and every
-    later use read that table. `timestamp_format` is a Spark datetime pattern.
+    later use read that table; it is deleted if a check fails. `timestamp_format` is a Spark
+    datetime pattern, or several, of which the first that fits a value is taken.
     `expected_tickers` is a list of symbols or a DataFrame with them in its
     first column.
     """
     raw = read_text_csv(spark, path)
     require_columns(raw.columns)
+    folder = staging_path(spark, "csv-bars")
     try:
-        coerced = stage(coerce(raw, timestamp_format), "csv-bars")
+        coerced = stage_at(coerce(raw, timestamp_format), folder)
+        require_valid(coerced, _expected_frame(spark, expected_tickers), min_price, max_price)
+    except ValidationError as error:
+        if error.missing is not None:
+            error.missing = stage(error.missing, "missing-tickers")
+        discard(spark, folder)
+        raise
     except (PySparkException, Py4JJavaError) as error:
+        discard(spark, folder)
         if "FAILED_READ_FILE" in str(error):
             raise ValidationError(f"Failed to read CSV file: {error}") from error
         raise
-    require_valid(coerced, _expected_frame(spark, expected_tickers), min_price, max_price)
     return typed_bars(coerced)
 
 

@@ -6,7 +6,7 @@ their complete new content is still in the staging folder.
 """
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
@@ -18,15 +18,11 @@ from pyspark.sql import types as T
 from candlekit.functions import parse_timestamp
 from candlekit.operators.prices import moment
 from candlekit.operators.upsert import merge
-from candlekit.schema import KEY_COLUMNS, ValidationError
+from candlekit.schema import KEY_COLUMNS, ValidationError, quoted
 from candlekit.session import staged
 
 FAULT = "candlekit cannot store"
 
-# Most partition values that are passed to a scan as literals. Above it, the
-# affected partitions are found by a join.
-LITERAL_PARTITIONS = 10_000
-
 
 def conform(df: DataFrame, schema: T.StructType, required: list[str], keys: list[str]) -> DataFrame:
     """`df` with the columns of `schema`, in its order and types.
@@ -99,7 +95,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, folder: str
     reader = spark.read.schema(schema).option("basePath", path)
     try:
         # A scan puts partition columns last; keep the given order.
-        return reader.parquet(f"{path}/{folder}" if folder else path).select(*schema.fieldNames())
+        return reader.parquet(f"{path}/{folder}" if folder else path).select(*quoted(schema.fieldNames()))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
@@ -132,14 +128,13 @@ def upsert_table(
     time: str,
     partition: str,
     sort: list[str],
-    partition_of: Callable[[Column], Column] | None = None,
     lacking: list[str] = (),
 ) -> int:
     """Insert or replace rows by key; returns the number of rows written.
 
-    `partition_of` gives the partition of a time, if that alone decides it: then only the
-    partitions of the batch's time span are read. Replaced rows keep their values in the
-    columns named `lacking`, which the batch does not know.
+    Only partitions between the first and the last of the batch are read, and of these only
+    the ones that have a key in common with it where Spark can broadcast their names. Replaced
+    rows keep their values in the columns named `lacking`, which the batch does not know.
 
     `batch` must be unique in `keys` and cheap to read several times, that is
     come from a stored table other than this one. Partitions without a key in
@@ -152,6 +147,8 @@ def upsert_table(
         F.count_if(reduce(Column.__or__, no_key)).alias("without_key"),
         F.min(time).alias("first"),
         F.max(time).alias("last"),
+        F.min(partition).alias("low"),
+        F.max(partition).alias("high"),
     ).first()
     if span["without_key"]:
         raise ValidationError(f"Found {span['without_key']} records without a ticker or timestamp")
@@ -159,27 +156,22 @@ def upsert_table(
         return 0
 
     existing = read_table(spark, path, batch.schema)
+    existing = existing.filter(F.col(partition).between(F.lit(span["low"]), F.lit(span["high"])))
     nearby = existing.filter(F.col(time).between(moment(span["first"]), moment(span["last"])))
-    if partition_of:
-        first, last = (partition_of(moment(span[name])) for name in ("first", "last"))
-        nearby = nearby.filter(F.col(partition).between(first, last))
     hits = nearby.join(batch.select(*keys), keys, "left_semi").select(partition).distinct()
     with staged(hits, "hits") as hits:
-        values = [row[0] for row in hits.limit(LITERAL_PARTITIONS + 1).collect()]
-        if not values:
+        if hits.isEmpty():
             write_table(batch, path, partition, sort)
             return span["rows"]
 
         def hit(df: DataFrame) -> DataFrame:
-            if len(values) <= LITERAL_PARTITIONS:
-                return df.filter(F.col(partition).isin(values))
-            return df.join(hits, partition, "left_semi").select(*df.columns)
+            return df.join(hits, partition, "left_semi").select(*quoted(df.columns))
 
-        fresh = batch.join(hits, partition, "left_anti").select(*batch.columns)
+        fresh = batch.join(hits, partition, "left_anti").select(*quoted(batch.columns))
         replacing = hit(batch)
         if lacking:
-            old = hit(existing).select(*keys, *lacking)
-            replacing = replacing.drop(*lacking).join(old, keys, "left").select(*batch.columns)
+            old = hit(existing).select(*keys, *quoted(lacking))
+            replacing = replacing.drop(*lacking).join(old, keys, "left").select(*quoted(batch.columns))
         with staged(merge(hit(existing), replacing, keys), "merged") as merged:
             write_table(merged, path, partition, sort, replace=True)
             write_table(fresh, path, partition, sort)

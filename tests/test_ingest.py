@@ -1,3 +1,4 @@
+import glob
 from datetime import datetime
 
 import pytest
@@ -9,6 +10,7 @@ from candlekit.schema import BARS_SCHEMA, ValidationError
 from candlekit.session import session_settings
 from candlekit.sources.csv_bars import load_and_validate, load_bars_csv, load_tickers_csv, read_text_csv
 
+# The header and rows of the fixture.
 HEADER = "ticker,timestamp,open,high,low,close,volume\n"
 ROWS = [
     "AAPL,2024-01-02 09:30:00,185.50,186.00,185.00,185.75,1000000",
@@ -87,6 +89,47 @@ def test_defect_in_a_file(spark, csv, changes, message):
         load_bars_csv(spark, csv([one_row(**changes), ROWS[2]]))
 
 
+@pytest.mark.parametrize(
+    "row, malformed",
+    [
+        (ROWS[0] + ",,junk", True),  # the last field of the header is empty
+        (ROWS[0] + ",,", True),
+        (ROWS[0] + ',"a,b",c', True),
+        (ROWS[0] + ',"a,""b"",c"', False),
+        (ROWS[0] + ",", False),
+        (ROWS[0], False),
+    ],
+)
+def test_rows_longer_than_the_header(spark, csv, row, malformed):
+    path = csv([ROWS[2] + ",tech", row], HEADER.strip() + ",sector\n")
+    found = {r["ticker"]: r["_malformed"] for r in read_text_csv(spark, path).collect()}
+    assert found == {"AAPL": malformed, "GOOGL": False}
+
+
+def test_extra_headers(spark, csv):
+    bars = load_bars_csv(spark, csv([ROWS[0] + ",1,2"], HEADER.strip() + ",adj.close,a`b\n"))
+    assert bars.columns[-2:] == ["adj.close", "a`b"]
+    assert tuple(bars.first())[-2:] == ("1", "2")
+    for names in ("note, Note", "note,note", "note,Note"):
+        with pytest.raises(ValidationError):
+            load_bars_csv(spark, csv([ROWS[0] + ",1,2"], f"{HEADER.strip()},{names}\n"))
+
+
+def test_several_timestamp_patterns(spark, csv):
+    texts = ["02/01/2024 09:30", "2024.01.02 09:31", "2024-01-02 09:32:00", "2024-01-02T09:33:00"]
+    path = csv([one_row(timestamp=text) for text in texts])
+    bars = load_bars_csv(spark, path, timestamp_format=["dd/MM/yyyy HH:mm", "yyyy.MM.dd HH:mm", "yyyy-MM-dd HH:mm:ss"])
+    assert sorted(row["timestamp"].minute for row in bars.collect()) == [30, 31, 32, 33]
+
+
+def test_failed_loads_leave_nothing_staged(spark, csv):
+    staged = spark.conf.get("spark.checkpoint.dir") + "/candlekit/csv-bars-*"
+    before = set(glob.glob(staged))
+    with pytest.raises(ValidationError):
+        load_bars_csv(spark, csv([one_row(open="-1")]))
+    assert set(glob.glob(staged)) == before
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(ValidationError, match="File not found"):
         load_bars_csv(spark, str(tmp_path / "none.csv"))

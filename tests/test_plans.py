@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from candlekit import QueryEngine, StarStore, WideStore
 from candlekit.operators import prices, rolling
+from candlekit.sources import tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -55,6 +56,20 @@ def test_star_range_prunes_months_and_needs_no_join(engine):
     assert "Join" not in text
 
 
+@pytest.mark.parametrize("store, first", [("wide", r"ticker#\d+ >= GOOGL"), ("star", r"month#\d+ >= 2024-01-01")])
+def test_upserts_prune_partitions(engine, main_bars, monkeypatch, store, first):
+    plans, staged = {}, tables.staged
+
+    def spy(df, label):
+        plans[label] = plan(df)
+        return staged(df, label)
+
+    monkeypatch.setattr(tables, "staged", spy)
+    getattr(engine, store).upsert(main_bars.filter("ticker = 'GOOGL'"))
+    assert re.search("PartitionFilters: .*" + first, plans["hits"])
+    assert re.search("PartitionFilters: .*" + first + ".*dynamicpruning", plans["merged"])
+
+
 def test_only_needed_columns_are_read(engine):
     wide = plan(prices.avg_volume(engine.wide.bars("AAPL"), "AAPL"))
     assert "ReadSchema: struct<volume:bigint>" in wide
@@ -93,7 +108,7 @@ def test_top_tickers_need_no_sort_of_bars(engine):
 def test_no_python_and_no_cross_join_in_query_plans(spark):
     builders = registry.queries()
     names = [name for name, build in builders.items() if build.__name__ == "<lambda>"]
-    names += ["validation_report", "normalized_bars", "duplicate_bars", "missing_tickers", "merged_bars", "star_audit"]
+    names += ["validation_report", "normalized_bars", "duplicate_bars", "missing_tickers", "merged_bars", "star_audit", "last_writes"]
     for name in names:
         text = plan(builders[name](spark, FOLDER))
         for node in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SortAggregate"):

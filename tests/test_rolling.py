@@ -108,6 +108,19 @@ def test_bars_crowded_in_time_are_cut_into_ranges(spark, many_ranges, monkeypatc
     check(bars, series, 5, rolling.AUTO)
 
 
+def test_sparse_bars_do_not_all_become_edges(spark, many_ranges, monkeypatch):
+    """Slots that suit a dense ticker would leave a sparse one with a bar each."""
+    series = {
+        "DENSE": [(START + timedelta(seconds=i), 1.0 + i % 7) for i in range(2000)],
+        "SPARSE": [(START + timedelta(days=i), 1.0 + i % 5) for i in range(300)],
+    }
+    bars = bars_of(spark, series)
+    assert rolling.choose_slot(bars.filter("ticker = 'DENSE'"), 5, task_bars=50) != rolling.RANGES
+    assert rolling.choose_slot(bars, 5, task_bars=50) == rolling.RANGES
+    monkeypatch.setattr(rolling.choose_slot, "__defaults__", (50,))
+    check(bars, series, 5, rolling.AUTO)
+
+
 def test_automatic_split(spark, uneven, monkeypatch):
     bars = bars_of(spark, uneven)
     monkeypatch.setattr(rolling.choose_slot, "__defaults__", (50,))

@@ -60,11 +60,16 @@ def test_upsert(request, main_bars, changes, store):
 
 
 @pytest.mark.parametrize("store", ["star", "wide"])
-def test_upsert_without_literal_partitions(request, monkeypatch, main_bars, changes, store):
-    monkeypatch.setattr(tables, "LITERAL_PARTITIONS", 0)
+def test_upsert_without_broadcast(request, spark, main_bars, changes, store):
     store = request.getfixturevalue(store)
-    store.upsert(main_bars)
-    store.upsert(changes)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        store.upsert(main_bars)
+        store.upsert(changes)
+    finally:
+        spark.conf.set(key, old)
     assert rows_of(store.bars()) == after_upsert(main_bars, changes)
 
 
@@ -240,6 +245,23 @@ def test_repeated_keys_need_an_order(spark, tmp_path, main_bars):
             store.upsert(twice)
 
 
+def test_extra_columns_with_dots(spark, tmp_path, main_bars):
+    store = WideStore(spark, str(tmp_path / "wide"))
+    store.upsert(main_bars.withColumn("adj.close", F.lit(1.5)))
+    store.upsert(main_bars.withColumn("adj.close", F.lit(2.5)).filter("ticker = 'AAPL'"))
+    store.upsert(main_bars)
+    rows = store.bars().select("ticker", "`adj.close`").distinct()
+    assert rows_of(rows) == [("AAPL", 2.5), ("GOOGL", 1.5)]
+
+
+def test_no_numbers_are_staged_for_known_tickers(spark, star, main_bars):
+    star.upsert(main_bars)
+    staging = spark.conf.get("spark.checkpoint.dir")
+    before = set(glob.glob(staging + "/candlekit/*"))
+    star.upsert(main_bars)
+    assert set(glob.glob(staging + "/candlekit/*")) == before
+
+
 def test_metadata_comes_from_one_row(spark, star):
     rows = [("A", "Alpha", "NYSE"), ("A", "Beta", "AMEX")]
     star.add_tickers(spark.createDataFrame(rows, "symbol STRING, name STRING, exchange STRING"))
