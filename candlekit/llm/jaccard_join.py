@@ -136,6 +136,14 @@ def _wide_sketches(first: np.ndarray, mixed: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(starts // 64, pa.int32()), pa.array(packed, pa.int64()))
 
 
+def _digests(first: np.ndarray, mixed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums over the shingles of every set; with the size, they identify it."""
+    sums = np.zeros((2, len(hashes) + 1), np.uint64)
+    np.cumsum(mixed, out=sums[0, 1:])
+    np.cumsum(mix(hashes ^ np.uint64(2)), out=sums[1, 1:])
+    return (sums[:, first[1:]] - sums[:, first[:-1]]).view(np.int64)
+
+
 def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: its set's size, digest, sketches and the keys under which it is listed."""
     reach = PERCENT * light // 100
@@ -144,11 +152,8 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
             rows, hashes = _distinct(*shingle_hashes(chunk, words))
             count = chunk.rows
             first = np.searchsorted(rows, np.arange(count + 1))
-            sums = np.zeros((2, len(hashes) + 1), np.uint64)
             mixed = mix(hashes ^ np.uint64(1))
-            np.cumsum(mixed, out=sums[0, 1:])
-            np.cumsum(mix(hashes ^ np.uint64(2)), out=sums[1, 1:])
-            digest = (sums[:, first[1:]] - sums[:, first[:-1]]).view(np.int64)
+            digest = _digests(first, mixed, hashes)
             sketch = _sketches(rows, hashes, count)
             wide = _wide_sketches(first, mixed)
 
@@ -188,6 +193,7 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(chunk.first, count),
+                    batch.column("mark").slice(chunk.first, count),
                     pa.array(sizes.astype(np.int64)),
                     pa.array(digest[0]),
                     pa.array(digest[1]),
@@ -196,7 +202,7 @@ def _describe(words: int, frequent: np.ndarray, light: int, batches: Iterator[pa
                     wide,
                     lists,
                 ],
-                names=["doc_id", "size", "d1", "d2", "rare", "sketch", "wide", "keys"],
+                names=["doc_id", "mark", "size", "d1", "d2", "rare", "sketch", "wide", "keys"],
             )
 
 
@@ -205,9 +211,11 @@ def _sets(words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for chunk in chunks(batch.column("text")):
             rows, hashes = _distinct(*shingle_hashes(chunk, words))
             first = np.searchsorted(rows, np.arange(chunk.rows + 1))
+            digest = _digests(first, mix(hashes ^ np.uint64(1)), hashes)
             lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(chunk.first, chunk.rows), lists], names=["id", "shingles"]
+                [pa.array(np.diff(first).astype(np.int64)), pa.array(digest[0]), pa.array(digest[1]), lists],
+                names=["size", "d1", "d2", "shingles"],
             )
 
 
@@ -281,10 +289,31 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     doc_id that can be reached by links, its own included. class_id is the smallest
     doc_id with the same set. Repeated rows give the same result each. A row without
     doc_id belongs to its class but names none: its ids are null if no row with a
-    doc_id has its set. Other columns are not read. An empty table gives an empty result.
+    doc_id has its set. Rows that share a doc_id but not the set are told apart: each has
+    the links of its own text. Other columns are not read. An empty table gives an empty result.
+    """
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+    return linked_sets(docs, words).select(
+        "doc_id", "n_shingles", *[F.coalesce(own, name).alias(name) for name in ("component_id", "class_id")]
+    )
+
+
+def row_mark() -> Column:
+    """With the doc_id, what a row is known by: rows equal in both have the same text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
+def linked_sets(docs: DataFrame, words: int = WORDS, nameless: bool = False) -> DataFrame:
+    """(doc_id, mark, n_shingles, class, component, class_id, component_id) for every row of `docs`.
+
+    `mark` is the row's `row_mark`. Rows with the same set have the same class, classes linked
+    directly or not the same component; both are numbers of no other meaning, null for a
+    row without shingles. The ids are the smallest doc_ids of class and component. Sets that
+    only rows without doc_id have are joined if `nameless`; else they link with nothing and
+    all four are null.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_mark().alias("mark"), "text")
     measured = texts.select("text").mapInArrow(lambda batches: _measure(words, batches), "kind INT, value BIGINT, n BIGINT")
     measures = stage(measured.groupBy("kind", "value").agg(F.sum("n").alias("n")), "set-measures")
     top = measures.filter((F.col("kind") == 0) & (F.col("n") >= COMMON)).orderBy(F.desc("n"), "value").limit(FREQUENT)
@@ -297,36 +326,37 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     shared = spark.sparkContext.broadcast(frequent)
     described = texts.mapInArrow(
         lambda batches: _describe(words, shared.value, light, batches),
-        "doc_id BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, rare BIGINT, sketch ARRAY<BIGINT>, wide ARRAY<BIGINT>, keys ARRAY<BIGINT>",
+        "doc_id BIGINT, mark BIGINT, size BIGINT, d1 BIGINT, d2 BIGINT, rare BIGINT, sketch ARRAY<BIGINT>, wide ARRAY<BIGINT>, keys ARRAY<BIGINT>",
     )
     same = ["size", "d1", "d2"]
-    with staged(described, "shingle-sets") as described:
-        members = stage(described.select("doc_id", *same), "set-members")
-        named = members.filter("size > 0 and doc_id is not null")
-        classes = stage(named.groupBy(*same).agg(F.min("doc_id").alias("id")), "set-classes")
+    # The number of a row stands for its set from here on: a doc_id can be on several texts.
+    with staged(described.withColumn("id", F.monotonically_increasing_id()), "shingle-sets") as described:
+        members = stage(described.select("doc_id", "mark", "id", *same), "set-members")
+        joining = members.filter("size > 0" if nameless else "size > 0 and doc_id is not null")
+        classes = joining.groupBy(*same).agg(
+            F.min("id").alias("id"), F.min_by("mark", "id").alias("mark"), F.min("doc_id").alias("class_id")
+        )
+        classes = stage(classes, "set-classes")
         # Equal sets have equal keys: those of the representative's row are taken.
-        own = described.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        lists = stage(_lists(own.select(F.col("doc_id").alias("id"), "size", "rare", "keys")), "lists")
-        listed = lists.select(F.col("id").alias("doc_id")).distinct()
-        about = described.join(listed, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id"))
-        about = about.agg(*[F.first(name).alias(name) for name in ("size", "rare", "sketch", "wide")])
+        own = described.join(classes.select("id"), "id", "left_semi")
+        lists = stage(_lists(own.select("id", "size", "rare", "keys")), "lists")
+        listed = lists.select("id").distinct()
+        about = described.join(listed, "id", "left_semi").select("id", "size", "rare", "sketch", "wide")
         rare_keys = lists.filter("key % 2 = 0").select("id", "key").distinct().groupBy("id").agg(F.count("*").alias("met"))
         # Rare shingles of the head that no other set of similar size has in its head.
         alone = F.greatest(F.col("rare") - F.coalesce("met", F.lit(0)), F.lit(0)).alias("alone")
         about = stage(about.join(rare_keys, "id", "left").select("id", "size", alone, "sketch", "wide"), "set-sketches")
-    found = _link_lists(texts, words, lists, about)
-    table = classes.join(found, "id", "left").select(
+    found = _link_lists(texts, words, lists, about, classes)
+    smallest = found.join(classes.select("id", "class_id"), "id").groupBy("component").agg(F.min("class_id").alias("component_id"))
+    table = classes.join(found.join(smallest, "component"), "id", "left").select(
         *same,
-        F.col("id").alias("class_id"),
-        F.coalesce("component", "id").alias("component_id"),
+        F.col("id").alias("class"),
+        F.coalesce("component", "id").alias("component"),
+        "class_id",
+        F.coalesce("component_id", "class_id").alias("component_id"),
     )
-    joined = members.join(table, same, "left")
-    own = F.when(F.col("size") == 0, F.col("doc_id"))
-    return joined.select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.coalesce(own, "component_id").alias("component_id"),
-        F.coalesce(own, "class_id").alias("class_id"),
+    return members.join(table, same, "left").select(
+        "doc_id", "mark", F.col("size").alias("n_shingles"), "class", "component", "class_id", "component_id"
     )
 
 
@@ -355,7 +385,7 @@ def _lists(sets: DataFrame) -> DataFrame:
     return counted.filter("members > 1 and highest = band").select("key", "band", "id", "pivot", "members")
 
 
-def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame) -> DataFrame:
+def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, component) of the representatives that have a link."""
     spark = texts.sparkSession
     group = ["key", "band"]
@@ -393,7 +423,7 @@ def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame
             pairs = members.join(others, group).filter("component != component_other").filter(_can_meet())
             pairs = pairs.select(F.least("id", "id_other").alias("a"), F.greatest("id", "id_other").alias("b"))
         pairs = stage(_likely(pairs.distinct(), about), "likely-pairs")
-        sets = sets.unionByName(_missing_sets(texts, words, pairs, sets))
+        sets = sets.unionByName(_missing_sets(texts, words, pairs, sets, classes))
         new = stage(_links(pairs, sets), "jaccard-links")
         if not new.isEmpty():
             links = links.unionByName(new)
@@ -413,10 +443,12 @@ def _can_meet() -> Column:
     return (F.col("key") % 2 == 0) | (enough[0] & enough[1])
 
 
-def _missing_sets(texts: DataFrame, words: int, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The sets of the pairs' ids that are not among `sets`, made from the texts."""
+def _missing_sets(texts: DataFrame, words: int, pairs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """The sets of the pairs' ids that are not among `sets`, made from the representatives' texts."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    missing = stage(ids.join(sets.select("id"), "id", "left_anti").withColumnRenamed("id", "doc_id"), "set-ids")
-    chosen = texts.join(missing, "doc_id", "left_semi")
-    made = chosen.mapInArrow(lambda batches: _sets(words, batches), "id BIGINT, shingles ARRAY<BIGINT>")
-    return stage(made.dropDuplicates(["id"]), "shingle-sets-of-pairs")
+    missing = stage(classes.join(ids.join(sets.select("id"), "id", "left_anti"), "id", "left_semi"), "set-ids")
+    # A row of the same mark can have another text, as marks are hashes: the set decides.
+    chosen = texts.join(missing.select("mark"), "mark", "left_semi").select("text")
+    made = chosen.mapInArrow(lambda batches: _sets(words, batches), "size BIGINT, d1 BIGINT, d2 BIGINT, shingles ARRAY<BIGINT>")
+    named = made.join(missing.select("id", "size", "d1", "d2"), ["size", "d1", "d2"]).select("id", "shingles")
+    return stage(named.dropDuplicates(["id"]), "shingle-sets-of-pairs")

@@ -22,7 +22,7 @@ from candlekit.llm.containment_search import contained_items, without_contained
 from candlekit.llm.curriculum_mix import mix_sources, training_order
 from candlekit.llm.exact_dedup import exact_dedup
 from candlekit.llm.jaccard_join import _wide_sketches as wide_sketches
-from candlekit.llm.jaccard_join import jaccard_components
+from candlekit.llm.jaccard_join import jaccard_components, linked_sets
 from candlekit.llm.language_masks import identify, train
 from candlekit.llm.window_dedup import without_repeated_windows
 
@@ -274,6 +274,25 @@ def test_jaccard_near_the_threshold(spark, length, edits, copies):
     assert {row["doc_id"]: row["component_id"] for row in found} == root
 
 
+def test_jaccard_tells_texts_of_one_doc_id_apart(spark):
+    """Two texts under doc_id 1, each the smallest of its class and linked with others."""
+    first, second = phrase(30, 120), phrase(31, 120)
+    texts = [(1, first), (1, second), (2, edited(first, 1, 2)), (3, edited(second, 2, 2)), (4, second), (5, phrase(32, 60))]
+    texts += [(1, phrase(33, 60)), (6, phrase(34, 60)), (6, edited(phrase(32, 60), 3, 1)), (None, first)]
+    root = jaccard_roots({i: shingles(text) for i, (_, text) in enumerate(texts)})
+    named = [(i, doc) for i, (doc, _) in enumerate(texts) if doc]
+    expected = Counter()
+    for i, (doc, text) in enumerate(texts):
+        same = min(d for j, d in named if shingles(texts[j][1]) == shingles(text))
+        expected[doc, len(shingles(text)), min(d for j, d in named if root[j] == root[i]), same] += 1
+    rows = linked_sets(spark.createDataFrame(texts, "doc_id BIGINT, text STRING").repartition(3))
+    rows = rows.select("doc_id", "n_shingles", "component_id", "class_id", "component").collect()
+    assert Counter(tuple(row)[:4] for row in rows) == expected
+    assert len({row["component"] for row in rows}) == len(set(root.values()))
+    found = jaccard_components(spark.createDataFrame(texts, "doc_id BIGINT, text STRING")).collect()
+    assert Counter(map(tuple, found)) == expected
+
+
 def test_wide_sketches_fold_and_bound_the_difference():
     rng = np.random.default_rng(3)
     shared = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
