@@ -170,9 +170,16 @@ def contained_items(
     Rows without item_id are left out; a null doc_id is reported as null. Repeated rows
     are reported once. Empty tables give an empty result.
     """
-    spark = docs.sparkSession
+    result = _matches(docs.select(F.col("doc_id").cast("long"), "text"), benchmark, threshold, words, block_bytes)
+    # Items that share an id count as one; the best match stands.
+    best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc(F.col("n_shared") / F.col("n_item")), F.desc("n_item"))
+    return result.withColumn("_place", F.row_number().over(best)).filter("_place = 1").drop("_place")
+
+
+def _matches(texts: DataFrame, benchmark: DataFrame, threshold: float, words: int, block_bytes: int) -> DataFrame:
+    """A row like those of `contained_items` for every match of a row of `texts` and an item."""
+    spark = texts.sparkSession
     schema = "doc_id BIGINT, item_id BIGINT, n_shared BIGINT, n_item BIGINT"
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
     result = spark.createDataFrame([], schema)
     for ids, items in _blocks(benchmark, block_bytes):
         shared = spark.sparkContext.broadcast(index_items(ids, items, words))
@@ -181,16 +188,19 @@ def contained_items(
             return _search(shared.value, threshold, words, batches)
 
         result = result.unionByName(texts.mapInArrow(search, schema))
-    # Items that share an id count as one; the best match stands.
-    best = Window.partitionBy("doc_id", "item_id").orderBy(F.desc(F.col("n_shared") / F.col("n_item")), F.desc("n_item"))
-    return result.withColumn("_place", F.row_number().over(best)).filter("_place = 1").drop("_place")
+    return result
 
 
-def without_contained(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs` that hold no item; rows without doc_id are judged by their text alone.
-
-    A null doc_id that is found removes all rows with a null doc_id and a text, since
-    they cannot be told apart.
-    """
-    found = contained_items(docs, benchmark, **settings).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti")
+def without_contained(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    words: int = WORDS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of `docs` that hold no item. Every row is judged by its own text, whatever its doc_id."""
+    # A text is known by its hash.
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    matches = _matches(texts, benchmark, threshold, words, block_bytes)
+    found = matches.select(F.col("doc_id").alias("_found")).distinct()
+    return docs.join(found, F.xxhash64(docs["text"]) == found["_found"], "left_anti")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from candlekit.llm.bounded_ring import shard_rows
 from candlekit.llm.containment_search import without_contained
 from candlekit.llm.curriculum_mix import mix_sources, training_order
-from candlekit.llm.jaccard_join import jaccard_components
+from candlekit.llm.jaccard_join import linked_sets, row_mark
 from candlekit.llm.language_masks import UNKNOWN, identify, train
 from candlekit.session import stage
 
@@ -34,13 +34,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents linked by shingles, directly or not, the one with the smallest doc_id.
 
-    Documents without words stay. A row without doc_id stays unless one with a doc_id has
-    the same shingles. Rows that share the doc_id that stays all stay.
+    Documents without words stay. Rows without doc_id are linked like the others and come
+    after those with one; among rows of one doc_id the hash of the text decides. Rows equal
+    in doc_id and text to the one that stays all stay.
     """
-    found = jaccard_components(docs.select("doc_id", "text"))
-    dropped = found.filter("n_shingles > 0 and not (doc_id <=> component_id)")
-    gone = dropped.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    found = linked_sets(docs.select("doc_id", "text"), nameless=True).filter("n_shingles > 0")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    stays = found.groupBy("component").agg(F.min(rank).alias("stays"))
+    dropped = found.withColumn("rank", rank).join(stays, "component").filter("rank != stays")
+    gone = dropped.select(F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")).distinct()
+    same = docs["doc_id"].eqNullSafe(gone["_gone"]) & (row_mark() == gone["_mark"])
+    return docs.join(gone, same, "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

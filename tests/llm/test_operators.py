@@ -22,7 +22,7 @@ from candlekit.llm.containment_search import contained_items, without_contained
 from candlekit.llm.curriculum_mix import mix_sources, training_order
 from candlekit.llm.exact_dedup import exact_dedup
 from candlekit.llm.jaccard_join import _wide_sketches as wide_sketches
-from candlekit.llm.jaccard_join import jaccard_components, linked_sets
+from candlekit.llm.jaccard_join import jaccard_components, linked_sets, row_mark
 from candlekit.llm.language_masks import identify, train
 from candlekit.llm.window_dedup import without_repeated_windows
 
@@ -401,6 +401,51 @@ def test_pipeline(spark):
     assert max(counts.values()) - min(counts.values()) <= 1 and len(counts) == 8
 
 
+def rows_of(table):
+    return Counter((row["doc_id"], row["text"]) for row in table.collect())
+
+
+#: Rows without doc_id, repeats, and one doc_id on several texts.
+ITEM = phrase(48, 20)
+ROWS = [
+    (1, phrase(40, 60)),
+    (None, phrase(40, 60)),
+    (None, edited(phrase(40, 60), 1, 1)),
+    (None, phrase(41, 60)),
+    (None, phrase(42, 60)),
+    (None, edited(phrase(42, 60), 2, 1)),
+    (None, phrase(43, 60) + " " + ITEM),
+    (None, ""),
+    (None, None),
+    (2, phrase(44, 60)),
+    (2, edited(phrase(40, 60), 3, 1)),
+    (2, phrase(45, 60) + " " + ITEM),
+    (3, phrase(46, 60)),
+    (3, phrase(46, 60)),
+    (3, edited(phrase(46, 60), 4, 1)),
+    (4, " "),
+]
+
+
+def test_pipeline_drops_rows_one_by_one(spark):
+    table = spark.createDataFrame(ROWS, "doc_id BIGINT, text STRING").repartition(3)
+    marks = table.select("doc_id", "text", row_mark().alias("mark")).collect()
+    rank = {(row["doc_id"], row["text"]): (row["doc_id"] is None, row["doc_id"] or 0, row["mark"]) for row in marks}
+    root = jaccard_roots({i: shingles(text) for i, (_, text) in enumerate(ROWS)})
+    stays = {}
+    for i, row in enumerate(ROWS):
+        stays[root[i]] = min(stays.get(root[i], row), row, key=rank.get)
+    expected = Counter(row for i, row in enumerate(ROWS) if not shingles(row[1]) or stays[root[i]] == row)
+    kept = queries.stage(corpus_pipeline.one_of_each_group(spark, table, ""), "test-rows")
+    assert rows_of(kept) == expected
+    items = spark.createDataFrame([(1, ITEM), (2, phrase(49, 20))], "item_id BIGINT, text STRING")
+    clean = Counter({row: n for row, n in expected.items() if ITEM not in (row[1] or "")})
+    assert sum(clean.values()) < sum(expected.values())
+    assert rows_of(without_contained(kept, items)) == clean
+    none = table.limit(0)
+    assert corpus_pipeline.one_of_each_group(spark, none, "").count() == without_contained(none, items).count() == 0
+
+
 def test_sha_of_the_kept_words(spark):
     row = queries.window_dedup(spark, FOLDER).filter("n_removed = 0").join(
         spark.read.parquet(f"{FOLDER}/documents.parquet"), "doc_id"
