@@ -8,7 +8,8 @@ from candlekit.session import stage
 
 
 def last_write(batch: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """One row per key: the one with the largest `order` value, which must be unique in a key.
+    """One row per key: the one with the largest `order` value, which must be unique in a key
+    and not null (`require_order` tells).
 
     Without an order column the rows of a DataFrame have no first and last; they are
     returned as they are, and `require_unique` tells whether that will do.
@@ -27,6 +28,19 @@ def require_unique(batch: DataFrame, keys: list[str]) -> None:
         raise ValidationError(f"Found {repeated} keys with several records; name the column that orders them")
 
 
+def require_order(batch: DataFrame, keys: list[str], order: str) -> None:
+    """Raise ValidationError if rows have no `order` value, or one that another row of their key has."""
+    value = F.col(order)
+    per_value = batch.groupBy(*keys, value.alias("_order")).agg(F.count("*").alias("_rows"))
+    missing = F.coalesce(F.sum(F.when(F.col("_order").isNull(), F.col("_rows"))), F.lit(0))
+    tied = F.count_if(F.col("_order").isNotNull() & (F.col("_rows") > 1))
+    found = per_value.agg(missing.alias("missing"), tied.alias("tied")).first()
+    if found["missing"]:
+        raise ValidationError(f"Found {found['missing']} records without a value of {order}, which orders them")
+    if found["tied"]:
+        raise ValidationError(f"Found {found['tied']} values of {order} that several records of a key have")
+
+
 def merge(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """`existing` without the keys of `batch`, plus `batch`."""
     columns = existing.columns

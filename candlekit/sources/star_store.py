@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from candlekit.operators.integrity import audit_star
 from candlekit.operators.prices import Moment, moment
-from candlekit.operators.upsert import last_write, new_dimension_rows, require_unique
+from candlekit.operators.upsert import last_write, new_dimension_rows, require_order, require_unique
 from candlekit.schema import BAR_COLUMNS, BARS_SCHEMA, KEY_COLUMNS, PRICES_SCHEMA, TICKERS_SCHEMA
 from candlekit.session import staged
 from candlekit.sources.tables import conform, read_table, reporting, upsert_table
@@ -99,6 +99,8 @@ class StarStore:
         """
         with reporting():
             # The star has the bar columns only.
+            if order:
+                require_order(bars, KEY_COLUMNS, order)
             known = last_write(bars, KEY_COLUMNS, order)
             known = known.select(*[F.col(name) for name in known.columns if name in BAR_COLUMNS])
             batch = conform(known, BARS_SCHEMA, BAR_COLUMNS, [])

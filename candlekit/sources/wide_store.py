@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from candlekit.operators.integrity import StoreIntegrity, check_store
 from candlekit.operators.prices import for_ticker
-from candlekit.operators.upsert import last_write, require_unique
+from candlekit.operators.upsert import last_write, require_order, require_unique
 from candlekit.schema import BAR_COLUMNS, BARS_SCHEMA, KEY_COLUMNS
 from candlekit.session import staged
 from candlekit.sources.tables import conform, read_table, reporting, stored_fields, upsert_table, write_table
@@ -77,13 +77,15 @@ class WideStore:
         """Insert or replace by (ticker, timestamp); returns the rows written.
 
         Of several rows with one key the one with the largest `order` value is
-        kept; without `order`, several rows are an error. Columns of the table that `bars`
+        kept; its values must not be null nor repeated in a key. Without `order`, several rows are an error. Columns of the table that `bars`
         lack keep their values. `validated` tells that `bars` come from `load_bars_csv`: their keys
         are unique and they are stored already.
         """
         if not self.partitioned:
             raise ValueError("upsert needs a store partitioned by ticker")
         with reporting():
+            if order:
+                require_order(bars, KEY_COLUMNS, order)
             known = last_write(bars, KEY_COLUMNS, order)
             if order and order not in self._schema().fieldNames():
                 known = known.drop(order)

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from candlekit import QueryEngine, StarStore, ValidationError, WideStore, build_all_assets, build_wide_store
 from candlekit.operators import upsert
@@ -93,6 +94,17 @@ def test_upsert_of_repeated_keys(spark, star, wide, main_bars):
         assert [row["volume"] for row in store.bars().collect()] == [0]
 
 
+@pytest.mark.parametrize("seqs, message", [((None, None), "Found 2 records without a value of seq"), ((1, 1), "Found 1 values of seq")])
+def test_upsert_needs_an_order(spark, star, wide, main_bars, seqs, message):
+    bar = main_bars.limit(1).collect()[0]
+    batch = spark.createDataFrame([(*bar, seq) for seq in seqs], T.StructType([*BARS_SCHEMA.fields, T.StructField("seq", T.IntegerType())]))
+    for store in (star, wide):
+        store.upsert(spark.createDataFrame([bar], BARS_SCHEMA))
+        with pytest.raises(ValidationError, match=message):
+            store.upsert(batch, order="seq")
+        assert [row["volume"] for row in store.bars().collect()] == [bar["volume"]]
+
+
 def test_upsert_needs_a_ticker(spark, star, wide):
     nameless = spark.createDataFrame([(None, datetime(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 1)], BARS_SCHEMA)
     for store in (star, wide):
