@@ -24,10 +24,13 @@ from candlekit.llm.textbytes import Chunk, chunks, mix
 
 GRAM = 4
 HASHES = 3
-#: Training rows per language (about), n-grams kept per language, cells per n-gram kept.
+#: Different training texts per language (about), n-grams kept per language, cells per n-gram kept.
 SAMPLE_ROWS = 4000
 PROFILE = 1 << 14
 CELLS_PER_GRAM = 16
+#: Relative error of the number of different texts of a language; the rate of the sample
+#: allows for three times that, so that a language with fewer texts is used whole.
+TEXTS_ERROR = 0.02
 UNKNOWN = "und"
 #: Largest filter that is sent to the executors.
 MODEL_BYTES = 256 << 20
@@ -121,16 +124,18 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, profile: int = PROFIL
     `profile` n-grams per language at most.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count()
-    languages = sorted((row["lang"], row["count"]) for row in sizes.collect())
+    texts = F.approx_count_distinct("text", TEXTS_ERROR)
+    sizes = sorted(tuple(row) for row in known.groupBy("lang").agg(F.count("*"), texts).collect())
+    languages = [(name, count) for name, count, _ in sizes]
     if not languages:
         return LanguageModel([], [], np.zeros((1, 1), np.uint64), np.zeros(0))
     width = -(-len(languages) // 64)
     cells = CELLS_PER_GRAM * profile * len(languages)
     if cells * width * 8 > MODEL_BYTES:
         raise ValueError(f"{len(languages)} languages need a smaller profile than {profile}")
-    # Rows are drawn by a hash of the text, at a rate that gives about `sample_rows`.
-    limits = {name: min(1 << 30, (sample_rows << 30) // count) for name, count in languages}
+    # Texts are drawn by their hash, at a rate that gives about `sample_rows` different ones.
+    least = {name: max(1, int(found * (1 - 3 * TEXTS_ERROR))) for name, _, found in sizes}
+    limits = {name: min(1 << 30, (sample_rows << 30) // found) for name, found in least.items()}
     limit = F.coalesce(*[F.when(F.col("lang") == name, F.lit(most)) for name, most in limits.items()])
     # A text counts once, however often it is copied.
     drawn = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < limit).select("lang", "text").distinct()

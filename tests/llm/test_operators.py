@@ -374,6 +374,17 @@ def test_language(spark, docs, none):
     assert {row["lang_pred"] for row in identify(docs, empty).collect()} == {"und"}
 
 
+def test_language_of_few_texts_with_many_copies(spark):
+    """Rows are mostly copies; all different texts are used, as there are fewer than the sample."""
+    rows = [(" ".join(f"{w}{lang}" for w in phrase(60 + i, 40).split()), lang) for lang in ("pqp", "xyx") for i in range(30)]
+    copied = spark.createDataFrame([row for row in rows for _ in range(200 if row[1] == "pqp" else 1)], "text STRING, lang STRING")
+    model = train(copied, sample_rows=40)
+    whole = train(spark.createDataFrame(rows, "text STRING, lang STRING"), sample_rows=40)
+    assert np.array_equal(model.masks, whole.masks) and model.fill.min() > 0
+    found = identify(copied.distinct(), model).collect()
+    assert len(found) == 60 and all(row["lang_pred"] == row["lang"] and row["score"] > 0.2 for row in found)
+
+
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_sql(spark, name):
     connection = duckdb.connect()
