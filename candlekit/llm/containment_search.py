@@ -143,12 +143,12 @@ def _search(items: Items, threshold: float, words: int, batches: Iterator[pa.Rec
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list, list]]:
-    """The items in blocks of about `block_bytes`, one block in memory at a time."""
+    """The different items in blocks of about `block_bytes`, one block in memory at a time."""
     size = F.octet_length(F.coalesce("text", F.lit(""))) + 64
-    numbered = benchmark.filter("item_id is not null").select("item_id", "text", size.alias("_size"))
+    numbered = benchmark.filter("item_id is not null").select("item_id", "text").distinct().withColumn("_size", size)
     total = numbered.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
     count = max(1, -(-2 * total // block_bytes))
-    block = F.pmod(F.xxhash64("item_id"), F.lit(count))
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(count))
     for number in range(count):
         rows = numbered.filter(block == number).select("item_id", "text").orderBy("item_id", "text").collect()
         yield [row["item_id"] for row in rows], [row["text"] for row in rows]
@@ -198,8 +198,10 @@ def without_contained(
     words: int = WORDS,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The rows of `docs` that hold no item. Every row is judged by its own text, whatever its doc_id."""
+    """The rows of `docs` that hold no item, whether or not the item has an item_id. Every row
+    is judged by its own text, whatever its doc_id."""
     # A text is known by its hash.
+    benchmark = benchmark.select(F.xxhash64("text").alias("item_id"), "text")
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     matches = _matches(texts, benchmark, threshold, words, block_bytes)
     found = matches.select(F.col("doc_id").alias("_found")).distinct()

@@ -18,7 +18,7 @@ from candlekit.llm import queries
 from candlekit.llm import suffix_dedup as S
 from candlekit.llm.bounded_ring import even_capacities, ring_points, shard_rows, walk
 from candlekit.llm.components import components
-from candlekit.llm.containment_search import contained_items, without_contained
+from candlekit.llm.containment_search import _blocks, contained_items, without_contained
 from candlekit.llm.curriculum_mix import mix_sources, training_order
 from candlekit.llm.exact_dedup import exact_dedup
 from candlekit.llm.jaccard_join import _wide_sketches as wide_sketches
@@ -162,6 +162,11 @@ def test_mix(docs, none):
     assert mix_sources(none).count() == 0
 
 
+def test_mix_query_is_range_sorted(spark):
+    firsts = [min(row["positions"], default=2) for row in queries.curriculum_mix(spark, FOLDER).select("positions").collect()]
+    assert firsts == sorted(firsts) and len(set(firsts)) > 100
+
+
 @pytest.mark.parametrize("limit", [B.CASCADE_BYTES, 0])
 def test_cascade(spark, limit):
     keys = [f"k{i}" for i in range(3000)]
@@ -221,6 +226,17 @@ def test_containment(spark, docs, none):
     assert contained_items(none, benchmark).count() == 0 and contained_items(docs, benchmark.limit(0)).count() == 0
 
 
+def test_items_without_item_id_and_with_a_shared_one(spark):
+    items = [(None, ITEM), *[(7, phrase(70 + i, 20)) for i in range(40)], (7, phrase(70, 20))]
+    benchmark = spark.createDataFrame(items, "item_id BIGINT, text STRING")
+    rows = [(1, phrase(50, 30) + " " + ITEM), (2, phrase(51, 30)), (None, phrase(52, 30)), (3, phrase(71, 20))]
+    table = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert rows_of(without_contained(table, benchmark, block_bytes=1000)) == Counter(rows[1:3])
+    blocks = [sum(len(text) + 64 for text in texts) for _, texts in _blocks(benchmark, 1000)]
+    assert max(blocks) <= 2000 and len(blocks) >= 14
+    assert [tuple(row)[:2] for row in contained_items(table, benchmark, block_bytes=1000).collect()] == [(3, 7)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(30, 31), (31, 30), (40, 40), (50, 7)]
     found = dict(components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect())
