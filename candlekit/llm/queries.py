@@ -62,7 +62,8 @@ def merkle_fixity(spark, folder):
 
 def curriculum_mix(spark, folder):
     docs = _documents(spark, folder).select("doc_id", "source", "text")
-    return mix_sources(docs, carry=["doc_id"])
+    # Range-sorted by the first pass over each document; those that are not taken come last.
+    return mix_sources(docs, carry=["doc_id"]).orderBy(F.array_min("positions").asc_nulls_last(), "doc_id")
 
 
 def bounded_ring(spark, folder):
