@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from candlekit.llm import bloom_cascade as B
 from candlekit.llm import merkle_fixity as M
 from candlekit.llm.bounded_ring import shard_rows
+from candlekit.llm.collocations import mine_collocations
 from candlekit.llm.containment_search import contained_items
 from candlekit.llm.curriculum_mix import mix_sources
 from candlekit.llm.exact_dedup import exact_dedup
+from candlekit.llm.filter_audit import audit_filters
 from candlekit.llm.jaccard_join import jaccard_components
 from candlekit.llm.language_masks import identify, train
+from candlekit.llm.piece_encoding import decode_tokens, encode_texts, read_model
 from candlekit.llm.suffix_dedup import without_repeated_strings
 from candlekit.llm.window_dedup import without_repeated_windows
 from candlekit.session import stage
 
 SHARDS = 8
+#: Where the vocabulary files are, and the model of op12.
+TOKENIZERS = "/opt/tokenizers"
+PIECE_MODEL = "piece_bpe_32k.model"
 ARCHIVE_PAGES = 4096
 
 
@@ -116,6 +122,27 @@ def language_masks(spark, folder):
     return judged.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def filter_audit(spark, folder):
+    docs = _documents(spark, folder).select("doc_id", "text", "source")
+    return audit_filters(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def piece_encoding(spark, folder):
+    model = read_model(f"{TOKENIZERS}/{PIECE_MODEL}")
+    encoded = encode_texts(_documents(spark, folder).select("doc_id", "text"), model)
+    decoded = decode_tokens(encoded.select("doc_id", "tokens"), model)
+    return decoded.select(
+        "doc_id",
+        F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def collocations(spark, folder):
+    return mine_collocations(_documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_merkle_fixity": merkle_fixity,
     "op2_curriculum_mix": curriculum_mix,
@@ -127,6 +154,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_copies,
     "op9_suffix_dedup": suffix_dedup,
     "op10_language_masks": language_masks,
+    "op11_filter_audit": filter_audit,
+    "op12_piece_encoding": piece_encoding,
+    "op13_collocations": collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -187,4 +217,85 @@ ORACLE_SQL: dict[str, str] = {
         g AS (SELECT body, MAX(doc_id) AS keep_id, COUNT(*) AS group_size FROM t GROUP BY body)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM t JOIN g USING (body)
     """,
+    "op11_filter_audit": r"""
+        WITH d AS (
+            SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS body,
+                   regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        firsts AS (SELECT body, MIN(doc_id) AS first_id FROM d GROUP BY body),
+        marks AS (
+            SELECT doc_id, MAX(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+                   MAX(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        judged AS (
+            SELECT part, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic,
+                   CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+                   + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+                   + CASE WHEN 100 * len(regexp_extract_all(d.body, '[A-Z]')) > 2 * length(d.body) THEN 4 ELSE 0 END
+                   + CASE WHEN regexp_matches(d.body, '[#$%&*|]') THEN 8 ELSE 0 END
+                   + CASE WHEN d.doc_id > first_id THEN 16 ELSE 0 END AS failed
+            FROM d JOIN firsts ON d.body = firsts.body LEFT JOIN marks ON d.doc_id = marks.doc_id),
+        counts AS (
+            SELECT part, failed, COUNT(*) AS n, SUM(good) AS good, SUM(toxic) AS toxic FROM judged GROUP BY part, failed),
+        letters(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+            FROM letters a JOIN letters b ON a.bit <> b.bit JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+            JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+        before AS (
+            SELECT filter_order, instr(filter_order, x.letter) AS step, x.bit,
+                   COALESCE((SELECT SUM(y.bit) FROM letters y
+                             WHERE instr(filter_order, y.letter) < instr(filter_order, x.letter)), 0) AS gone
+            FROM orders CROSS JOIN letters x),
+        steps AS (
+            SELECT part, filter_order, step, bit,
+                   SUM(CASE WHEN (failed & CAST(gone + bit AS INTEGER)) = 0 THEN n ELSE 0 END) AS kept,
+                   SUM(CASE WHEN (failed & CAST(gone AS INTEGER)) = 0 AND (failed & bit) <> 0 THEN n ELSE 0 END) AS removed,
+                   SUM(CASE WHEN (failed & CAST(gone AS INTEGER)) <> 0 AND (failed & bit) <> 0 THEN n ELSE 0 END) AS redundant,
+                   SUM(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+                   SUM(CASE WHEN (failed & CAST(gone AS INTEGER)) = 0 AND (failed & bit) <> 0 THEN good ELSE 0 END) AS good_lost,
+                   SUM(CASE WHEN (failed & CAST(gone AS INTEGER)) = 0 AND (failed & bit) <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM counts CROSS JOIN before GROUP BY part, filter_order, step, bit),
+        totals AS (SELECT part, bit, SUM(removed) AS shapley FROM steps GROUP BY part, bit)
+        SELECT steps.part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+               CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+               CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+               CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+        FROM steps JOIN totals ON steps.part = totals.part AND steps.bit = totals.bit
+    """,
+    "op13_collocations": r"""
+        WITH pieces AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+                SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex(
+                    translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)),
+        places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, COUNT(*) AS f
+            FROM places CROSS JOIN (VALUES (1), (2), (3), (4)) AS lengths(k)
+            WHERE i + k - 1 <= len(w) GROUP BY ALL),
+        totals AS (SELECT lang, SUM(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+        frequent AS (SELECT * FROM grams WHERE f >= 30),
+        candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM frequent WHERE k > 1),
+        cuts AS (
+            SELECT c.lang, c.k, c.phrase, c.f AS a, j, x.f AS l, y.f AS r, (2000000 * c.f::HUGEINT) // (x.f + y.f) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM candidates) AS c
+            JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ')
+            JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:c.k], ' ')),
+        worst AS (
+            SELECT * FROM (
+                SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM cuts) AS c
+            WHERE place = 1),
+        inner_parts AS (
+            SELECT lang, array_to_string(w[s:s + m - 1], ' ') AS phrase, f
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS s
+                  FROM (SELECT *, unnest(range(2, k)) AS m FROM candidates) AS c) AS c),
+        outer_counts AS (SELECT lang, phrase, MAX(f) AS f FROM inner_parts GROUP BY lang, phrase),
+        ranked AS (
+            SELECT worst.*, ROW_NUMBER() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, worst.phrase) AS rank
+            FROM worst LEFT JOIN outer_counts o ON o.lang = worst.lang AND o.phrase = worst.phrase
+            WHERE o.f IS NULL OR 100 * o.f < 80 * a)
+        SELECT ranked.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+               CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals ON totals.lang = ranked.lang WHERE rank <= 2000
+    """,
 }
