@@ -7,14 +7,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlekit.schema import PERIOD_COLUMNS
 from candlekit.session import stage
 
 FILE_SCHEMA = "file STRING, ticker STRING, records BIGINT, error STRING"
 
 
 def _stored_ticker(path):
-    """Ticker in a path such as .../ticker=BRK%2FB/part-0.parquet, or null."""
-    value = F.regexp_extract(path, "/ticker=([^/]*)/[^/]*$", 1)
+    """Ticker in a path such as .../ticker=BRK%2FB/part-0.parquet, with or without a folder for the
+    period in between, or null."""
+    value = F.regexp_extract(path, f"/ticker=([^/]*)/(?:(?:{'|'.join(PERIOD_COLUMNS.values())})=[^/]*/)?[^/]*$", 1)
     decoded = F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
     return F.when(value != "", decoded)
 
@@ -35,44 +37,94 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("file"), _stored_ticker(F.col("path")).alias("ticker"))
 
 
+def _opened(file: str):
+    """A Parquet file as pyarrow reads it, and what has to be closed."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    uri = file.replace("s3a://", "s3://", 1)
+    if uri.startswith("file:"):
+        uri = "file:///" + uri[len("file:") :].lstrip("/")
+    system, name = fs.FileSystem.from_uri(uri)
+    source = system.open_input_file(name)
+    try:
+        return pq.ParquetFile(source), source
+    except BaseException:
+        source.close()
+        raise
+
+
+def _fault(file: str, error: Exception) -> str:
+    return f"Error reading {file}: {error}"
+
+
+def row_groups(files: DataFrame) -> DataFrame:
+    """A row per row group of every file: file, ticker, row_group, error. A file whose footer cannot be
+    read has one row without a row group, a file without row groups too, but no error."""
+
+    def read(frames: Iterator) -> Iterator:
+        import pandas as pd
+
+        for frame in frames:
+            rows = []
+            for file, ticker in zip(frame["file"], frame["ticker"]):
+                try:
+                    parquet, source = _opened(file)
+                    with source:
+                        groups = parquet.metadata.num_row_groups
+                    rows += [(file, ticker, group, None) for group in range(groups)] or [(file, ticker, None, None)]
+                except Exception as error:
+                    rows.append((file, ticker, None, _fault(file, error)))
+            found = pd.DataFrame(rows, columns=["file", "ticker", "row_group", "error"])
+            yield found.astype({"row_group": "Int32"})
+
+    return files.mapInPandas(read, "file STRING, ticker STRING, row_group INT, error STRING")
+
+
 def check_files(files: DataFrame) -> DataFrame:
     """Read every file to its end: (file, ticker, records, error).
 
     A plain scan stops at the first bad file, and skipping corrupt files hides
-    them; so each file is read on its own, one batch of rows at a time.
+    them; so every row group is read on its own, one batch of rows at a time. Row groups are
+    dealt out evenly, so a large file is read by many tasks. A bad file has no records; its error is
+    that of its first bad row group.
     """
 
     def read(frames: Iterator) -> Iterator:
         import pandas as pd
-        import pyarrow.parquet as pq
-        from pyarrow import fs
 
-        def outcome(file: str) -> tuple[int, str | None]:
-            uri = file.replace("s3a://", "s3://", 1)
-            if uri.startswith("file:"):
-                uri = "file:///" + uri[len("file:") :].lstrip("/")
+        def outcome(file: str, group) -> tuple[int, str | None]:
             records = 0
             try:
-                system, name = fs.FileSystem.from_uri(uri)
-                with system.open_input_file(name) as source:
-                    for batch in pq.ParquetFile(source).iter_batches():
+                parquet, source = _opened(file)
+                with source:
+                    for batch in parquet.iter_batches(row_groups=[int(group)]):
                         records += batch.num_rows
             except Exception as error:
-                return 0, f"Error reading {file}: {error}"
+                return 0, _fault(file, error)
             return records, None
 
         for frame in frames:
-            outcomes = [outcome(file) for file in frame["file"]]
+            known = frame["row_group"].isna()
+            outcomes = [(0, e) if k else outcome(f, g) for f, g, e, k in zip(frame["file"], frame["row_group"], frame["error"], known)]
             yield pd.DataFrame(
                 {
                     "file": frame["file"],
                     "ticker": frame["ticker"],
+                    "row_group": frame["row_group"].astype("Int32"),
                     "records": [records for records, _ in outcomes],
                     "error": [error for _, error in outcomes],
                 }
             )
 
-    return files.mapInPandas(read, FILE_SCHEMA)
+    # The number of tasks is that of the session, or less where there is little to do.
+    dealt = row_groups(files).repartition("file", "row_group")
+    checked = dealt.mapInPandas(read, "file STRING, ticker STRING, row_group INT, records BIGINT, error STRING")
+    bad = F.count("error") > 0
+    return checked.groupBy("file", "ticker").agg(
+        F.when(bad, F.lit(0)).otherwise(F.sum("records")).cast("bigint").alias("records"),
+        F.min_by("error", F.when(F.col("error").isNotNull(), F.coalesce("row_group", F.lit(-1)))).alias("error"),
+    )
 
 
 @dataclass

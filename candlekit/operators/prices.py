@@ -33,6 +33,13 @@ def in_range(bars: DataFrame, start: Moment, end: Moment) -> DataFrame:
     return bars.filter(F.col("timestamp").between(moment(start), moment(end)))
 
 
+def in_window(bars: DataFrame, start: Moment | None = None, end: Moment | None = None) -> DataFrame:
+    """Bars in a closed interval that may be open to one or both sides."""
+    if start is not None:
+        bars = bars.filter(F.col("timestamp") >= moment(start))
+    return bars if end is None else bars.filter(F.col("timestamp") <= moment(end))
+
+
 def price_range(bars: DataFrame, ticker: str, start: Moment, end: Moment) -> DataFrame:
     return in_range(for_ticker(bars, ticker), start, end).select(*BAR_COLUMNS).orderBy("timestamp")
 

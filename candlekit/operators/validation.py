@@ -54,6 +54,11 @@ def typed_bars(coerced: DataFrame) -> DataFrame:
     return coerced.drop(*HELPER_COLUMNS)
 
 
+def unreadable_timestamps(coerced: DataFrame) -> DataFrame:
+    """Rows with a timestamp that could not be read."""
+    return coerced.filter(F.col("timestamp").isNull() & ~F.col(NO_TIMESTAMP))
+
+
 def _row_checks(min_price: float, max_price: float) -> dict[str, Column]:
     """Condition for a violating row, per check."""
     timestamp = F.col("timestamp")

@@ -23,18 +23,20 @@ def build_wide_store(
     partition_by_ticker: bool = True,
     append: bool = False,
     validated: bool = False,
+    period: str | None = None,
 ) -> WideStore:
     """Load bars into the wide store at `path`.
 
     A partitioned store is upserted, so that loading a file again leaves it equal
-    to the star; `append` only adds files. An unpartitioned store is replaced.
+    to the star; `append` only adds files. An unpartitioned store is replaced. `period` is as for
+    `WideStore`.
     """
     extra = ", ".join(
         f"`{field.name}` {field.dataType.simpleString()}"
         for field in bars.schema.fields
         if field.name not in BAR_COLUMNS
     )
-    store = WideStore(spark, path, partition_by_ticker, extra or None)
+    store = WideStore(spark, path, partition_by_ticker, extra or None, period)
     if append or not partition_by_ticker:
         store.save(bars)
     else:

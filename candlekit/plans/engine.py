@@ -31,7 +31,7 @@ class QueryEngine:
         if source in STAR_NAMES and self.star is not None:
             return self.star.bars(ticker, start, end)
         if source in WIDE_NAMES and self.wide is not None:
-            return self.wide.bars(ticker)
+            return self.wide.bars(ticker, start, end)
         raise ValueError(f"Invalid or unavailable source: {source}")
 
     def get_price_range(self, ticker: str, start: Moment, end: Moment, source: str = "star") -> DataFrame:
@@ -75,7 +75,7 @@ class QueryEngine:
     def compare_sources(self, ticker: str, start: Moment, end: Moment) -> dict:
         """Bar counts of both stores in a range, their columns, and whether they match."""
         star = self.star and self.star.bars(ticker, start, end)
-        wide = self.wide and self.wide.bars(ticker)
+        wide = self.wide and self.wide.bars(ticker, start, end)
         result = {"ticker": ticker, "date_range": (str(start), str(end)), "star": {}, "wide": {}, "match": False}
         if star is None and wide is None:
             return result

@@ -19,6 +19,9 @@ BARS_SCHEMA = T.StructType(
 )
 BAR_COLUMNS = BARS_SCHEMA.fieldNames()
 
+# The folder level below the ticker in a wide store, by period: the first day of a month or year.
+PERIOD_COLUMNS = {"month": "bar_month", "year": "bar_year"}
+
 TICKERS_SCHEMA = T.StructType(
     [
         T.StructField("ticker_id", T.LongType()),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from candlekit.functions import symbol, whole_number
 from candlekit.functions.expressions import DEFAULT_PATTERN
+from candlekit.operators.timestamps import inferred_pattern
 from candlekit.operators.validation import (
     MALFORMED,
     MAX_PRICE,
@@ -17,9 +18,11 @@ from candlekit.operators.validation import (
     require_columns,
     require_valid,
     typed_bars,
+    unreadable_timestamps,
 )
 from candlekit.schema import TICKERS_CSV_COLUMNS, ValidationError, quoted
 from candlekit.session import discard, stage, stage_at, staging_path
+from candlekit.sources.csv_records import csv_records, has_broken_records
 
 _CORRUPT = "_corrupt_row"
 
@@ -36,9 +39,24 @@ def _header(spark: SparkSession, path: str) -> list[str]:
         raise ValidationError(f"Failed to read CSV file: {error}") from error
 
 
-def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
+def _parsed_records(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """The records of files whose quoted fields hold line breaks, as columns of text."""
+    records = csv_records(spark, path)
+    headers = records.filter("header").select("value").distinct().limit(2).collect()
+    if len(headers) > 1:
+        raise ValidationError(f"Failed to read CSV file: several headers in {path}")
+    options = {"escape": '"', "columnNameOfCorruptRecord": _CORRUPT}
+    return records.filter("not header").select(F.from_csv("value", fields, options).alias("row")).select("row.*")
+
+
+def read_text_csv(
+    spark: SparkSession, path: str, required: Iterable[str] = (), line_breaks: bool | None = None
+) -> DataFrame:
     """All columns as text under trimmed, lower-case names.
 
+    Quoted fields may hold line breaks. Without `line_breaks` the text is first read to see whether any do;
+    False says that none do and saves that.
+
     A row with more fields than the header is marked in the `_malformed` column. Names that
     are equal when trimmed and in lower case raise ValidationError.
     Every file of a folder must have the same header.
@@ -54,14 +72,17 @@ def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ())
     if repeated:
         raise ValidationError(f"Repeated columns: {repeated}")
     fields = ", ".join("`" + name.replace("`", "``") + "` STRING" for name in [*header, _CORRUPT])
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .schema(fields)
-        .csv(path)
-    )
+    if has_broken_records(spark, path) if line_breaks is None else line_breaks:
+        raw = _parsed_records(spark, path, fields)
+    else:
+        raw = (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("columnNameOfCorruptRecord", _CORRUPT)
+            .schema(fields)
+            .csv(path)
+        )
     # Short rows are marked too: their last column is null and they have fewer separators.
     separators = F.regexp_count(F.regexp_replace(_CORRUPT, _QUOTED_FIELD, ""), F.lit(","))
     last = quoted(names)[-1]
@@ -95,20 +116,29 @@ def load_bars_csv(
     timestamp_format: str | Sequence[str] = DEFAULT_PATTERN,
     min_price: float = MIN_PRICE,
     max_price: float = MAX_PRICE,
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """Validated bars, with any extra columns of the file.
 
     The text is parsed once, into a staged Parquet table; validation and every
     later use read that table; it is deleted if a check fails. `timestamp_format` is a Spark
-    datetime pattern, or several, of which the first that fits a value is taken.
+    datetime pattern, or several, of which the first that fits a value is taken. If values remain
+    that neither they nor an ISO-like form fit, the text is parsed a second time with the first of the usual
+    patterns that fits all values (see `inferred_pattern`), if there is one.
+    `line_breaks` is as for `read_text_csv`.
     `expected_tickers` is a list of symbols or a DataFrame with them in its
     first column.
     """
-    raw = read_text_csv(spark, path)
+    raw = read_text_csv(spark, path, line_breaks=line_breaks)
     require_columns(raw.columns)
     folder = staging_path(spark, "csv-bars")
     try:
         coerced = stage_at(coerce(raw, timestamp_format), folder)
+        if not unreadable_timestamps(coerced).isEmpty():
+            pattern = inferred_pattern(raw, "timestamp")
+            if pattern:
+                discard(spark, folder)
+                coerced = stage_at(coerce(raw, pattern), folder)
         require_valid(coerced, _expected_frame(spark, expected_tickers), min_price, max_price)
     except ValidationError as error:
         if error.missing is not None:

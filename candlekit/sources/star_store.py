@@ -13,7 +13,7 @@ from candlekit.operators.prices import Moment, moment
 from candlekit.operators.upsert import last_write, new_dimension_rows, require_order, require_unique
 from candlekit.schema import BAR_COLUMNS, BARS_SCHEMA, KEY_COLUMNS, PRICES_SCHEMA, TICKERS_SCHEMA
 from candlekit.session import staged
-from candlekit.sources.tables import conform, read_table, reporting, upsert_table
+from candlekit.sources.tables import conform, ordered, read_table, reporting, upsert_table
 
 PRICE_KEY = ["ticker_id", "timestamp"]
 STORED_PRICES = T.StructType([*PRICES_SCHEMA.fields, T.StructField("month", T.DateType())])
@@ -99,17 +99,17 @@ class StarStore:
         """
         with reporting():
             # The star has the bar columns only.
-            if order:
-                require_order(bars, KEY_COLUMNS, order)
-            known = last_write(bars, KEY_COLUMNS, order)
-            known = known.select(*[F.col(name) for name in known.columns if name in BAR_COLUMNS])
-            batch = conform(known, BARS_SCHEMA, BAR_COLUMNS, [])
+            known = bars.select(*[F.col(name) for name in bars.columns if name in BAR_COLUMNS or name == order])
+            batch = conform(known, ordered(BARS_SCHEMA, bars, order), BAR_COLUMNS, [])
             if validated:
                 return self._upsert(batch, metadata)
             with staged(batch, "batch") as batch:
                 if not order:
                     require_unique(batch, KEY_COLUMNS)
-                return self._upsert(batch, metadata)
+                    return self._upsert(batch, metadata)
+                require_order(batch, KEY_COLUMNS, order)
+                with staged(last_write(batch, KEY_COLUMNS, order).select(*BAR_COLUMNS), "last") as last:
+                    return self._upsert(last, metadata)
 
     def _upsert(self, batch: DataFrame, metadata: DataFrame | None) -> int:
         symbols = batch.select(F.col("ticker").alias("symbol")).distinct()
@@ -117,7 +117,7 @@ class StarStore:
             symbols = symbols.join(metadata.select("symbol", "name", "exchange"), "symbol", "left")
         self.add_tickers(symbols)
         rows = with_ticker_ids(batch, self.tickers()).withColumn("month", month_of(F.col("timestamp")))
-        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", "month", PRICE_KEY)
+        return upsert_table(self.spark, self.prices_path, rows, PRICE_KEY, "timestamp", ["month"], PRICE_KEY)
 
     def audit(self) -> DataFrame:
         return audit_star(self.prices(), self.tickers())

@@ -57,17 +57,37 @@ def test_star_range_prunes_months_and_needs_no_join(engine):
 
 
 @pytest.mark.parametrize("store, first", [("wide", r"ticker#\d+ >= GOOGL"), ("star", r"month#\d+ >= 2024-01-01")])
-def test_upserts_prune_partitions(engine, main_bars, monkeypatch, store, first):
-    plans, staged = {}, tables.staged
+def test_upserts_prune_partitions_and_files(engine, main_bars, monkeypatch, store, first):
+    plans, staged, written = {}, tables.staged, tables.write_table
 
     def spy(df, label):
         plans[label] = plan(df)
         return staged(df, label)
 
+    def spy_written(df, *args):
+        plans["written"] = plan(df)
+        return written(df, *args)
+
     monkeypatch.setattr(tables, "staged", spy)
+    monkeypatch.setattr(tables, "write_table", spy_written)
     getattr(engine, store).upsert(main_bars.filter("ticker = 'GOOGL'"))
     assert re.search("PartitionFilters: .*" + first, plans["hits"])
-    assert re.search("PartitionFilters: .*" + first + ".*dynamicpruning", plans["merged"])
+    assert re.search("PartitionFilters: .*" + first, plans["written"])
+    assert re.search(r"_metadata\.file_path.*IN \(|file_path.* IN \(|file_path.* = file:", plans["written"])
+
+
+@pytest.mark.parametrize("period", ["month", "year"])
+def test_wide_range_prunes_periods(spark, main_bars, tmp_path, period):
+    store = WideStore(spark, str(tmp_path / "wide"), period=period)
+    store.save(main_bars)
+    engine = QueryEngine(wide=store)
+    text = plan(engine.get_price_range("AAPL", "2024-01-02", "2024-01-03", "wide"))
+    assert re.search(r"PartitionFilters: .*ticker#\d+ = AAPL", text)
+    assert re.search(rf"PartitionFilters: .*bar_{period}#\d+ >= 2024-01-01.*bar_{period}#\d+ <= 2024-01-01", text)
+    assert "GreaterThanOrEqual(timestamp" in text
+    text = plan(engine.get_top_tickers_by_return("2024-02-02", "2024-02-03", 3, "wide"))
+    assert re.search(rf"PartitionFilters: .*bar_{period}#\d+ >= ", text)
+    assert "Python" not in text
 
 
 def test_only_needed_columns_are_read(engine):

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from candlekit import QueryEngine, StarStore, ValidationError, WideStore, build_all_assets, build_wide_store
-from candlekit.operators import upsert
+from candlekit.operators import integrity, upsert
 from candlekit.schema import BARS_SCHEMA, PRICES_SCHEMA
 from candlekit.sources import tables
+from candlekit.sources.files import write_text
 from conftest import bar_rows
 
 CHANGED = """
@@ -113,22 +114,107 @@ def test_upsert_needs_a_ticker(spark, star, wide):
         assert store.bars().count() == 0
 
 
-def test_failed_upsert_keeps_merged_rows_staged(spark, wide, main_bars, changes, monkeypatch):
-    wide.upsert(main_bars)
-    staging = spark.conf.get("spark.checkpoint.dir")
-    before = set(glob.glob(staging + "/candlekit/merged-*"))
+def in_two_files(store, main_bars):
+    """The first day and the days after it, in files of their own."""
+    first = main_bars.filter("timestamp < '2024-01-03'")
+    store.upsert(first)
+    early = files_below(store.path)
+    store.upsert(main_bars.filter("timestamp >= '2024-01-03'"))
+    return early, files_below(store.path) - early
+
+
+def price_files(names):
+    return {name for name in names if "/tickers/" not in name}
+
+
+@pytest.mark.parametrize("store", ["star", "wide"])
+def test_upsert_replaces_only_files_with_a_key_of_the_batch(request, spark, main_bars, store):
+    store = request.getfixturevalue(store)
+    early, late = in_two_files(store, main_bars)
+    touched = {name: os.stat(name).st_mtime_ns for name in early | late}
+    change = spark.createDataFrame([("AAPL", datetime(2024, 1, 3, 10), 1.0, 2.0, 1.0, 2.0, 7)], BARS_SCHEMA)
+    store.upsert(change)
+    assert rows_of(store.bars()) == after_upsert(main_bars, change)
+    kept = files_below(store.path) & set(touched)
+    assert early <= kept and all(os.stat(name).st_mtime_ns == touched[name] for name in kept)
+    # The wide store has a file per ticker there, the star one for the month.
+    assert len(price_files(late) - kept) == 1
+    assert not glob.glob(store.path + "/**/_replace-*", recursive=True)
+
+
+@pytest.mark.parametrize("store", ["star", "wide"])
+def test_many_replaced_files_are_joined(request, main_bars, changes, monkeypatch, store):
+    store = request.getfixturevalue(store)
+    in_two_files(store, main_bars)
+    monkeypatch.setattr(tables, "NAMED_FILES", 1)
+    store.upsert(changes.union(main_bars.filter("ticker = 'GOOGL'")))
+    assert rows_of(store.bars()) == after_upsert(main_bars, changes)
+
 
-    def fail(*args, **kwargs):
+@pytest.mark.parametrize("store", ["star", "wide"])
+@pytest.mark.parametrize("step", ["move", "delete"])
+def test_the_next_write_finishes_an_interrupted_replacement(request, no_bars, main_bars, changes, monkeypatch, store, step):
+    store = request.getfixturevalue(store)
+    in_two_files(store, main_bars)
+    original, calls = getattr(tables, step), []
+
+    def fail(*args):
+        calls.append(args)
+        if len(calls) > 1:
+            raise RuntimeError("lost")
+        original(*args)
+
+    monkeypatch.setattr(tables, step, fail)
+    with pytest.raises(RuntimeError):
+        store.upsert(changes)
+    monkeypatch.undo()
+    store.upsert(no_bars)
+    assert rows_of(store.bars()) == after_upsert(main_bars, changes)
+    assert not glob.glob(store.path + "/**/_replace-*", recursive=True)
+
+
+@pytest.mark.parametrize("store", ["star", "wide"])
+def test_a_replacement_that_was_not_complete_leaves_the_store_as_it_was(request, no_bars, main_bars, changes, monkeypatch, store):
+    store = request.getfixturevalue(store)
+    in_two_files(store, main_bars)
+
+    def fail(*args):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(tables, "write_table", fail)
+    monkeypatch.setattr(tables, "write_text", fail)
     with pytest.raises(RuntimeError):
-        wide.upsert(changes)
+        store.upsert(changes)
     monkeypatch.undo()
-    (merged,) = set(glob.glob(staging + "/candlekit/merged-*")) - before
-    assert spark.read.parquet(merged).count() == 6
-    wide.upsert(changes)
-    assert rows_of(wide.bars()) == after_upsert(main_bars, changes)
+    assert rows_of(store.bars()) == rows_of(main_bars)
+    store.upsert(changes)
+    assert rows_of(store.bars()) == after_upsert(main_bars, changes)
+    assert not glob.glob(store.path + "/**/_replace-*", recursive=True)
+
+
+def test_upsert_of_a_key_that_was_saved_twice(wide, main_bars, changes):
+    wide.save(main_bars)
+    wide.save(main_bars.withColumn("sector", F.lit("tech")).drop("sector"))
+    wide.upsert(main_bars)
+    assert rows_of(wide.bars()) == rows_of(main_bars)
+
+
+@pytest.mark.parametrize("store", ["star", "wide"])
+def test_ordered_upsert_compares_stored_keys(request, spark, store):
+    """Two spellings of one time are one key."""
+    store = request.getfixturevalue(store)
+    rows = [("A", "2024-01-02 09:30:00", 1), ("A", "2024-01-02T09:30:00", 2), ("A", "2024-01-02 09:30", 3), ("B", "2024-01-02", 4)]
+    batch = spark.createDataFrame([(t, at, 1.0, 1.0, 1.0, 1.0, n, n) for t, at, n in rows],
+                                  "ticker string, timestamp string, open double, high double, low double, close double,"
+                                  " volume bigint, seq int")
+    store.upsert(batch, order="seq")
+    assert [(row["ticker"], row["volume"]) for row in store.bars().orderBy("ticker").collect()] == [("A", 3), ("B", 4)]
+    assert store.bars().columns == BARS_SCHEMA.fieldNames()
+    store.upsert(batch.filter("seq < 3").drop("seq"), order="volume")
+    assert [row["volume"] for row in store.bars("A").collect()] == [2]
+    with pytest.raises(ValidationError, match="Found 1 values of seq"):
+        store.upsert(batch.withColumn("seq", F.least("seq", F.lit(2))), order="seq")
+    if isinstance(store, StarStore):
+        assert all(row["violations"] == 0 for row in store.audit().collect())
 
 
 @pytest.mark.parametrize("store", ["star", "wide"])
@@ -317,6 +403,93 @@ def test_integrity_names_bad_files(wide, main_bars):
     assert all("Error reading" in row["error"] for row in errors)
 
 
+def test_damage_in_one_row_group(spark, tmp_path, main_bars):
+    """The groups before and after it are read, but the file does not count."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "wide" / "ticker=A"
+    folder.mkdir(parents=True)
+    table = pa.table({"close": [float(i) for i in range(4000)]})
+    for name in ("sound", "damaged"):
+        pq.write_table(table, folder / f"{name}.parquet", row_group_size=1000, compression="snappy")
+    groups = pq.ParquetFile(folder / "damaged.parquet").metadata
+    with open(folder / "damaged.parquet", "r+b") as file:
+        file.seek(groups.row_group(2).column(0).data_page_offset)
+        file.write(b"\xff" * 200)
+    files = integrity.list_files(spark, str(tmp_path / "wide"))
+    assert integrity.row_groups(files).count() == 8
+    check = WideStore(spark, str(tmp_path / "wide")).verify_integrity()
+    assert rows_of(check.partitions) == [("A", 2, 4000, 1)]
+    (error,) = check.errors.collect()
+    assert error["file"].endswith("damaged.parquet") and error["records"] == 0
+
+
+# --- layout of the wide store -------------------------------------------
+
+
+def test_periods(spark, tmp_path, main_bars, changes):
+    for period, folders in (("month", {"2024-01-01", "2024-02-01"}), ("year", {"2024-01-01"})):
+        store = WideStore(spark, str(tmp_path / period), period=period)
+        store.save(main_bars)
+        store.upsert(changes)
+        expected = after_upsert(main_bars, changes)
+        assert {name.split(f"bar_{period}=")[1][:10] for name in files_below(store.path)} == folders
+        # A stored table keeps its layout, whatever is asked for, and also without its description.
+        for again in (WideStore(spark, store.path), WideStore(spark, store.path, period="month")):
+            assert rows_of(again.bars()) == expected
+            assert again.bars().schema.simpleString() == BARS_SCHEMA.simpleString()
+        os.remove(store.path + "/_table.json")
+        assert rows_of(again.bars()) == expected
+        again.upsert(changes)
+        assert rows_of(again.bars()) == expected
+        assert rows_of(again.bars("AAPL", "2024-01-03", "2024-01-31")) == [
+            row for row in expected if row[0] == "AAPL" and datetime(2024, 1, 3) <= row[1] <= datetime(2024, 1, 31)
+        ]
+        assert rows_of(again.bars(start="2024-02-01")) == [row for row in expected if row[1] >= datetime(2024, 2, 1)]
+        check = again.verify_integrity()
+        assert (check.valid, check.total_records) == (True, len(expected))
+        assert rows_of(check.tickers) == [("AAPL",), ("GOOGL",), ("MSFT",)]
+    with pytest.raises(ValueError):
+        WideStore(spark, "x", period="day")
+    with pytest.raises(ValidationError, match="bar_year"):
+        store.save(main_bars.withColumn("bar_year", F.lit(1)))
+
+
+def test_bounds_are_the_same_for_all_layouts(spark, tmp_path, main_bars):
+    for period in (None, "month", "year"):
+        store = WideStore(spark, str(tmp_path / str(period)), period=period)
+        store.save(main_bars)
+        assert store.bars("AAPL", "2024-01-03", "2024-01-03 09:30").count() == 1
+        assert store.bars(end="2024-01-02 09:30:00").count() == 2
+        assert store.bars(start="2024-01-04 09:31:00").count() == 0
+
+
+def test_tables_without_a_description_are_read(spark, tmp_path, main_bars):
+    path = str(tmp_path / "old")
+    main_bars.withColumn("sector", F.lit("tech")).write.partitionBy("ticker").parquet(path)
+    store = WideStore(spark, path, period="month")
+    assert store.bars().columns == [*BARS_SCHEMA.fieldNames(), "sector"]
+    assert store.bars("AAPL").columns == [*BARS_SCHEMA.fieldNames(), "sector"]
+    store.upsert(main_bars.withColumn("volume", F.lit(1)))
+    assert {(row["sector"], row["volume"]) for row in store.bars().collect()} == {("tech", 1)}
+    assert not glob.glob(path + "/**/bar_month=*", recursive=True)
+    write_text(spark, path + "/_table.json", '{"columns":')  # cut off while it was written
+    assert store.bars().count() == 10
+
+
+def test_reading_needs_no_job_to_learn_the_columns(spark, wide, main_bars):
+    wide.save(main_bars.withColumn("sector", F.lit("tech")))
+    context = spark.sparkContext
+    context.setJobGroup("columns", "columns")
+    try:
+        for rows in (WideStore(spark, wide.path).bars(), wide.bars("AAPL"), wide.bars("NONE")):
+            assert rows.columns == [*BARS_SCHEMA.fieldNames(), "sector"]
+        assert list(context.statusTracker().getJobIdsForGroup("columns")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 # --- star store ---------------------------------------------------------
 
 
