@@ -27,7 +27,9 @@ from candlekit.plans.event_bars import (  # noqa: E402
     supplier_bars,
     user_ticks,
 )
+from candlekit.schema import ValidationError  # noqa: E402
 from candlekit.session import staging_path  # noqa: E402
+from candlekit.sources.files import write_text  # noqa: E402
 from candlekit.sources.csv_bars import load_bars_csv, load_tickers_csv  # noqa: E402
 
 # The training-data operators can be taken out together with their pipeline.
@@ -262,6 +264,97 @@ def csv_extra_columns(spark, folder):
     return bars.toDF(*bars.columns[:-1], "adj_close").withColumn("adj_close", F.col("adj_close").cast("double"))
 
 
+def csv_quoted_line_breaks(spark, folder):
+    """Every third ticker, and a note, hold line breaks, commas and quotes."""
+    bars, volume = event_bars(spark, folder), F.col("volume")
+    note = F.when(volume % 3 == 0, F.concat(F.lit('first "'), "ticker", F.lit('"\n\n, second')))
+    path = staging_path(spark, "bars-csv")
+    ticker = F.concat(F.lit("\n"), "ticker", F.lit("\n "))
+    rows = bars.withColumns({"ticker": F.when(volume % 3 == 1, ticker).otherwise(F.col("ticker")), "note": note})
+    rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return load_bars_csv(spark, path)
+
+
+def csv_inferred_format(spark, folder):
+    """Nobody names the format of the times: day first, and minutes."""
+    bars = event_bars(spark, folder)
+    path = staging_path(spark, "bars-csv")
+    bars.withColumn("timestamp", F.date_format("timestamp", "dd/MM/yyyy HH:mm")).write.option("header", True).csv(path)
+    return load_bars_csv(spark, path)
+
+
+def upsert_ordered_text_times(spark, folder):
+    """Every bar comes twice, with its time in two spellings; the later one, with a volume more by one, counts."""
+    bars = event_bars(spark, folder).withColumn("seq", F.lit(1))
+    later = bars.withColumns({"seq": F.lit(2), "volume": F.col("volume") + 1})
+    batch = bars.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).unionByName(
+        later.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+    )
+    stores = StarStore(spark, staging_path(spark, "star")), WideStore(spark, staging_path(spark, "wide"))
+    for store in stores:
+        store.upsert(batch, order="seq")
+    sides = [store.bars().withColumn("source", F.lit(name)) for name, store in zip(("star", "wide"), stores)]
+    return sides[0].unionByName(sides[1])
+
+
+def wide_period_upsert(spark, folder):
+    """A table with a folder per ticker and month, corrected in part."""
+    old, changed = _old_and_changed(event_bars(spark, folder))
+    store = WideStore(spark, staging_path(spark, "wide"), period="month")
+    store.save(old)
+    store.upsert(changed)
+    return store.bars()
+
+
+def wide_period_range(spark, folder):
+    """A range that opens a few of the months of one ticker."""
+    store = WideStore(spark, staging_path(spark, "wide"), period="month")
+    bars = supplier_bars(spark, folder)
+    store.save(bars.filter(F.col("ticker").isin("S1", "S7")))
+    return QueryEngine(wide=store).get_price_range("S7", "1995-02-10", "1995-05-20", source="wide")
+
+
+def top_tickers_null_prices(spark, folder):
+    """The first open of some tickers is null: they have no return and are left out."""
+    bars = event_bars(spark, folder)
+    first = bars.filter(F.col("timestamp") >= prices.moment(START)).groupBy("ticker").agg(F.min("timestamp").alias("at"))
+    hidden = first.filter("ticker < 'P'")
+    holes = bars.join(hidden, "ticker", "left").withColumn("open", F.when(F.col("timestamp") == F.col("at"), None).otherwise(F.col("open")))
+    return prices.top_tickers_by_return(holes.drop("at"), START, END, 10)
+
+
+def damaged_store(spark, folder):
+    """One file of each ticker is overwritten with what is not Parquet."""
+    store = _wide(spark, event_bars(spark, folder))
+    store.save(event_bars(spark, folder))
+    first = integrity.list_files(spark, store.path).groupBy("ticker").agg(F.min("file").alias("file"))
+    for row in first.filter("ticker < 'P'").collect():  # event types
+        write_text(spark, row["file"], "not parquet")
+    return store.verify_integrity().partitions.select("ticker", "files", "bad_files", "records")
+
+
+def missing_columns(spark, folder):
+    """What the check of required columns says about the raw test rows without some of them."""
+    raw = defective_rows(spark, folder).drop("close", "volume")
+    try:
+        validation.require_columns(raw.columns)
+        found = ""
+    except ValidationError as error:
+        found = str(error)
+    return raw.agg(F.count("*").alias("records")).select("records", F.lit(found).alias("message"))
+
+
+def dimension_created(spark, folder):
+    """Every dimension row says when it was made: not before the load, not after it."""
+    start = spark.range(1).select(F.current_timestamp()).first()[0]
+    store = StarStore(spark, staging_path(spark, "star"))
+    store.add_tickers(user_ticks(spark, folder).select(F.col("ticker").alias("symbol")))
+    at = F.col("created_at")
+    return store.tickers().agg(
+        F.count("*").alias("records"), F.count_if((at >= F.lit(start)) & (at <= F.current_timestamp())).alias("in_time")
+    )
+
+
 def wide_upsert_extra_columns(spark, folder):
     """The second batch lacks a column that the stored rows keep."""
     old, changed = _old_and_changed(event_bars(spark, folder))
@@ -371,6 +464,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_load_with_metadata": csv_load_with_metadata,
         "csv_timestamp_patterns": csv_timestamp_patterns,
         "csv_extra_columns": csv_extra_columns,
+        "csv_quoted_line_breaks": csv_quoted_line_breaks,
+        "csv_inferred_format": csv_inferred_format,
+        "upsert_ordered_text_times": upsert_ordered_text_times,
+        "wide_period_upsert": wide_period_upsert,
+        "wide_period_range": wide_period_range,
+        "top_tickers_null_prices": top_tickers_null_prices,
+        "damaged_store": damaged_store,
+        "dimension_created": dimension_created,
+        "missing_columns": missing_columns,
         # star store
         "star_view": star_view,
         "star_price_range": star_price_range,
@@ -660,6 +762,40 @@ def oracle_sql() -> dict[str, str]:
         "csv_load_with_metadata": _select("event_bars"),
         "csv_timestamp_patterns": _select("event_bars"),
         "csv_extra_columns": _sql("event_bars", f'SELECT {BARS}, "close" AS adj_close FROM event_bars'),
+        "csv_quoted_line_breaks": _sql(
+            "event_bars",
+            f"""SELECT {BARS}, CASE WHEN volume % 3 = 0 THEN 'first "' || ticker || '"' || chr(10) || chr(10) || ', second' END
+                       AS note FROM event_bars""",
+        ),
+        "csv_inferred_format": _select("event_bars"),
+        "upsert_ordered_text_times": _sql(
+            "event_bars",
+            f"""SELECT ticker, "timestamp", open, high, low, "close", volume + 1 AS volume, source
+                FROM event_bars CROSS JOIN (VALUES ('star'), ('wide')) AS stores(source)""",
+        ),
+        "wide_period_upsert": changed,
+        "wide_period_range": _select(
+            "supplier_bars", f"WHERE ticker = 'S7' AND {_range('1995-02-10', '1995-05-20')}"
+        ),
+        "top_tickers_null_prices": _sql(
+            "event_bars",
+            f"""SELECT ticker, (last_close - first_open) / nullif(first_open, 0) * 100 AS return_pct
+                FROM (SELECT ticker, max(CASE WHEN first = 1 AND ticker >= 'P' THEN open END) AS first_open,
+                             max(CASE WHEN last = 1 THEN "close" END) AS last_close
+                      FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY "timestamp") AS first,
+                                   row_number() OVER (PARTITION BY ticker ORDER BY "timestamp" DESC) AS last
+                            FROM event_bars WHERE {_range(START, END)}) GROUP BY 1)
+                WHERE first_open IS NOT NULL""",
+        ),
+        "damaged_store": _sql(
+            "event_bars",
+            """SELECT ticker, CAST(2 AS BIGINT) AS files, CAST(CASE WHEN ticker < 'P' THEN 1 ELSE 0 END AS BIGINT) AS bad_files,
+                      CAST(CASE WHEN ticker < 'P' THEN 1 ELSE 2 END * count(*) AS BIGINT) AS records
+               FROM event_bars GROUP BY ticker""",
+        ),
+        "dimension_created": """SELECT count(DISTINCT user_id) AS records, count(DISTINCT user_id) AS in_time FROM events""",
+        "missing_columns": """SELECT count(*) AS records,
+                                     'Missing required columns: [''close'', ''volume'']' AS message FROM events""",
         "star_view": _select("supplier_bars"),
         "star_price_range": _select("event_bars", view_range),
         "dim_metadata": """SELECT row_number() OVER (ORDER BY symbol) AS ticker_id, symbol,

@@ -5,7 +5,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlekit.functions import parse_timestamp
 from candlekit.functions.expressions import is_missing
 
 # Patterns of the date and of the time after it, in the order in which they are preferred, with the shape of
@@ -33,15 +32,20 @@ PATTERNS = [date + time for date in DATES for time in TIMES]
 
 
 def fitting_patterns(column: Column) -> Column:
-    """A number whose bit i says whether PATTERNS[i] reads the value. Only patterns of its shape are tried."""
+    """A number whose bit i says whether PATTERNS[i] reads the value. Only patterns of its shape are tried,
+    as a pattern that fails is slow."""
     text = F.trim(column.cast("string"))
-    bits = []
-    for i, pattern in enumerate(PATTERNS):
-        date, time = list(DATES)[i // len(TIMES)], list(TIMES)[i % len(TIMES)]
-        shape = text.rlike(f"^{DATES[date]}{TIMES[time]}$")
-        # ISO-like forms that `parse_timestamp` also takes do not have these shapes, but for yyyyMMdd.
-        bits.append(F.when(shape & parse_timestamp(text, pattern).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)))
-    return reduce(Column.bitwiseOR, [bit.cast("bigint") for bit in bits])
+    none, found = F.lit(0).cast("bigint"), []
+    for i, (date, shape) in enumerate(DATES.items()):
+        bits = [
+            F.when(
+                text.rlike(f"[0-9]{rest}$") & F.try_to_timestamp(text, F.lit(date + time)).isNotNull(),
+                F.lit(1 << (i * len(TIMES) + j)).cast("bigint"),
+            ).otherwise(none)
+            for j, (time, rest) in enumerate(TIMES.items())
+        ]
+        found.append(F.when(text.rlike(f"^{shape}( |$)"), reduce(Column.bitwiseOR, bits)).otherwise(none))
+    return reduce(Column.bitwiseOR, found)
 
 
 def inferred_pattern(rows: DataFrame, column: str) -> str | None:
@@ -50,5 +54,6 @@ def inferred_pattern(rows: DataFrame, column: str) -> str | None:
     One aggregation: the bits that all values have in common.
     """
     value = F.col(column)
-    common = rows.filter(~is_missing(value)).agg(F.bit_and(fitting_patterns(value)).alias("common")).first()["common"]
+    fitting = rows.filter(~is_missing(value)).select(fitting_patterns(value).alias("fitting"))
+    common = fitting.agg(F.bit_and("fitting").alias("common")).first()["common"]
     return PATTERNS[(common & -common).bit_length() - 1] if common else None
