@@ -15,11 +15,13 @@ looked up.
 """
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
@@ -31,7 +33,7 @@ WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Encoded words and judged neighbours that a worker remembers; both only save time. The
 #: words of the last two generations are there.
 KNOWN_WORDS = 1 << 18
-KNOWN_PAIRS = 1 << 19
+KNOWN_PAIRS = 1 << 18
 #: Longer words are not remembered.
 KNOWN_LENGTH = 32
 #: Texts or tokens that one Arrow batch of results is made from, in bytes or ids.
@@ -39,6 +41,8 @@ BATCH_SIZE = 1 << 20
 #: A model goes to the executors with the task, so its size is checked.
 MODEL_BYTES = 64 << 20
 
+_NONE: dict[str, bool] = {}
+
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
@@ -50,7 +54,8 @@ class PieceEncoder:
         ids = range(library.vocab_size())
         special = [library.is_byte(i) or library.is_control(i) or library.is_unknown(i) for i in ids]
         self.library = library
-        self.bytes = [library.piece_to_id(f"<0x{value:02X}>") for value in range(256)]
+        # Ids are kept as 32-bit numbers in bytes, which are short and quickly joined.
+        self.bytes = [array("i", [library.piece_to_id(f"<0x{value:02X}>")]).tobytes() for value in range(256)]
         self.ids = {library.id_to_piece(i): i for i in ids if not special[i]}
         self.scores = {piece: library.get_score(i) for piece, i in self.ids.items()}
         self.alphabet = set(chain.from_iterable(self.ids))
@@ -66,8 +71,11 @@ class PieceEncoder:
         self.merges: dict[str, list[tuple[float, str, str]] | None] = {}
         self.followers: dict[str, dict[str, bool]] = {}
         self.judged = 0
-        self.known: dict[str, list[int]] = {}
-        self.known_before: dict[str, list[int]] = {}
+        self.packed = {piece: array("i", [i]).tobytes() for piece, i in self.ids.items()}
+        for character in self.alphabet.difference(self.ids):
+            self.packed[character] = b"".join([self.bytes[value] for value in character.encode()])
+        self.known: dict[str, bytes] = {}
+        self.known_before: dict[str, bytes] = {}
 
     def _prefix(self, piece: str) -> str:
         for end in range(len(piece) - 1, 1, -1):
@@ -118,15 +126,11 @@ class PieceEncoder:
                 crossing = self.scores.get(last + first)
         return crossing is None
 
-    def _followers(self, left: str) -> dict[str, bool]:
-        """Which pieces can follow `left` (or start a word, if that is empty), as far as judged."""
+    def _judge(self, left: str, piece: str) -> bool:
         if self.judged >= KNOWN_PAIRS:
             self.followers, self.judged = {}, 0
-        return self.followers.setdefault(left, {})
-
-    def _judge(self, left: str, piece: str, judged: dict[str, bool]) -> bool:
-        fits = judged[piece] = self.fits(left, piece)
         self.judged += 1
+        fits = self.followers.setdefault(left, {})[piece] = self.fits(left, piece)
         return fits
 
     def backtrack(self, word: str) -> list[str]:
@@ -139,17 +143,18 @@ class PieceEncoder:
         failed = None
         path: list[str] = []
         at, left, piece = 0, "", word[: ends[0]]
-        judged = self._followers(left)
+        shorter = self.shorter
         while True:
+            judged = self.followers.get(left, _NONE)
             while piece:
                 fits = judged.get(piece)
                 if fits is None:
-                    fits = self._judge(left, piece, judged)
+                    fits = self._judge(left, piece)
                 if fits:
                     end = at + len(piece)
                     if failed is None or not failed[end >> 3] >> (end & 7) & 1:
                         break
-                piece = self.shorter[piece]
+                piece = shorter[piece]
             if piece:
                 path.append(piece)
                 if end == size:
@@ -162,20 +167,16 @@ class PieceEncoder:
                 piece = path.pop()
                 at -= len(piece)
                 left = path[-1] if path else ""
-            judged = self._followers(left)
 
-    def _part_ids(self, part: str) -> list[int]:
+    def _part_ids(self, part: str) -> bytes:
         """The ids of a part of a word in which all neighbours stand side by side in pieces."""
-        found: list[int] = []
-        # A character that no piece holds is a part alone: its bytes stand for it.
-        for piece in self.backtrack(part) if part[0] in self.alphabet else [part]:
-            if piece in self.ids:
-                found.append(self.ids[piece])
-            else:
-                found += [self.bytes[value] for value in piece.encode()]
-        return found
+        if part[0] not in self.alphabet:
+            # A character that no piece holds is a part alone: its bytes stand for it.
+            return b"".join([self.bytes[value] for value in part.encode()])
+        packed = self.packed
+        return b"".join([packed[piece] for piece in self.backtrack(part)])
 
-    def _remembered(self, text: str, make) -> list[int]:
+    def _remembered(self, text: str, make) -> bytes:
         ids = self.known.get(text)
         if ids is None:
             ids = self.known_before.get(text)
@@ -187,27 +188,30 @@ class PieceEncoder:
                 self.known[text] = ids
         return ids
 
-    def _word_ids(self, word: str) -> list[int]:
+    def _word_ids(self, word: str) -> bytes:
         if word.lstrip(SPACE).isalpha() and self.alphabet.issuperset(word):
             return self._part_ids(word)
         pairs = self.side_by_side
         cuts = [i for i, pair in enumerate(zip(word, word[1:]), 1) if pair not in pairs]
         if not cuts:
             return self._part_ids(word)
-        found: list[int] = []
-        for start, end in zip([0, *cuts], [*cuts, len(word)]):
-            found += self._remembered(word[start:end], self._part_ids)
-        return found
+        return b"".join(
+            [self._remembered(word[start:end], self._part_ids) for start, end in zip([0, *cuts], [*cuts, len(word)])]
+        )
 
-    def encode(self, text: str) -> list[int]:
+    def encode_packed(self, text: str) -> bytes:
+        """The ids of `text` as 32-bit numbers."""
         if not text:
-            return []
+            return b""
         words = WORD.findall(SPACE + text.replace(" ", SPACE))
         found = list(map(self.known.get, words))
         for i, ids in enumerate(found):
             if ids is None:
                 found[i] = self._remembered(words[i], self._word_ids)
-        return list(chain.from_iterable(found))
+        return b"".join(found)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.encode_packed(text)).tolist()
 
 
 @lru_cache(maxsize=1)
@@ -283,13 +287,15 @@ def encode_texts(docs: DataFrame, model: bytes, text: str = "text", tokens: str
     """
 
     def make(batch):
-        encode = encoder(model).encode
+        encode = encoder(model).encode_packed
         column = batch.column(text)
         sizes = pc.binary_length(column).fill_null(0).to_pylist()
         for first, last in _slices(sizes):
             part = batch.slice(first, last - first)
             found = [encode(value or "") for value in part.column(text).to_pylist()]
-            yield part, pa.array(found, pa.list_(pa.int32()))
+            ends = np.cumsum([0, *[len(ids) // 4 for ids in found]], dtype=np.int32)
+            ids = np.frombuffer(b"".join(found), np.int32)
+            yield part, pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
 
     return _with_column(docs, tokens, "array<int>", make)
 
@@ -306,7 +312,9 @@ def decode_tokens(rows: DataFrame, model: bytes, tokens: str = "tokens", text: s
         sizes = pc.list_value_length(batch.column(tokens)).fill_null(0).to_pylist()
         for first, last in _slices(sizes):
             part = batch.slice(first, last - first)
-            found = [decode(ids) if ids else "" for ids in part.column(tokens).to_pylist()]
+            lists = part.column(tokens)
+            ids, ends = lists.flatten().to_numpy(), np.cumsum([0, *sizes[first:last]])
+            found = [decode(ids[a:b].tolist()) if b > a else "" for a, b in zip(ends, ends[1:])]
             yield part, pa.array(found, pa.string())
 
     return _with_column(rows, text, "string", make)
