@@ -127,9 +127,19 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, spans: Words) -> np.ndarray:
-    sums = prefix_sums(data.astype(np.uint64) + np.uint64(1), BYTE_BASE)
-    hashes = span_hashes(sums, spans.starts, spans.ends, BYTE_BASE)
-    return mix(hashes + (spans.ends - spans.starts).astype(np.uint64))
+    """Per word the sum of a mixed number for each of its bytes and their places in the word.
+
+    Not a polynomial: modulo a power of two, those give some pairs of words the same value for
+    any base.
+    """
+    lengths = spans.ends - spans.starts
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    firsts = np.cumsum(lengths) - lengths
+    places = np.arange(int(lengths.sum())) - np.repeat(firsts, lengths)
+    content = data[np.repeat(spans.starts, lengths) + places].astype(np.uint64)
+    content += places.astype(np.uint64) << np.uint64(8)
+    return mix(np.add.reduceat(mix(content + np.uint64(BYTE_BASE)), firsts) + lengths.astype(np.uint64))
 
 
 def gram_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
