@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from candlekit.session import stage
 
-#: Text that one block holds; a longer text goes on in the next block.
-BLOCK_BYTES = 4 << 20
+#: Text that the open blocks of a task hold; a longer text goes on in the next block. The larger
+#: a block, the fewer count rows does a phrase have.
+BLOCK_BYTES = 16 << 20
 #: Text that is split into words at once.
 SLICE_BYTES = 1 << 20
 LONGEST = 4
@@ -41,8 +42,13 @@ _FOLD = bytes.maketrans(_UPPER + b"\t" + _PIECE_ENDS, _UPPER.lower() + b" " + b"
 
 _GAP = -1
 
-_BLOCK = "block long, lang string, ids array<int>, starts int, words array<string>, counts array<long>"
-_RELATION = "block long, ids array<int>, starts int, firsts array<long>, lasts array<long>, counts array<long>"
+#: Phrases of a block are counted in rows of so many, so that no row gets large.
+ROW_PHRASES = 1 << 15
+
+# A block has one row with ids, its occurrences by position, and rows with the counts of its phrases from number
+# `base` on. Occurrences from `starts` on belong to the next block.
+_BLOCK = "block long, lang string, ids array<int>, starts int, base int, words array<string>, counts array<long>"
+_RELATION = "block long, ids array<int>, starts int, base int, firsts array<long>, lasts array<long>, counts array<long>"
 
 
 def _tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -92,23 +98,41 @@ class _Block:
         self.parts.append(np.array([_GAP], np.int32))
 
 
+_ARROW = {
+    "block": pa.int64(),
+    "lang": pa.string(),
+    "ids": pa.list_(pa.int32()),
+    "starts": pa.int32(),
+    "base": pa.int32(),
+    "words": pa.list_(pa.string()),
+    "firsts": pa.list_(pa.int64()),
+    "lasts": pa.list_(pa.int64()),
+    "counts": pa.list_(pa.int64()),
+}
+
+
+def _schema(ddl: str) -> pa.Schema:
+    return pa.schema([(field.split()[0], _ARROW[field.split()[0]]) for field in ddl.split(", ")])
+
+
+def _rows(schema: pa.Schema, same: dict, ids: np.ndarray, starts: int, phrases: dict) -> Iterator[pa.RecordBatch]:
+    """The rows of one block; `same` are the values of columns that are the same in all of them."""
+    last = len(phrases["counts"])
+    parts = [{**same, "ids": ids, "starts": starts}]
+    for base in range(0, last, ROW_PHRASES):
+        parts.append({**same, "base": base, **{name: x[base : base + ROW_PHRASES] for name, x in phrases.items()}})
+    for part in parts:
+        yield pa.RecordBatch.from_arrays([pa.array([part.get(f.name)], f.type) for f in schema], schema=schema)
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [
-            ("block", pa.int64()),
-            ("lang", pa.string()),
-            ("ids", pa.list_(pa.int32())),
-            ("starts", pa.int32()),
-            ("words", pa.list_(pa.string())),
-            ("counts", pa.list_(pa.int64())),
-        ]
-    )
+    schema = _schema(_BLOCK)
     task, made = TaskContext.get().partitionId(), 0
     open_blocks: dict[str, _Block] = {}
     held = 0
 
-    def finished(lang: str, block: _Block, ahead: int = 0) -> pa.RecordBatch:
-        """A row of the table. The last `ahead` words start in the next block."""
+    def finished(lang: str, block: _Block, ahead: int = 0) -> Iterator[pa.RecordBatch]:
+        """The rows of a block. The last `ahead` words start in the next one."""
         nonlocal made
         if made >> COUNTER_BITS:
             raise OverflowError("A task makes too many blocks; read the table in more partitions")
@@ -116,9 +140,9 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = len(ids) - ahead
         texts = [word.decode() for word in list(block.words)[1:]]
         counts = np.bincount(ids[:starts][ids[:starts] >= 0], minlength=len(texts))
-        number, made = (task << COUNTER_BITS) + made, made + 1
-        row = [[number], [lang], [ids], [starts], [texts], [counts]]
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
+        same = {"block": (task << COUNTER_BITS) + made, "lang": lang}
+        made += 1
+        return _rows(schema, same, ids, starts, {"words": texts, "counts": counts})
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
@@ -128,19 +152,20 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     # The text goes on: phrases that start here may end in the next slice.
                     ahead = tokens[: LONGEST - 1]
                     block.add(ahead, 0)
-                    yield finished(lang, block, len(ahead))
+                    yield from finished(lang, block, len(ahead))
                     held -= block.bytes
                     block = open_blocks[lang] = _Block()
                 size = sum(map(len, tokens)) + len(tokens)
                 block.add(tokens, size)
                 held += size
             block.gap()
-            if held >= BLOCK_BYTES:
-                for name, full in open_blocks.items():
-                    yield finished(name, full)
-                open_blocks, held = {}, 0
+            while held >= BLOCK_BYTES:
+                largest = max(open_blocks, key=lambda name: open_blocks[name].bytes)
+                full = open_blocks.pop(largest)
+                held -= full.bytes
+                yield from finished(largest, full)
     for name, last in open_blocks.items():
-        yield finished(name, last)
+        yield from finished(name, last)
 
 
 def _numbers(table: pa.Table, name: str) -> np.ndarray:
@@ -152,21 +177,12 @@ def _numbers(table: pa.Table, name: str) -> np.ndarray:
 def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     """The relation of the next length of one block: occurrences of frequent phrases, each joined
     to the one at the next position."""
-    schema = pa.schema(
-        [
-            ("block", pa.int64()),
-            ("ids", pa.list_(pa.int32())),
-            ("starts", pa.int32()),
-            ("firsts", pa.list_(pa.int64())),
-            ("lasts", pa.list_(pa.int64())),
-            ("counts", pa.list_(pa.int64())),
-        ]
-    )
+    schema = _schema(_RELATION)
     if not relation.num_rows or not frequent.num_rows:
         return schema.empty_table()
     ids = _numbers(relation, "ids")
     starts = int(_numbers(relation, "starts")[0])
-    local, phrase = _numbers(frequent, "local"), _numbers(frequent, "phrase")
+    local, phrase = _numbers(frequent, "place") & ((1 << LOCAL_BITS) - 1), _numbers(frequent, "phrase")
     # The last entry stands for the gaps.
     phrases = np.full(max(int(local.max()), int(ids.max())) + 2, -1, np.int64)
     phrases[local] = phrase
@@ -177,36 +193,36 @@ def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     pairs, numbers = np.unique(ids[at].astype(np.int64) << LOCAL_BITS | ids[at + 1], return_inverse=True)
     joined = np.full(len(ids), _GAP, np.int32)
     joined[at] = numbers
-    row = {
-        "block": _numbers(relation, "block")[:1],
-        "ids": [joined],
-        "starts": [starts],
-        "firsts": [phrases[pairs >> LOCAL_BITS]],
-        "lasts": [phrases[pairs & ((1 << LOCAL_BITS) - 1)]],
-        "counts": [np.bincount(numbers[at < starts], minlength=len(pairs))],
+    found = {
+        "firsts": phrases[pairs >> LOCAL_BITS],
+        "lasts": phrases[pairs & ((1 << LOCAL_BITS) - 1)],
+        "counts": np.bincount(numbers[at < starts], minlength=len(pairs)),
     }
-    return pa.Table.from_arrays([pa.array(row[f.name], f.type) for f in schema], schema=schema)
+    same = {"block": int(_numbers(relation, "block")[0])}
+    return pa.Table.from_batches(list(_rows(schema, same, joined, starts, found)), schema)
 
 
 def _frequent(relation: DataFrame, key: list[str], arrays: dict[str, str], least: int) -> DataFrame:
-    """The count rows of phrases that occur at least `least` times: block, local (number in the
-    block), phrase (number everywhere), f, and the key."""
+    """The count rows of phrases that occur at least `least` times: place (the block and the
+    phrase's number in it), phrase (its number everywhere), f, and the key."""
     zipped = F.arrays_zip(*[F.col(name).alias(alias) for name, alias in arrays.items()], F.col("counts").alias("count"))
     others = [name for name in key if name not in arrays.values()]
-    rows = relation.select("block", *others, F.posexplode(zipped).alias("local", "row")).select(
-        "block", "local", *others, *[f"row.{alias}" for alias in arrays.values()], "row.count"
+    counted = relation.filter("base is not null").select("block", "base", *others, F.posexplode(zipped).alias("local", "row"))
+    rows = counted.select(
+        (F.col("block") * (1 << LOCAL_BITS) + F.col("base") + F.col("local")).alias("place"),
+        *others,
+        *[f"row.{alias}" for alias in arrays.values()],
+        "row.count",
     )
-    place = F.col("block") * (1 << LOCAL_BITS) + F.col("local")
     # At most one row per block.
     same = Window.partitionBy(*key)
-    rows = rows.withColumns({"f": F.sum("count").over(same), "phrase": F.min(place).over(same)})
+    rows = rows.withColumns({"f": F.sum("count").over(same), "phrase": F.min("place").over(same)})
     return rows.filter(F.col("f") >= least).drop("count")
 
 
 def _distinct(rows: DataFrame, *columns: str) -> DataFrame:
     """One row per phrase: its first count row."""
-    own = F.col("phrase") == F.col("block") * (1 << LOCAL_BITS) + F.col("local")
-    return rows.filter(own).select("phrase", "f", *columns)
+    return rows.filter(F.col("phrase") == F.col("place")).select("phrase", "f", *columns)
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[DataFrame]]:
@@ -220,7 +236,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     relation = stage(texts.mapInArrow(_block_rows, _BLOCK), "setm-words")
-    words = relation.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
+    words = relation.filter("base is not null").select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
 
     key, arrays, found = ["lang", "word"], {"words": "word"}, []
@@ -229,8 +245,9 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
         found.append(_distinct(rows, *key))
         if length == LONGEST:
             return totals, found
-        occurrences = relation.select("block", "ids", "starts").groupBy("block")
-        frequent = rows.select("block", "local", "phrase").groupBy("block")
+        occurrences = relation.filter("ids is not null").select("block", "ids", "starts").groupBy("block")
+        block = F.shiftright("place", LOCAL_BITS).alias("block")
+        frequent = rows.select(block, "place", "phrase").groupBy("block")
         relation = stage(occurrences.cogroup(frequent).applyInArrow(_longer, _RELATION), f"setm-relation-{length + 1}")
         key, arrays = ["first", "last"], {"firsts": "first", "lasts": "last"}
 
