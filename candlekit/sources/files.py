@@ -52,6 +52,12 @@ def files_below(spark: SparkSession, path: str, suffix: str) -> Iterator[str]:
             yield name[len(root) + 1 :]
 
 
+def size_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below `path`."""
+    system, folder = _located(spark, path)
+    return system.getContentSummary(folder).getLength() if system.exists(folder) else 0
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file into a folder that need not exist yet."""
     system, file = _located(spark, source)
