@@ -18,8 +18,9 @@ affects the cost: any choice gives the same links.
 Equal sets are one class with a representative; only representatives are joined.
 Within a list not all pairs are made: all members are compared with one pivot and
 the components of the links are formed; lists whose members are in one component
-are done. After `STAR_ROUNDS` rounds with different pivots, the pairs between different
-components of the lists that remain are compared, so that no link is lost.
+are done. After `STAR_ROUNDS` rounds with different pivots, the members outside the largest
+component of a list that remains are compared with all of it, by their sketches first, so that
+no link is lost. That is the product of both numbers at worst.
 """
 
 from collections.abc import Iterator
@@ -40,10 +41,12 @@ PERCENT = 80
 COMMON = 32
 SEEN = 3
 FREQUENT = 1 << 20
-BUFFER = 2 << 20
+BUFFER = 1 << 19
 #: Sets of that size or more are heavy at any cost.
 HEAVY = 512
 SKETCH_WORDS = 16
+#: Sets whose sketches are made at once, with 8 KB each.
+SKETCHED = 512
 #: A larger set has a wide sketch too, of about a bit per shingle, up to WIDE bits; beyond
 #: that it only excludes fewer pairs.
 WIDE = 1 << 20
@@ -114,8 +117,13 @@ def _sketches(rows: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
     """Bit b of a set's sketch is the parity of its shingles whose hash falls on b. The
     bits in which two sketches differ are at most as many as the differing shingles."""
     bits = 64 * SKETCH_WORDS
-    cells = np.bincount(rows * bits + (hashes >> np.uint64(54)).astype(np.int64) % bits, minlength=count * bits)
-    packed = np.packbits((cells & 1).astype(bool).reshape(count, bits), axis=1, bitorder="little")
+    packed = np.zeros((count, bits // 8), np.uint8)
+    for low in range(0, count, SKETCHED):
+        high = min(low + SKETCHED, count)
+        part = slice(*np.searchsorted(rows, [low, high]))
+        places = (rows[part] - low) * bits + (hashes[part] >> np.uint64(54)).astype(np.int64) % bits
+        odd = (np.bincount(places, minlength=(high - low) * bits) & 1).astype(bool)
+        packed[low:high] = np.packbits(odd.reshape(high - low, bits), axis=1, bitorder="little")
     return packed.view("<i8")
 
 
@@ -239,12 +247,16 @@ def light_boundary(sizes: list[tuple[int, int]], mean_list: float) -> int:
     return boundary
 
 
+def _apart(a: Column, b: Column) -> Column:
+    """The number of bits in which two sketches differ."""
+    return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(a[0].bitwiseXOR(b[0])))
+
+
 def _may_link(a: Column, b: Column, size_a: Column, size_b: Column) -> Column:
     """Necessary: the differing shingles are at most a ninth (for 80 %) of both sizes."""
-    differ = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(1, SKETCH_WORDS)), F.bit_count(a[0].bitwiseXOR(b[0])))
     return (
         (100 * F.least(size_a, size_b) >= PERCENT * F.greatest(size_a, size_b))
-        & (differ * (100 + PERCENT) <= (100 - PERCENT) * (size_a + size_b))
+        & (_apart(a, b) * (100 + PERCENT) <= (100 - PERCENT) * (size_a + size_b))
     )
 
 
@@ -417,11 +429,11 @@ def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame
             )
             open_lists = open_lists.filter("low != high").select(*group, "pivot")
             if last:
-                rest = members.join(open_lists.select(*group), group)
-                open_lists = rest.select(*group, F.struct(*own).alias("pivot"))
-            others = open_lists.select(*group, *[F.col(f"pivot.{name}").alias(f"{name}_other") for name in own])
-            pairs = members.join(others, group).filter("component != component_other").filter(_can_meet())
-            pairs = pairs.select(F.least("id", "id_other").alias("a"), F.greatest("id", "id_other").alias("b"))
+                pairs = _rest_of_lists(members.join(open_lists.select(*group), group), about)
+            else:
+                others = open_lists.select(*group, *[F.col(f"pivot.{name}").alias(f"{name}_other") for name in own])
+                pairs = members.join(others, group).filter("component != component_other").filter(_can_meet())
+                pairs = _ordered(pairs)
         pairs = stage(_likely(pairs.distinct(), about), "likely-pairs")
         sets = sets.unionByName(_missing_sets(texts, words, pairs, sets, classes))
         new = stage(_links(pairs, sets), "jaccard-links")
@@ -434,6 +446,28 @@ def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame
     return linked
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("id", "id_other").alias("a"), F.greatest("id", "id_other").alias("b"))
+
+
+def _rest_of_lists(members: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components of the lists (key, band) that may link.
+
+    Of every list the members outside its largest component are compared with all members, by
+    their sketches and within the join: only pairs that may link leave it.
+    """
+    group, own = ["key", "band"], ["id", "size", "alone", "component", "sketch"]
+    rows = stage(members.join(about.select("id", "sketch"), "id").select(*group, *own), "open-lists")
+    parts = rows.groupBy(*group, "component").agg(F.count("*").alias("members"))
+    largest = parts.groupBy(*group).agg(F.max(F.struct("members", "component"))["component"].alias("main"))
+    outside = rows.join(largest, group).filter("component != main")
+    others = rows.select(*group, *[F.col(name).alias(f"{name}_other") for name in own])
+    # Two that are both outside meet twice; one of the two is enough.
+    once = (F.col("component_other") == F.col("main")) | (F.col("component") < F.col("component_other"))
+    may = _may_link(F.col("sketch"), F.col("sketch_other"), F.col("size"), F.col("size_other"))
+    return _ordered(outside.join(others, group).filter(once & _can_meet() & may))
+
+
 def _can_meet() -> Column:
     """Necessary for a pair of a list: the shared shingles, of which the `alone` ones are none, can
     be enough. Sets in the list of a frequent shingle have all their rare ones in the head, so
