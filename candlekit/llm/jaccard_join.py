@@ -300,12 +300,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     null) has none and links with nothing, not even its like. component_id is the smallest
     doc_id that can be reached by links, its own included. class_id is the smallest
     doc_id with the same set. Repeated rows give the same result each. A row without
-    doc_id belongs to its class but names none: its ids are null if no row with a
-    doc_id has its set. Rows that share a doc_id but not the set are told apart: each has
+    doc_id links like the others but names none: class_id is null if no row with a
+    doc_id has its set, component_id if none with a doc_id can be reached. Rows that share a doc_id but not the set are told apart: each has
     the links of its own text. Other columns are not read. An empty table gives an empty result.
     """
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
-    return linked_sets(docs, words).select(
+    return linked_sets(docs, words, nameless=True).select(
         "doc_id", "n_shingles", *[F.coalesce(own, name).alias(name) for name in ("component_id", "class_id")]
     )
 

@@ -32,8 +32,9 @@ CELLS_PER_GRAM = 16
 #: allows for three times that, so that a language with fewer texts is used whole.
 TEXTS_ERROR = 0.02
 UNKNOWN = "und"
-#: Largest filter that is sent to the executors.
-MODEL_BYTES = 256 << 20
+#: Largest filter that is sent to the executors; with many languages it has fewer cells, so each
+#: language has more false positives, which the scores allow for.
+MODEL_BYTES = 64 << 20
 
 
 def grams(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -86,12 +87,13 @@ class LanguageModel:
         """Number of n-grams of each text, and its corrected share per language."""
         row, codes = grams(chunk)
         total = np.bincount(row, minlength=chunk.rows)
-        found = None
-        for cell in self.cells(codes):
-            found = self.masks[cell] if found is None else found & self.masks[cell]
         shares = np.zeros((chunk.rows, len(self.languages)))
+        cells = list(self.cells(codes))
         for i in range(len(self.languages)):
-            bit = (found[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+            if i % 64 == 0:
+                # One word of the masks at a time, however many languages there are.
+                found = np.bitwise_and.reduce([self.masks[cell, i // 64] for cell in cells])
+            bit = (found >> np.uint64(i % 64)) & np.uint64(1)
             hits = np.bincount(row, weights=bit, minlength=chunk.rows)
             by_chance = self.fill[i] * total
             shares[:, i] = (hits - by_chance) / np.maximum(total - by_chance, 1e-9)
@@ -130,9 +132,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, profile: int = PROFIL
     if not languages:
         return LanguageModel([], [], np.zeros((1, 1), np.uint64), np.zeros(0))
     width = -(-len(languages) // 64)
-    cells = CELLS_PER_GRAM * profile * len(languages)
-    if cells * width * 8 > MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages need a smaller profile than {profile}")
+    cells = min(CELLS_PER_GRAM * profile * len(languages), MODEL_BYTES // (8 * width))
     # Texts are drawn by their hash, at a rate that gives about `sample_rows` different ones.
     least = {name: max(1, int(found * (1 - 3 * TEXTS_ERROR))) for name, _, found in sizes}
     limits = {name: min(1 << 30, (sample_rows << 30) // found) for name, found in least.items()}

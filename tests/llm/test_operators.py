@@ -4,6 +4,7 @@ extra columns with the names that the operators use inside."""
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import duckdb
@@ -309,6 +310,18 @@ def test_jaccard_tells_texts_of_one_doc_id_apart(spark):
     assert Counter(map(tuple, found)) == expected
 
 
+def test_jaccard_links_through_a_row_without_doc_id(spark):
+    """The row in the middle has no doc_id; the ends link with it only."""
+    base = phrase(35, 120)
+    near, far = edited(base, 1, 2), edited(edited(base, 1, 2), 2, 2)
+    sets = {i: shingles(text) for i, text in enumerate((base, near, far))}
+    assert set(jaccard_roots(sets).values()) == {0} and set(jaccard_roots({0: sets[0], 2: sets[2]}).values()) == {0, 2}
+    texts = [(5, base), (None, near), (7, far), (None, phrase(36, 60))]
+    rows = jaccard_components(spark.createDataFrame(texts, "doc_id BIGINT, text STRING")).collect()
+    found = Counter((row["doc_id"], row["component_id"], row["class_id"]) for row in rows)
+    assert found == Counter([(5, 5, 5), (None, 5, None), (7, 5, 7), (None, None, None)])
+
+
 def test_wide_sketches_fold_and_bound_the_difference():
     rng = np.random.default_rng(3)
     shared = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
@@ -401,6 +414,19 @@ def test_language_of_few_texts_with_many_copies(spark):
     assert len(found) == 60 and all(row["lang_pred"] == row["lang"] and row["score"] > 0.2 for row in found)
 
 
+def test_two_hundred_languages(spark, monkeypatch):
+    """More languages than bits in a word, also where the filter's bound leaves them few cells."""
+    rows = [(" ".join(f"{w}{i:03d}".translate(str.maketrans("0123456789", "ghijklmnop")) for w in phrase(70 + i, 30).split()), f"l{i:03d}") for i in range(200)]
+    docs = spark.createDataFrame([row for row in rows for _ in range(3)], "text STRING, lang STRING")
+    roomy = train(docs, profile=256)
+    monkeypatch.setattr("candlekit.llm.language_masks.MODEL_BYTES", 1 << 17)
+    tight = train(docs, profile=256)
+    assert roomy.masks.shape[1] == 4 and tight.masks.nbytes <= 1 << 17 < roomy.masks.nbytes
+    for model in (roomy, tight):
+        found = identify(docs.distinct(), model).collect()
+        assert len(found) == 200 and np.mean([row["lang"] == row["lang_pred"] for row in found]) > 0.95
+
+
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_sql(spark, name):
     connection = duckdb.connect()
@@ -473,6 +499,18 @@ def test_pipeline_drops_rows_one_by_one(spark):
     assert corpus_pipeline.one_of_each_group(spark, none, "").count() == without_contained(none, items).count() == 0
 
 
+def test_pipeline_keeps_columns_of_its_own_names(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    own = ["score", "LANG_pred", "size", "source_size", "target", "taken", "positions", "position"]
+    more = docs.withColumns({name: F.concat(F.lit(name), F.crc32(F.col("text").cast("binary"))) for name in own})
+    for name in ("language", "mixing"):
+        step = dict(corpus_pipeline.STAGES)[name]
+        result = step(spark, more, FOLDER)
+        assert result.columns == more.columns
+        rows = result.collect()
+        assert rows and all(row[name] == f"{name}{zlib.crc32(row['text'].encode())}" for row in rows for name in own if row["text"] is not None)
+
+
 def test_sha_of_the_kept_words(spark):
     row = queries.window_dedup(spark, FOLDER).filter("n_removed = 0").join(
         spark.read.parquet(f"{FOLDER}/documents.parquet"), "doc_id"
