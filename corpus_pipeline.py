@@ -24,11 +24,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents in one of the languages of the labelled documents.
 
     Rejected are texts that are null or have no letter, and texts long enough to judge in
-    which hardly any n-gram belongs to the predicted language.
+    which hardly any n-gram belongs to the predicted language. Columns with the names of the
+    judgement come back as they were.
     """
+    names, docs = _set_aside(docs, "lang_pred", "score")
     judged = identify(docs, train(docs.select("text", "lang")))
     doubtful = (F.length("text") >= JUDGED_CHARS) & (F.col("score") < LEAST_SCORE)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & ~doubtful).select(*_names(docs))
+    return judged.filter((F.col("lang_pred") != UNKNOWN) & ~doubtful).select(*names)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +57,11 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, once per pass over them, in training order.
 
-    The document at which a source meets its target is returned whole.
+    The document at which a source meets its target is returned whole. Columns with the
+    names of the mix's figures come back as they were.
     """
-    return training_order(mix_sources(docs)).select(*_names(docs))
+    names, docs = _set_aside(docs, "size", "source_size", "target", "taken", "positions", "position")
+    return training_order(mix_sources(docs)).select(*names)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +69,10 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return shard_rows(docs, SHARDS)
 
 
-def _names(docs: DataFrame) -> list:
-    return [F.col(f"`{name}`") for name in docs.columns]
+def _set_aside(docs: DataFrame, *used: str) -> tuple[list, DataFrame]:
+    """The columns that undo the second value: `docs` with other names for its columns named as in `used`."""
+    free = {name: "_" * max(map(len, docs.columns)) + name for name in docs.columns if name.lower() in used}
+    return [F.col(f"`{free.get(name, name)}`").alias(name) for name in docs.columns], docs.withColumnsRenamed(free)
 
 
 STAGES = [
