@@ -4,7 +4,8 @@ Relation k holds the occurrences of phrases of k words, sorted by position withi
 of text. Positions run on within a piece and leave a gap between pieces, so "the next word
 of the same piece" is the next position. From one length to the next:
 
-1. occurrences are counted per block, and these counts per phrase over all blocks;
+1. occurrences are counted per block, and these counts per phrase over all blocks: phrases are dealt to
+   buckets, packed, as most of what is shuffled are phrases that turn out to be rare;
 2. blocks keep the occurrences of frequent phrases only (semi-join);
 3. two kept occurrences at adjacent positions join to one of the next length.
 
@@ -14,6 +15,7 @@ A phrase is known by two numbers, its first and last k - 1 words, and gets as it
 place of its first count row. So counts and joins are exact; no hashes are involved.
 """
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,11 +46,14 @@ _GAP = -1
 
 #: Phrases of a block are counted in rows of so many, so that no row gets large.
 ROW_PHRASES = 1 << 15
+#: So many count rows of a task are dealt to the buckets at once, and a bucket gets about so many in all.
+DEAL_PHRASES = 1 << 20
+BUCKET_PHRASES = 1 << 18
 
-# A block has one row with ids, its occurrences by position, and rows with the counts of its phrases from number
+# A block has one row with ids, its occurrences by position (packed), and rows with the counts of its phrases from number
 # `base` on. Occurrences from `starts` on belong to the next block.
-_BLOCK = "block long, lang string, ids array<int>, starts int, base int, words array<string>, counts array<long>"
-_RELATION = "block long, ids array<int>, starts int, base int, firsts array<long>, lasts array<long>, counts array<long>"
+_BLOCK = "block long, lang string, ids binary, starts int, base int, words array<string>, counts array<long>"
+_RELATION = "block long, ids binary, starts int, base int, firsts array<long>, lasts array<long>, counts array<long>"
 
 
 def _tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -101,7 +106,7 @@ class _Block:
 _ARROW = {
     "block": pa.int64(),
     "lang": pa.string(),
-    "ids": pa.list_(pa.int32()),
+    "ids": pa.binary(),
     "starts": pa.int32(),
     "base": pa.int32(),
     "words": pa.list_(pa.string()),
@@ -111,6 +116,25 @@ _ARROW = {
 }
 
 
+def _squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
+def _packed(columns: list[np.ndarray]) -> bytes:
+    """Columns of numbers of one type, compressed with the bytes of equal weight side by side."""
+    stacked = np.stack(columns)
+    return _squeezed(stacked.view(np.uint8).reshape(len(columns), -1, stacked.itemsize).transpose(0, 2, 1).tobytes())
+
+
+def _unpacked(data: bytes, columns: int, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(_unsqueezed(data), np.uint8).reshape(columns, np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(kind).reshape(columns, -1)
+
+
 def _schema(ddl: str) -> pa.Schema:
     return pa.schema([(field.split()[0], _ARROW[field.split()[0]]) for field in ddl.split(", ")])
 
@@ -118,7 +142,7 @@ def _schema(ddl: str) -> pa.Schema:
 def _rows(schema: pa.Schema, same: dict, ids: np.ndarray, starts: int, phrases: dict) -> Iterator[pa.RecordBatch]:
     """The rows of one block; `same` are the values of columns that are the same in all of them."""
     last = len(phrases["counts"])
-    parts = [{**same, "ids": ids, "starts": starts}]
+    parts = [{**same, "ids": _packed([ids - _GAP]), "starts": starts}]
     for base in range(0, last, ROW_PHRASES):
         parts.append({**same, "base": base, **{name: x[base : base + ROW_PHRASES] for name, x in phrases.items()}})
     for part in parts:
@@ -180,7 +204,7 @@ def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     schema = _schema(_RELATION)
     if not relation.num_rows or not frequent.num_rows:
         return schema.empty_table()
-    ids = _numbers(relation, "ids")
+    ids = _unpacked(relation.column("ids")[0].as_py(), 1, np.int32)[0] + np.int32(_GAP)
     starts = int(_numbers(relation, "starts")[0])
     local, phrase = _numbers(frequent, "place") & ((1 << LOCAL_BITS) - 1), _numbers(frequent, "phrase")
     # The last entry stands for the gaps.
@@ -202,22 +226,105 @@ def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     return pa.Table.from_batches(list(_rows(schema, same, joined, starts, found)), schema)
 
 
-def _frequent(relation: DataFrame, key: list[str], arrays: dict[str, str], least: int) -> DataFrame:
+def _bucket_of(numbers: np.ndarray, buckets: int) -> np.ndarray:
+    """Where phrases are counted; numbers that are alike are spread."""
+    mixed = numbers.astype(np.uint64)
+    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9):
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(factor)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _dealt(arrays: list[str], buckets: int):
+    """A function that deals the counted phrases of blocks to buckets: one row per bucket for DEAL_PHRASES of them."""
+    single = arrays == ["words"]
+    schema = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("numbers", pa.binary()), ("words", pa.binary())])
+
+    def rows(lang: str | None, parts: list) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(column) for column in zip(*parts)]
+        names = columns.pop() if single else None
+        if single:
+            bucket = _bucket_of(np.fromiter((zlib.crc32(x) for x in names), np.uint32, len(names)), buckets)
+        else:
+            firsts, lasts = columns[2:]
+            bucket = _bucket_of(_bucket_of(firsts, 1 << 32) << 31 ^ lasts, buckets)
+        order = np.argsort(bucket, kind="stable")
+        found, at = np.unique(bucket[order], return_index=True)
+        packed = []
+        for picked in np.split(order, at[1:]):
+            # Places ascend, so they are near each other.
+            numbers = [np.diff(columns[0][picked], prepend=0), *[column[picked] for column in columns[1:]]]
+            packed.append((_packed(numbers), _squeezed(b"\n".join(names[picked])) if single else None))
+        values = [found, [lang] * len(found), *zip(*packed)]
+        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(values, schema)], schema=schema)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held, lang = [], 0, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                now = row["lang"].as_py() if single else None
+                if parts and (held >= DEAL_PHRASES or now != lang):
+                    yield from rows(lang, parts)
+                    parts, held = [], 0
+                lang = now
+                counts = row["counts"].values.to_numpy()
+                places = (row["block"].as_py() << LOCAL_BITS) + row["base"].as_py() + np.arange(len(counts))
+                if single:
+                    others = [np.array([x.encode() for x in row["words"].values.to_pylist()], object)]
+                else:
+                    others = [row[name].values.to_numpy() for name in arrays]
+                parts.append((places, counts, *others))
+                held += len(counts)
+        if parts:
+            yield from rows(lang, parts)
+
+    return deal
+
+
+def _counted(key: list[str], least: int):
+    """A function that counts the phrases of one bucket over all blocks, exactly."""
+    single = key == ["lang", "word"]
+
+    def count(bucket: pa.Table) -> pa.Table:
+        parts = [_unpacked(data, 2 if single else 4) for data in bucket.column("numbers").to_pylist()]
+        places = np.concatenate([np.cumsum(part[0]) for part in parts])
+        counts = np.concatenate([part[1] for part in parts])
+        if single:
+            words = [_unsqueezed(data).split(b"\n") for data in bucket.column("words").to_pylist()]
+            langs = np.repeat(np.array(bucket.column("lang").to_pylist(), object), [len(part) for part in words])
+            values = [pa.array(langs, pa.string()), pa.array([x.decode() for part in words for x in part], pa.string())]
+            codes = [column.dictionary_encode().indices.to_numpy() for column in values]
+        else:
+            codes = values = [np.concatenate([part[i] for part in parts]) for i in (2, 3)]
+        order = np.lexsort(codes)
+        first, second = (code[order] for code in codes)
+        starts = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
+        sizes = np.diff(np.r_[starts, len(order)])
+        f = np.repeat(np.add.reduceat(counts[order], starts), sizes)
+        phrase = np.repeat(np.minimum.reduceat(places[order], starts), sizes)
+        kept = f >= least
+        rows = order[kept]
+        found = {"place": places[rows], "phrase": phrase[kept], "f": f[kept]}
+        for name, value in zip(key, values):
+            found[name] = value.take(pa.array(rows)) if single else value[rows]
+        return pa.table(found)
+
+    return count
+
+
+def _frequent(relation: DataFrame, key: list[str], arrays: list[str], least: int) -> DataFrame:
     """The count rows of phrases that occur at least `least` times: place (the block and the
-    phrase's number in it), phrase (its number everywhere), f, and the key."""
-    zipped = F.arrays_zip(*[F.col(name).alias(alias) for name, alias in arrays.items()], F.col("counts").alias("count"))
-    others = [name for name in key if name not in arrays.values()]
-    counted = relation.filter("base is not null").select("block", "base", *others, F.posexplode(zipped).alias("local", "row"))
-    rows = counted.select(
-        (F.col("block") * (1 << LOCAL_BITS) + F.col("base") + F.col("local")).alias("place"),
-        *others,
-        *[f"row.{alias}" for alias in arrays.values()],
-        "row.count",
+    phrase's number in it), phrase (its number everywhere), f, and the key.
+
+    Phrases meet in buckets, whose number follows that of all count rows. A phrase has at most one
+    row per block, so no bucket is much larger than the others."""
+    counted = relation.filter("base is not null").select("block", "base", "counts", *arrays, *[c for c in key if c == "lang"])
+    total = counted.agg(F.sum(F.size("counts"))).first()[0] or 0
+    types = "lang string, word string" if "lang" in key else "first long, last long"
+    dealt = counted.mapInArrow(
+        _dealt(arrays, total // BUCKET_PHRASES + 1), "bucket long, lang string, numbers binary, words binary"
     )
-    # At most one row per block.
-    same = Window.partitionBy(*key)
-    rows = rows.withColumns({"f": F.sum("count").over(same), "phrase": F.min("place").over(same)})
-    return rows.filter(F.col("f") >= least).drop("count")
+    return dealt.groupBy("bucket").applyInArrow(_counted(key, least), f"place long, phrase long, f long, {types}")
 
 
 def _distinct(rows: DataFrame, *columns: str) -> DataFrame:
@@ -239,7 +346,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
     words = relation.filter("base is not null").select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
 
-    key, arrays, found = ["lang", "word"], {"words": "word"}, []
+    key, arrays, found = ["lang", "word"], ["words"], []
     for length in range(1, LONGEST + 1):
         rows = stage(_frequent(relation, key, arrays, least), f"setm-frequent-{length}")
         found.append(_distinct(rows, *key))
@@ -249,7 +356,7 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
         block = F.shiftright("place", LOCAL_BITS).alias("block")
         frequent = rows.select(block, "place", "phrase").groupBy("block")
         relation = stage(occurrences.cogroup(frequent).applyInArrow(_longer, _RELATION), f"setm-relation-{length + 1}")
-        key, arrays = ["first", "last"], {"firsts": "first", "lasts": "last"}
+        key, arrays = ["first", "last"], ["firsts", "lasts"]
 
 
 def _described(phrases: list[DataFrame]) -> list[DataFrame]:

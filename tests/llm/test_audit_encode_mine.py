@@ -8,6 +8,9 @@ from collections import Counter
 from fractions import Fraction
 from itertools import permutations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -309,6 +312,39 @@ def test_blocks_and_slices_do_not_change_collocations(texts):
         assert collected(_with_limits(texts, block, piece)) == expected
 
 
+def test_buckets_do_not_change_collocations(texts, monkeypatch):
+    monkeypatch.setattr(C, "BUCKET_PHRASES", 7)
+    assert collected(C.mine_collocations(texts, 6, 2000)) == mined(collocation_rows(), 6, 2000)
+
+
+def test_numbers_and_phrases_are_packed_and_dealt_whole(monkeypatch):
+    generator = np.random.default_rng(3)
+    columns = [generator.integers(-(2**62), 2**62, 50), np.arange(50), np.zeros(50, np.int64)]
+    assert np.array_equal(C._unpacked(C._packed(columns), 3), np.stack(columns))
+    small = np.array([0, 1, 2**31 - 1], np.int32)
+    assert np.array_equal(C._unpacked(C._packed([small]), 1, np.int32)[0], small)
+    monkeypatch.setattr(C, "DEAL_PHRASES", 5)
+    firsts = generator.integers(0, 9, 64)
+    lists = {"firsts": firsts.reshape(8, 8), "lasts": firsts.reshape(8, 8) + 1}
+    lists["counts"] = np.full((8, 8), 2)
+    batch = pa.RecordBatch.from_pydict(
+        {"block": list(range(8)), "base": pa.array([0] * 8, pa.int32()), **{k: [list(x) for x in v] for k, v in lists.items()}}
+    )
+    dealt = pa.Table.from_batches(list(C._dealt(["firsts", "lasts"], 3)([batch])))
+    found = {}
+    for bucket in set(dealt.column("bucket").to_pylist()):
+        rows = C._counted(["first", "last"], 2)(dealt.filter(pc.equal(dealt.column("bucket"), bucket))).to_pylist()
+        for row in rows:
+            assert row["last"] == row["first"] + 1
+            found.setdefault(row["first"], []).append(row)
+    for first, rows in found.items():
+        at = np.flatnonzero(firsts == first)
+        places = sorted((int(i) // 8 << C.LOCAL_BITS) + int(i) % 8 for i in at)
+        assert sorted(row["place"] for row in rows) == places
+        assert {(row["f"], row["phrase"]) for row in rows} == {(2 * len(at), places[0])}
+    assert set(found) == set(firsts.tolist())
+
+
 def _with_limits(docs, block, piece):
     """The operator with other sizes of blocks and slices, which the tasks read from the module."""
     original = C._block_rows
