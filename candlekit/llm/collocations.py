@@ -192,12 +192,6 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from finished(name, last)
 
 
-def _numbers(table: pa.Table, name: str) -> np.ndarray:
-    """All numbers of a column, of its arrays if it has arrays."""
-    column = table.column(name).combine_chunks()
-    return (column.flatten() if pa.types.is_list(column.type) else column).to_numpy(zero_copy_only=False)
-
-
 def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     """The relation of the next length of one block: occurrences of frequent phrases, each joined
     to the one at the next position."""
@@ -205,8 +199,9 @@ def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     if not relation.num_rows or not frequent.num_rows:
         return schema.empty_table()
     ids = _unpacked(relation.column("ids")[0].as_py(), 1, np.int32)[0] + np.int32(_GAP)
-    starts = int(_numbers(relation, "starts")[0])
-    local, phrase = _numbers(frequent, "place") & ((1 << LOCAL_BITS) - 1), _numbers(frequent, "phrase")
+    starts = relation.column("starts")[0].as_py()
+    lists = [_unpacked(data, 2) for data in frequent.column("found").to_pylist()]
+    local, phrase = np.concatenate([np.cumsum(part[0]) for part in lists]), np.concatenate([part[1] for part in lists])
     # The last entry stands for the gaps.
     phrases = np.full(max(int(local.max()), int(ids.max())) + 2, -1, np.int64)
     phrases[local] = phrase
@@ -222,7 +217,7 @@ def _longer(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         "lasts": phrases[pairs & ((1 << LOCAL_BITS) - 1)],
         "counts": np.bincount(numbers[at < starts], minlength=len(pairs)),
     }
-    same = {"block": int(_numbers(relation, "block")[0])}
+    same = {"block": relation.column("block")[0].as_py()}
     return pa.Table.from_batches(list(_rows(schema, same, joined, starts, found)), schema)
 
 
@@ -282,7 +277,8 @@ def _dealt(arrays: list[str], buckets: int):
 
 
 def _counted(key: list[str], least: int):
-    """A function that counts the phrases of one bucket over all blocks, exactly."""
+    """A function that counts the phrases of one bucket over all blocks, exactly. It returns a row for each frequent
+    phrase, and a row for each block that has some."""
     single = key == ["lang", "word"]
 
     def count(bucket: pa.Table) -> pa.Table:
@@ -303,18 +299,29 @@ def _counted(key: list[str], least: int):
         f = np.repeat(np.add.reduceat(counts[order], starts), sizes)
         phrase = np.repeat(np.minimum.reduceat(places[order], starts), sizes)
         kept = f >= least
-        rows = order[kept]
-        found = {"place": places[rows], "phrase": phrase[kept], "f": f[kept]}
+        rows, phrase, f = order[kept], phrase[kept], f[kept]
+        own = places[rows] == phrase
+        found = {"phrase": phrase[own], "f": f[own]}
         for name, value in zip(key, values):
-            found[name] = value.take(pa.array(rows)) if single else value[rows]
-        return pa.table(found)
+            found[name] = value.take(pa.array(rows[own])) if single else value[rows[own]]
+
+        by_place = np.argsort(places[rows])
+        place, phrase = places[rows][by_place], phrase[by_place]
+        blocks, at = np.unique(place >> LOCAL_BITS, return_index=True)
+        local = place & ((1 << LOCAL_BITS) - 1)
+        packed = [
+            _packed([np.diff(part, prepend=0), numbers]) for part, numbers in zip(np.split(local, at[1:]), np.split(phrase, at[1:]))
+        ]
+        lists = pa.table({"block": blocks, "found": pa.array(packed[: len(blocks)], pa.binary())})
+        return pa.concat_tables([pa.table(found), lists], promote_options="default")
 
     return count
 
 
 def _frequent(relation: DataFrame, key: list[str], arrays: list[str], least: int) -> DataFrame:
-    """The count rows of phrases that occur at least `least` times: place (the block and the
-    phrase's number in it), phrase (its number everywhere), f, and the key.
+    """The phrases that occur at least `least` times: rows with phrase (its number everywhere: the place
+    of its first count row, that is block and number there), f and the key; and rows with a block and the packed
+    numbers that such phrases have in it and everywhere.
 
     Phrases meet in buckets, whose number follows that of all count rows. A phrase has at most one
     row per block, so no bucket is much larger than the others."""
@@ -324,12 +331,7 @@ def _frequent(relation: DataFrame, key: list[str], arrays: list[str], least: int
     dealt = counted.mapInArrow(
         _dealt(arrays, total // BUCKET_PHRASES + 1), "bucket long, lang string, numbers binary, words binary"
     )
-    return dealt.groupBy("bucket").applyInArrow(_counted(key, least), f"place long, phrase long, f long, {types}")
-
-
-def _distinct(rows: DataFrame, *columns: str) -> DataFrame:
-    """One row per phrase: its first count row."""
-    return rows.filter(F.col("phrase") == F.col("place")).select("phrase", "f", *columns)
+    return dealt.groupBy("bucket").applyInArrow(_counted(key, least), f"phrase long, f long, {types}, block long, found binary")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[DataFrame]]:
@@ -349,12 +351,11 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
     key, arrays, found = ["lang", "word"], ["words"], []
     for length in range(1, LONGEST + 1):
         rows = stage(_frequent(relation, key, arrays, least), f"setm-frequent-{length}")
-        found.append(_distinct(rows, *key))
+        found.append(rows.filter("phrase is not null").select("phrase", "f", *key))
         if length == LONGEST:
             return totals, found
         occurrences = relation.filter("ids is not null").select("block", "ids", "starts").groupBy("block")
-        block = F.shiftright("place", LOCAL_BITS).alias("block")
-        frequent = rows.select(block, "place", "phrase").groupBy("block")
+        frequent = rows.filter("block is not null").select("block", "found").groupBy("block")
         relation = stage(occurrences.cogroup(frequent).applyInArrow(_longer, _RELATION), f"setm-relation-{length + 1}")
         key, arrays = ["first", "last"], ["firsts", "lasts"]
 

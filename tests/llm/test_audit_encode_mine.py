@@ -331,18 +331,22 @@ def test_numbers_and_phrases_are_packed_and_dealt_whole(monkeypatch):
         {"block": list(range(8)), "base": pa.array([0] * 8, pa.int32()), **{k: [list(x) for x in v] for k, v in lists.items()}}
     )
     dealt = pa.Table.from_batches(list(C._dealt(["firsts", "lasts"], 3)([batch])))
-    found = {}
+    found, places = {}, {}
     for bucket in set(dealt.column("bucket").to_pylist()):
         rows = C._counted(["first", "last"], 2)(dealt.filter(pc.equal(dealt.column("bucket"), bucket))).to_pylist()
         for row in rows:
-            assert row["last"] == row["first"] + 1
-            found.setdefault(row["first"], []).append(row)
-    for first, rows in found.items():
+            if row["phrase"] is None:
+                local, phrases = C._unpacked(row["found"], 2)
+                for number, phrase in zip(np.cumsum(local), phrases):
+                    places.setdefault(int(phrase), []).append((row["block"] << C.LOCAL_BITS) + int(number))
+            else:
+                assert row["block"] is None and row["last"] == row["first"] + 1 and row["first"] not in found
+                found[row["first"]] = row["phrase"], row["f"]
+    assert set(found) == set(firsts.tolist()) and len(places) == len(found)
+    for first, (phrase, f) in found.items():
         at = np.flatnonzero(firsts == first)
-        places = sorted((int(i) // 8 << C.LOCAL_BITS) + int(i) % 8 for i in at)
-        assert sorted(row["place"] for row in rows) == places
-        assert {(row["f"], row["phrase"]) for row in rows} == {(2 * len(at), places[0])}
-    assert set(found) == set(firsts.tolist())
+        assert sorted(places[phrase]) == [(int(i) // 8 << C.LOCAL_BITS) + int(i) % 8 for i in at]
+        assert (f, phrase) == (2 * len(at), min(places[phrase]))
 
 
 def _with_limits(docs, block, piece):
