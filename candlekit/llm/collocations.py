@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlekit.session import stage
+from candlekit.session import discard, stage, stage_at, staging_path
 
 #: Text that the open blocks of a task hold; a longer text goes on in the next block. The larger
 #: a block, the fewer count rows does a phrase have.
@@ -344,19 +344,25 @@ def frequent_phrases(docs: DataFrame, least: int = 30) -> tuple[DataFrame, list[
     absent from n. Other columns are not read. An empty table gives empty results.
     """
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    relation = stage(texts.mapInArrow(_block_rows, _BLOCK), "setm-words")
+    spark = docs.sparkSession
+    path = staging_path(spark, "setm-words")
+    relation = stage_at(texts.mapInArrow(_block_rows, _BLOCK), path)
     words = relation.filter("base is not null").select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "setm-totals")
 
     key, arrays, found = ["lang", "word"], ["words"], []
     for length in range(1, LONGEST + 1):
         rows = stage(_frequent(relation, key, arrays, least), f"setm-frequent-{length}")
         found.append(rows.filter("phrase is not null").select("phrase", "f", *key))
         if length == LONGEST:
+            discard(spark, path)
             return totals, found
         occurrences = relation.filter("ids is not null").select("block", "ids", "starts").groupBy("block")
         frequent = rows.filter("block is not null").select("block", "found").groupBy("block")
-        relation = stage(occurrences.cogroup(frequent).applyInArrow(_longer, _RELATION), f"setm-relation-{length + 1}")
+        read, path = path, staging_path(spark, f"setm-relation-{length + 1}")
+        relation = stage_at(occurrences.cogroup(frequent).applyInArrow(_longer, _RELATION), path)
+        # A relation is deleted once the next one is complete.
+        discard(spark, read)
         key, arrays = ["first", "last"], ["firsts", "lasts"]
 
 

@@ -2,6 +2,7 @@
 small tables with nulls, repeats, ties, long texts, no rows and columns of clashing names."""
 
 import hashlib
+import pathlib
 import random
 import re
 from collections import Counter
@@ -19,6 +20,7 @@ from candlekit.llm import collocations as C
 from candlekit.llm import filter_audit as A
 from candlekit.llm import piece_encoding as P
 from candlekit.llm import queries
+from candlekit.session import staging_path
 
 MODEL = f"{queries.TOKENIZERS}/{queries.PIECE_MODEL}"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -312,6 +314,14 @@ def test_blocks_and_slices_do_not_change_collocations(texts):
         assert collected(_with_limits(texts, block, piece)) == expected
 
 
+def test_relations_are_deleted(spark, texts):
+    folder = pathlib.Path(staging_path(spark, "x").removeprefix("file:")).parent
+    before = set(folder.glob("setm-*"))
+    C.mine_collocations(texts, 6, 5)
+    left = {path.name[:9] for path in set(folder.glob("setm-*")) - before}
+    assert left == {"setm-tota", "setm-freq", "setm-desc"}
+
+
 def test_buckets_do_not_change_collocations(texts, monkeypatch):
     monkeypatch.setattr(C, "BUCKET_PHRASES", 7)
     assert collected(C.mine_collocations(texts, 6, 2000)) == mined(collocation_rows(), 6, 2000)
