@@ -12,11 +12,11 @@ A bucket holds the text segments around its anchors. Blocks of at most
    sample. Their suffixes are ranked by the first PERIOD bytes, then by doubling the
    depth until it exceeds LENGTH; sample positions stay sample positions when PERIOD is
    added, so only the sample needs ranks.
-2. The suffixes to be sorted are ordered by their first PERIOD bytes.
+2. The suffixes to be sorted are grouped by their first PERIOD bytes.
 3. Ties go on by the ranks: for any two suffixes the cover has a shift below PERIOD that
    takes both to sample positions, whose ranks decide. That needs no byte of the
    strings, however long the tie.
-4. Neighbours in that order with LENGTH bytes in common are repeated.
+4. Those of a group with LENGTH bytes in common are repeated.
 
 Memory is bounded by the block: ranks for the sample, a fraction of the positions.
 A bucket of one anchor that is larger than a block would not fit; its strings go on
@@ -71,39 +71,92 @@ def _shifts() -> np.ndarray:
 
 
 SHIFTS = _shifts()
+#: Odd factors, one for each eight bytes of PERIOD.
+MARKS = [np.uint64(pow(WORD_BASE, i, 1 << 64)) for i in range(1, PERIOD // 8 + 1)]
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by two numbers, below or equal to the number of rows, and where new pairs begin in it."""
+    size = len(first)
+    bits = np.uint64(size.bit_length())
+    held = (first.astype(np.uint64) << bits) | second.astype(np.uint64)
+    if 3 * int(bits) <= 64:
+        # The position fits beside the pair: plain numbers sort faster than positions.
+        held = np.sort((held << bits) | np.arange(size, dtype=np.uint64))
+        order, held = (held & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), held >> bits
+    else:
+        order = np.argsort(held)
+        held = held[order]
+    return order, _begins(held)
 
 
-def _ranked(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order by the keys, the first one counting most, and dense ranks."""
-    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
-    new = np.zeros(len(order), bool)
-    for key in keys:
-        held = key[order]
-        new[1:] |= held[1:] != held[:-1]
+def _begins(held: np.ndarray) -> np.ndarray:
+    new = np.ones(len(held), bool)
+    new[1:] = held[1:] != held[:-1]
+    return new
+
+
+def _ranks(order: np.ndarray, new: np.ndarray) -> np.ndarray:
     rank = np.empty(len(order), np.int64)
-    rank[order] = np.cumsum(new)
-    return order, rank
+    rank[order] = np.cumsum(new) - 1
+    return rank
+
+
+def _ranked(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Order by the keys, the first one counting most, and where new values begin in it. A key is
+    looked at for rows only that are equal in those before."""
+    order = np.argsort(keys[0])
+    new = _begins(keys[0][order])
+    for key in keys[1:]:
+        tied = np.flatnonzero(~new | ~np.append(new[1:], True))
+        rows = order[tied]
+        values = key[rows]
+        by_value = np.argsort(values)
+        arranged, begins = _pairs(np.cumsum(new[tied]) - 1, _ranks(by_value, _begins(values[by_value])))
+        order[tied] = rows[arranged]
+        new[tied] = begins
+    return order, new
 
 
 def _eights(text: np.ndarray) -> np.ndarray:
     """The eight bytes from every position as a number that sorts like them."""
-    size = len(text) - 7
-    out = np.zeros(size, np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | text[i : i + size]
+    out = text
+    for kind, width in ((np.uint16, 1), (np.uint32, 2), (np.uint64, 4)):
+        out = (out[:-width].astype(kind) << kind(8 * width)) | out[width:]
     return out
 
 
+def _classes(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Positions with equal keys side by side, in no special order otherwise, and where each class
+    begins there. One sort, of a sum over the keys; where two classes have the same sum, the
+    keys are sorted."""
+    mark = sum(key * odd for key, odd in zip(keys, MARKS))
+    order = np.argsort(mark)
+    new = _begins(mark[order])
+    for key in keys:
+        held = key[order]
+        if np.any((held[1:] != held[:-1]) & ~new[1:]):
+            return _ranked(keys)
+    return order, new
+
+
+def _prefix_ranks(keys: list[np.ndarray]) -> np.ndarray:
+    """Dense ranks by the keys; of equal rows one is sorted."""
+    order, new = _classes(keys)
+    one = order[new]
+    return _ranks(*_ranked([key[one] for key in keys]))[_ranks(order, new)]
+
+
 def sample_ranks(eights: np.ndarray, size: int) -> np.ndarray:
     """Rank, for every cover position below `size`, of its suffix to a depth above LENGTH."""
     at = np.flatnonzero(_IN_COVER[np.arange(size) % PERIOD])
-    _, rank = _ranked([eights[at + i] for i in range(0, PERIOD, 8)])
+    rank = _prefix_ranks([eights[at + i] for i in range(0, PERIOD, 8)])
     ranks = np.full(size + PERIOD, -1, np.int64)
     depth = PERIOD
     while depth < LENGTH + PERIOD and len(at) and rank.max() + 1 < len(at):
         ranks[at] = rank
         beyond = ranks[np.minimum(at + depth, size + PERIOD - 1)]
-        _, rank = _ranked([(rank.astype(np.uint64) << np.uint64(32)) | (beyond + 1).astype(np.uint64)])
+        rank = _ranks(*_pairs(rank, beyond + 1))
         depth *= 2
     ranks[at] = rank
     return ranks
@@ -118,9 +171,8 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     ranks = sample_ranks(eights, size)
     repeated = np.zeros(len(starts), bool)
 
-    order, group = _ranked([eights[starts + i] for i in range(0, PERIOD, 8)])
-    group = group[order]
-    items = order
+    items, new = _classes([eights[starts + i] for i in range(0, PERIOD, 8)])
+    group = np.cumsum(new) - 1
     # Three-way partitioning of all tied groups at once, around a pivot per group.
     while True:
         first = np.ones(len(items), bool)
@@ -139,10 +191,11 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
         own, other = starts[items], starts[pivot]
         shift = SHIFTS[own % PERIOD, other % PERIOD]
         side = np.sign(ranks[own + shift] - ranks[other + shift])
-        # Equal to the pivot in LENGTH bytes: by rank, or by the bytes themselves.
+        # Equal to the pivot in LENGTH bytes: by rank, or by the bytes themselves, of which a group
+        # has the first PERIOD in common.
         equal = side == 0
         unsure = np.flatnonzero(~equal)
-        for i in range(0, LENGTH, 8):
+        for i in reversed(range(PERIOD, LENGTH, 8)):
             unsure = unsure[eights[own[unsure] + i] == eights[other[unsure] + i]]
         equal[unsure] = True
         several = equal & (items != pivot)
@@ -151,9 +204,9 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
         # What equals the pivot is settled; the rest goes on on its side.
         rest = ~equal
         items, key = items[rest], group[rest] * 2 + (side[rest] > 0)
-        arranged = np.argsort(key, kind="stable")
+        arranged = np.argsort(key)
         items, group = items[arranged], key[arranged]
-        _, group = np.unique(group, return_inverse=True)
+        group = np.cumsum(np.append(False, group[1:] != group[:-1])[: len(group)])
     return repeated
 
 

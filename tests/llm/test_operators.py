@@ -388,6 +388,37 @@ def test_sorted_block(seed):
     assert S.repeated_starts(text, starts).tolist() == [counts[x] > 1 for x in strings]
 
 
+def test_equal_rows_are_ranked_once(monkeypatch):
+    rng = np.random.default_rng(0)
+    distinct = [rng.integers(0, 4, 50).astype(np.uint64) for _ in range(4)]
+    keys = [np.tile(key, 20) for key in distinct]
+    ranked, sizes = S._ranked, []
+    monkeypatch.setattr(S, "_ranked", lambda keys: sizes.append(len(keys[0])) or ranked(keys))
+    rows = list(zip(*(key.tolist() for key in keys)))
+    places = {row: i for i, row in enumerate(sorted(set(rows)))}
+    assert S._prefix_ranks(keys).tolist() == [places[row] for row in rows]
+    assert sizes == [len(places)]
+
+
+def test_classes_with_the_same_sum():
+    zero = np.uint64(0)
+    # Two different rows, several times, with one sum.
+    rows = np.array([(S.MARKS[1], zero, zero, zero), (zero, S.MARKS[0], zero, zero)] * 3, np.uint64)
+    order, new = S._classes(list(rows.T))
+    assert new.tolist() == [True, False, False] * 2
+    assert [set(order[:3].tolist()), set(order[3:].tolist())] == [{1, 3, 5}, {0, 2, 4}]
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 1000, 1 << 21])
+def test_pairs(size):
+    rng = np.random.default_rng(size)
+    first, second = (rng.integers(0, size + 1, size) for _ in range(2))
+    order, new = S._pairs(first, second)
+    expected = np.lexsort([second, first])
+    assert (first[order] == first[expected]).all() and (second[order] == second[expected]).all()
+    assert new.sum() == len(np.unique(first * (size + 1) + second))
+
+
 def test_language(spark, docs, none):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
     part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
