@@ -286,7 +286,9 @@ def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    # Sets of earlier turns that no pair names are not shuffled.
+    of = [sets.join(pairs.select(F.col(x).alias("id")).distinct(), "id", "left_semi").toDF(x, f"set_{x}") for x in ("a", "b")]
+    both = pairs.join(of[0], "a").join(of[1], "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
     return both.filter(100 * common >= PERCENT * union).select("a", "b")
@@ -380,10 +382,12 @@ def _lists(sets: DataFrame) -> DataFrame:
     all come from the band below are left out, as that band's list has the same members. The
     pivot is the set with the fewest rare shingles: among edited copies of a text, the one
     closest to it.
-    The rows are shuffled once, by key.
+    The rows are shuffled once, by key; size and rare shingles go as one number.
     """
-    entries = sets.select("id", "size", "rare", F.explode("keys").alias("key"))
+    both = F.shiftleft("size", 32).bitwiseOR(F.col("rare")).alias("both")
+    entries = sets.select("id", both, F.explode("keys").alias("key"))
     entries = entries.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1")
+    entries = entries.withColumns({"size": F.shiftright("both", 32), "rare": F.col("both").bitwiseAND(F.lit((1 << 32) - 1))})
     band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9)
     banded = entries.select("key", "id", "rare", band.alias("own"), F.explode(F.array(band, band + 1)).alias("band"))
     one_list = Window.partitionBy("key", "band")
@@ -457,15 +461,19 @@ def _rest_of_lists(members: DataFrame, about: DataFrame) -> DataFrame:
     their sketches and within the join: only pairs that may link leave it.
     """
     group, own = ["key", "band"], ["id", "size", "alone", "component", "sketch"]
-    rows = stage(members.join(about.select("id", "sketch"), "id").select(*group, *own), "open-lists")
+    rows = stage(members.join(about.select("id", "sketch"), "id").select(*group, *own), "open-lists").filter("component is not null")
     parts = rows.groupBy(*group, "component").agg(F.count("*").alias("members"))
     largest = parts.groupBy(*group).agg(F.max(F.struct("members", "component"))["component"].alias("main"))
     outside = rows.join(largest, group).filter("component != main")
-    others = rows.select(*group, *[F.col(name).alias(f"{name}_other") for name in own])
+    # Both sides read the same columns, renamed after the join, so the rows are shuffled once.
+    same = [F.col(f"outside.{name}") == F.col(f"others.{name}") for name in group]
+    met = outside.alias("outside").join(rows.alias("others"), same).select(
+        "outside.key", "main", *[F.col(f"outside.{name}") for name in own], *[F.col(f"others.{name}").alias(f"{name}_other") for name in own]
+    )
     # Two that are both outside meet twice; one of the two is enough.
     once = (F.col("component_other") == F.col("main")) | (F.col("component") < F.col("component_other"))
     may = _may_link(F.col("sketch"), F.col("sketch_other"), F.col("size"), F.col("size_other"))
-    return _ordered(outside.join(others, group).filter(once & _can_meet() & may))
+    return _ordered(met.filter(once & _can_meet() & may))
 
 
 def _can_meet() -> Column:

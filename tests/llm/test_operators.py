@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlekit.llm import bloom_cascade as B
+from candlekit.llm import jaccard_join as J
 from candlekit.llm import merkle_fixity as M
 from candlekit.llm import queries
 from candlekit.llm import suffix_dedup as S
@@ -388,6 +389,22 @@ def test_sorted_block(seed):
     assert S.repeated_starts(text, starts).tolist() == [counts[x] > 1 for x in strings]
 
 
+def test_open_lists_are_shuffled_once(spark):
+    """Both sides of the last join of open lists read one exchange of their rows."""
+    rows = [(key, 1, i, 10, 0, i % 3) for key in (2, 3) for i in range(8)]
+    members = spark.createDataFrame(rows, "key BIGINT, band BIGINT, id BIGINT, size BIGINT, alone BIGINT, component BIGINT")
+    about = spark.createDataFrame([(i, [0] * J.SKETCH_WORDS) for i in range(8)], "id BIGINT, sketch ARRAY<BIGINT>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        pairs = J._rest_of_lists(members, about)
+        found = {tuple(row) for row in pairs.collect()}
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == {(a, b) for a in range(8) for b in range(a + 1, 8) if a % 3 != b % 3}
+    assert "ReusedExchange" in plan
+
+
 def test_equal_rows_are_ranked_once(monkeypatch):
     rng = np.random.default_rng(0)
     distinct = [rng.integers(0, 4, 50).astype(np.uint64) for _ in range(4)]
