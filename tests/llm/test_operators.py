@@ -478,7 +478,7 @@ def test_two_hundred_languages(spark, monkeypatch):
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "labels"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     result = queries.QUERIES[name](spark, FOLDER)
     cursor = connection.execute(queries.ORACLE_SQL[name])
