@@ -286,9 +286,12 @@ def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    # Sets of earlier turns that no pair names are not shuffled.
-    of = [sets.join(pairs.select(F.col(x).alias("id")).distinct(), "id", "left_semi").toDF(x, f"set_{x}") for x in ("a", "b")]
-    both = pairs.join(of[0], "a").join(of[1], "b")
+    # Sets of earlier turns that no pair names are not shuffled. Both sides read the same
+    # rows, renamed after the join, so those are shuffled once.
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    named = sets.join(ids, "id", "left_semi")
+    both = pairs.join(named.alias("of_a"), F.col("a") == F.col("of_a.id")).join(named.alias("of_b"), F.col("b") == F.col("of_b.id"))
+    both = both.select("a", "b", F.col("of_a.shingles").alias("set_a"), F.col("of_b.shingles").alias("set_b"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - common
     return both.filter(100 * common >= PERCENT * union).select("a", "b")
@@ -403,7 +406,6 @@ def _lists(sets: DataFrame) -> DataFrame:
 
 def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame, classes: DataFrame) -> DataFrame:
     """(id, component) of the representatives that have a link."""
-    spark = texts.sparkSession
     group = ["key", "band"]
     # Of a list of two, the pivot's pair is all.
     longer = lists.filter("members > 2").select(*group, "id").join(about.select("id", "size", "alone"), "id")
@@ -415,9 +417,9 @@ def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame
     smallest = longer.groupBy(*group).agg(F.min(F.when(strong, F.col("size"))).alias("smallest"))
     longer = longer.join(smallest, group).filter((F.col("key") % 2 == 0) | strong | (F.col("reach") >= F.col("smallest")))
     longer = stage(longer.select(*group, "id", "size", "alone"), "longer-lists")
-    links = spark.createDataFrame([], "a BIGINT, b BIGINT")
-    linked = spark.createDataFrame([], "id BIGINT, component BIGINT")
-    sets = spark.createDataFrame([], "id BIGINT, shingles ARRAY<BIGINT>")
+    # Known to be empty, so they leave the plans.
+    linked = classes.filter("false").select("id", F.col("id").alias("component"))
+    sets = classes.filter("false").select("id", F.array("id").alias("shingles"))
     turn = 0
     while True:
         last = turn == STAR_ROUNDS
@@ -442,8 +444,9 @@ def _link_lists(texts: DataFrame, words: int, lists: DataFrame, about: DataFrame
         sets = sets.unionByName(_missing_sets(texts, words, pairs, sets, classes))
         new = stage(_links(pairs, sets), "jaccard-links")
         if not new.isEmpty():
-            links = links.unionByName(new)
-            linked = stage(components(links), "jaccard-components")
+            # The components so far, a link per id, stand for the links they are made of.
+            known = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            linked = stage(components(known.unionByName(new)), "jaccard-components")
         if last:
             break
         turn += 1

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from candlekit.llm import bloom_cascade as B
+from candlekit.llm import components as C
 from candlekit.llm import jaccard_join as J
 from candlekit.llm import merkle_fixity as M
 from candlekit.llm import queries
@@ -27,6 +28,7 @@ from candlekit.llm.jaccard_join import _wide_sketches as wide_sketches
 from candlekit.llm.jaccard_join import jaccard_components, linked_sets, row_mark
 from candlekit.llm.language_masks import identify, train
 from candlekit.llm.window_dedup import without_repeated_windows
+from candlekit.session import stage
 
 FOLDER = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -245,6 +247,15 @@ def test_components(spark):
     assert found == {**{i: 0 for i in range(21)}, 50: 0, 30: 30, 31: 30}
 
 
+def test_links_that_are_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(C, "stage", lambda df, label: written.append(label) or stage(df, label))
+    links = [(i, 0) for i in range(1, 6)] + [(8, 7), (7, 8), (9, 9)]
+    found = dict(components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect())
+    assert found == {**{i: 0 for i in range(6)}, 7: 7, 8: 7}
+    assert written == ["links"]
+
+
 def jaccard_roots(sets):
     root = {doc: doc for doc in sets}
     for _ in sets:
