@@ -10,6 +10,13 @@ def _located(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path on a mounted file system (`file:`); None if it is elsewhere."""
+    system, file = _located(spark, path)
+    uri = system.makeQualified(file).toUri()
+    return str(uri.getPath()) if uri.getScheme() == "file" else None
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small file; None if it is absent."""
     system, file = _located(spark, path)

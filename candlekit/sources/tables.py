@@ -22,7 +22,8 @@ from candlekit.operators.prices import moment
 from candlekit.operators.upsert import merge
 from candlekit.schema import KEY_COLUMNS, ValidationError, quoted
 from candlekit.session import staged
-from candlekit.sources.files import delete, files_below, move, read_text, subfolders, write_text
+from candlekit.sources.files import delete, files_below, local_path, move, read_text, subfolders, write_text
+from candlekit.sources.folders import codec_for, write_folders
 
 #: Names of columns that reading adds, and of folders that readers skip.
 FILE = "_stored_file"
@@ -132,14 +133,17 @@ def write_table(df: DataFrame, path: str, partitions: list[str], sort: list[str]
     file per task and partition, merges small partitions into one task and, by
     adaptive execution, splits a partition that holds many of the rows over
     several tasks. Files are sorted, so that a time filter skips pages.
+
+    A folder per ticker on a mounted file system is written by the tasks themselves, if they
+    can write all of the columns as Spark would.
     """
-    (
-        df.hint("rebalance", *[F.col(name) for name in partitions])
-        .sortWithinPartitions(*partitions, *sort)
-        .write.mode("append")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    ready = df.hint("rebalance", *[F.col(name) for name in partitions]).sortWithinPartitions(*partitions, *sort)
+    local = local_path(df.sparkSession, path) if "ticker" in partitions else None
+    codec = codec_for(df, partitions) if local else None
+    if codec:
+        write_folders(ready, local, partitions, codec, f"{local}/{PENDING}{uuid.uuid4().hex}")
+    else:
+        ready.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def replace_files(
