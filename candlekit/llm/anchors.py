@@ -8,6 +8,9 @@ Every task sketches the anchors of its rows; the partial sketches are merged buc
 bucket into sketches with `ROWS` rows of `CELLS` cells, of which one bit per cell is kept:
 hit twice or more. A count is never too low, so no repeated window is lost. The number of
 buckets follows the number of anchors, so sketches don't fill up as the table grows.
+
+Where the merged sketch is too large to be sent to the executors, `told` sends the anchors to
+the sketch instead, 12 bytes each, and those that are estimated to be repeated back to their rows.
 """
 
 from collections.abc import Callable, Iterator
@@ -30,6 +33,12 @@ LOAD = 0.25
 SKETCH_BYTES = 64 << 20
 #: Anchors or windows that a task combines before it hands rows on.
 BUFFER = 1 << 20
+#: Neighbouring buckets whose sketches `told` makes in one call.
+GROUP = 4
+#: Pairs known to be repeated that `told` hands on in one row.
+PAIRS = 1 << 16
+ASKED = np.dtype([("anchor", "<u8"), ("key", "<i4")])
+LOW = np.uint64(0xFFFFFFFF)
 #: What stands for a null doc_id where rows are joined.
 NO_ID = -(1 << 63)
 
@@ -111,19 +120,31 @@ class Estimate:
         return found
 
 
+def bucket_count(rows: DataFrame, bytes_per_anchor: int) -> int:
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(1, int(size / bytes_per_anchor / (LOAD * CELLS)) + 1)
+
+
 def sketch(rows: DataFrame, find: Find, bytes_per_anchor: int) -> tuple[int, DataFrame]:
     """Number of buckets, and the merged sketch: (bucket, bits) for buckets with anchors."""
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(1, int(size / bytes_per_anchor / (LOAD * CELLS)) + 1)
+    buckets = bucket_count(rows, bytes_per_anchor)
+    return buckets, merged_sketch(rows, find, buckets)
+
+
+def merged_sketch(rows: DataFrame, find: Find, buckets: int) -> DataFrame:
     partial = rows.select("text").mapInArrow(
         lambda batches: _partial_sketches(find, buckets, batches), "bucket BIGINT, cells BINARY"
     )
-    return buckets, stage(partial.groupBy("bucket").applyInPandas(_merge, "bucket BIGINT, bits BINARY"), "sketch")
+    return stage(partial.groupBy("bucket").applyInPandas(_merge, "bucket BIGINT, bits BINARY"), "sketch")
+
+
+def fits(buckets: int, limit: int = SKETCH_BYTES) -> bool:
+    return buckets * BUCKET_BYTES <= limit
 
 
 def estimate(buckets: int, merged: DataFrame, limit: int = SKETCH_BYTES) -> Estimate | None:
     """The merged sketch as a function, if it is no larger than `limit`; else None."""
-    if buckets * BUCKET_BYTES > limit:
+    if not fits(buckets, limit):
         return None
     bits = np.zeros(buckets * BUCKET_BYTES, np.uint8)
     for row in merged.toLocalIterator():
@@ -148,3 +169,79 @@ def keep_estimated(rows: DataFrame, buckets: int, merged: DataFrame) -> DataFram
         return left.filter(pa.array(found))
 
     return rows.groupBy("bucket").cogroup(merged.groupBy("bucket")).applyInArrow(meet, schema)
+
+
+def pairs(rows: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+    """A number for each row (or key) and the lower half of the anchor."""
+    return (rows.astype(np.int64).view(np.uint64) << np.uint64(32) | anchors.view(np.uint64) & LOW).view(np.int64)
+
+
+def _asked(find: Callable, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, asked, known): a buffer's anchors with the keys of their rows, packed by group of
+    buckets. Of an anchor two at most are sent there, which tells that it is repeated; the
+    others are known to be, and go anywhere as pairs."""
+    held, size = [], 0
+    groups = -(-buckets // GROUP)
+
+    def flush():
+        anchors, keys = (np.concatenate(part) for part in zip(*held))
+        order = np.argsort(anchors)
+        anchors, keys = anchors[order], keys[order]
+        more = np.zeros(len(anchors), bool)
+        more[2:] = anchors[2:] == anchors[:-2]
+        asked = np.empty(int((~more).sum()), ASKED)
+        asked["anchor"], asked["key"] = anchors[~more], keys[~more]
+        part = (asked["anchor"] % np.uint64(buckets)).astype(np.int64) // GROUP
+        order = np.argsort(part, kind="stable")
+        names, first = np.unique(part[order], return_index=True)
+        asked, ends = asked[order], np.append(first[1:], len(order))
+        known = np.unique(pairs(keys[more], anchors[more]))
+        known = [known[i : i + PAIRS] for i in range(0, len(known), PAIRS)]
+        away = [int(mix(x[:1].view(np.uint64))[0] % np.uint64(groups)) for x in known]
+        columns = [
+            pa.array([*names.tolist(), *away], pa.int64()),
+            pa.array([*(asked[a:b].tobytes() for a, b in zip(first, ends)), *[None] * len(known)], pa.binary()),
+            pa.array([*[None] * len(names), *(x.tobytes() for x in known)], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "asked", "known"])
+
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        for chunk in chunks(batch.column("text")):
+            anchors, row = find(chunk)
+            held.append((anchors, keys[chunk.first + row]))
+            size += len(anchors)
+            if size >= BUFFER:
+                yield flush()
+                held, size = [], 0
+    if size:
+        yield flush()
+
+
+def _told(buckets: int, table: pa.Table) -> pa.Table:
+    """(key, anchor) of those anchors of a group of buckets whose cells are all hit twice or more."""
+    asked = [np.frombuffer(x, ASKED) for x in table.column("asked").to_pylist() if x is not None]
+    asked = np.concatenate(asked) if asked else np.zeros(0, ASKED)
+    anchors = np.ascontiguousarray(asked["anchor"])
+    bucket, cells = _cells(anchors, buckets)
+    found = np.ones(len(anchors), bool)
+    for i, cell in enumerate(cells):
+        at = bucket % GROUP * CELLS + cell - i * CELLS
+        found &= (np.bincount(at, minlength=1) > 1)[at]
+    known = [np.frombuffer(x, np.int64) for x in table.column("known").to_pylist() if x is not None]
+    every = np.unique(np.concatenate([pairs(asked["key"][found], anchors[found]), *known]))
+    columns = [pa.array((every >> 32).astype(np.int32)), pa.array(every.astype(np.uint32).view(np.int32))]
+    return pa.table(columns, names=["key", "anchor"])
+
+
+def told(rows: DataFrame, find: Callable, buckets: int) -> DataFrame:
+    """(key, anchors): per key the lower halves of the anchors of its texts that are estimated to be repeated.
+
+    `rows` has key (INT) and text; `find` gives a chunk's anchors, once where each stands, and their rows.
+    Another anchor of the text may have the same lower half, so this tells too many at most.
+    """
+    asked = rows.select("key", "text").mapInArrow(
+        lambda batches: _asked(find, buckets, batches), "part BIGINT, asked BINARY, known BINARY"
+    )
+    found = asked.groupBy("part").applyInArrow(lambda table: _told(buckets, table), "key INT, anchor INT")
+    return found.groupBy("key").agg(F.collect_list("anchor").alias("anchors"))

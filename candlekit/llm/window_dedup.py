@@ -9,7 +9,10 @@ repeated. A task first combines its own windows, so a passage that stands in a t
 of all rows sends one window per buffer, not one per row.
 
 The merged sketch is sent to the executors while it is smaller than `SKETCH_BYTES`; beyond
-that the windows are sent to the buckets of the sketch. The result is the same.
+that the anchors are sent to the buckets of the sketch, and the repeated ones back to their
+texts (`anchors.told`). Texts are then shuffled once, by `key`, for all steps that read them, and
+texts that also stand under a smaller doc_id send nothing: all their windows are repeated.
+The result is the same.
 """
 
 from collections.abc import Callable, Iterator
@@ -21,11 +24,16 @@ from pyspark.sql import functions as F
 
 from candlekit.llm import anchors as A
 from candlekit.llm.textbytes import Chunk, chunks, gram_hashes, mix, sliding_minimum, text_arrays, word_hashes, words
+from candlekit.session import stage
 
 WINDOW = 20
 RUN = 8
 #: About the bytes of text per anchor: six per word, an anchor per seven words.
 BYTES_PER_ANCHOR = 42
+#: No text with fewer bytes has a window.
+LEAST_BYTES = 2 * WINDOW - 1
+#: Length of a run that goes on to the end of its text.
+WHOLE = (1 << 31) - 1
 ROWS = "bucket BIGINT, anchor BIGINT, h1 BIGINT, h2 BIGINT, doc BIGINT, mark BIGINT, start BIGINT, n BIGINT"
 
 
@@ -44,15 +52,42 @@ def _anchors(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return values, places
 
 
+def _placed_anchors(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The anchors, once where each stands, and their rows in the chunk."""
+    *_, rows, values, places = _whole_windows(chunk)
+    new = np.ones(len(places), bool)
+    new[1:] = places[1:] != places[:-1]
+    return values[new], rows[new]
+
+
+def _by_sketch(repeated: Callable) -> Callable:
+    return lambda batch: lambda rows, values: repeated(values)
+
+
+def _by_list(batch: pa.RecordBatch) -> Callable:
+    """Which anchors are in the list (`anchors`) of their row."""
+    lists = batch.column("anchors")
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    listed = np.unique(A.pairs(owner, lists.flatten().to_numpy().astype(np.int64)))
+
+    def repeated(rows, values):
+        asked = A.pairs(rows, values)
+        at = np.minimum(np.searchsorted(listed, asked), max(len(listed) - 1, 0))
+        return listed[at] == asked if len(listed) else np.zeros(len(asked), bool)
+
+    return repeated
+
+
 def _batch(anchor, h1, h2, doc, mark, start, n, buckets: int) -> pa.RecordBatch:
     bucket = (anchor.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
     columns = [bucket, anchor.view(np.int64), h1, h2, doc, mark, start, n]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[part.split()[0] for part in ROWS.split(", ")])
 
 
-def _candidates(repeated: Callable, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of equal windows of a buffer the first, with n = 0; the others are known to be
-    repeated: they go on as runs of n windows from `start`, in no group."""
+def _candidates(judge: Callable, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows with a repeated anchor, which `judge(batch)` tells by row and anchor. Of equal
+    windows of a buffer the first, with n = 0; the others are known to be repeated: they go on
+    as runs of n windows from `start`, in no group."""
     held, size = [], 0
 
     def flush():
@@ -80,9 +115,10 @@ def _candidates(repeated: Callable, buckets: int, batches: Iterator[pa.RecordBat
 
     for batch in batches:
         docs, marks = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
+        repeated = judge(batch)
         for chunk in chunks(batch.column("text")):
             spans, hashes, begins, rows, values, _ = _whole_windows(chunk)
-            keep = repeated(values)
+            keep = repeated(chunk.first + rows, values)
             if not keep.any():
                 continue
             begins, rows, values = begins[keep], rows[keep], values[keep]
@@ -98,23 +134,54 @@ def _candidates(repeated: Callable, buckets: int, batches: Iterator[pa.RecordBat
         yield from flush()
 
 
-def repeated_windows(docs: DataFrame, sketch_bytes: int = A.SKETCH_BYTES) -> DataFrame:
+def _later(found: DataFrame) -> DataFrame:
     """(doc, mark, start, n): runs of n windows, from word `start`, that also start earlier."""
-    rows = A.keyed(docs)
-    buckets, merged = A.sketch(rows, _anchors, BYTES_PER_ANCHOR)
-    known = A.estimate(buckets, merged, sketch_bytes)
-    if known:
-        shared = docs.sparkSession.sparkContext.broadcast(known)
-        found = rows.mapInArrow(lambda batches: _candidates(shared.value, buckets, batches), ROWS)
-    else:
-        every = rows.mapInArrow(lambda batches: _candidates(lambda a: np.ones(len(a), bool), buckets, batches), ROWS)
-        found = A.keep_estimated(every, buckets, merged)
     # Runs have n > 0 and are in groups of their own.
     first = Window.partitionBy("h1", "h2", "n").orderBy("doc", "mark", "start")
     later = found.withColumn("place", F.rank().over(first)).filter("place > 1 or n > 0")
     return later.select("doc", "mark", "start", F.greatest("n", F.lit(1)).alias("n"))
 
 
+def _with_runs(rows: DataFrame, buckets: int) -> DataFrame:
+    """(doc, text, runs), the windows being compared with a sketch that is sent to the executors."""
+    merged = A.merged_sketch(rows, _anchors, buckets)
+    shared = rows.sparkSession.sparkContext.broadcast(A.estimate(buckets, merged, buckets * A.BUCKET_BYTES))
+    found = rows.mapInArrow(lambda batches: _candidates(_by_sketch(shared.value), buckets, batches), ROWS)
+    runs = _later(found).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    return rows.join(runs, ["doc", "mark"], "left").select("doc", "text", "runs")
+
+
+def _later_copies(rows: DataFrame) -> DataFrame:
+    """(key, doc, mark) of the rows whose text also stands under a smaller doc_id."""
+    digest = F.sha2("text", 256)
+    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "a"), (16, "b"))]
+    texts = rows.filter(F.octet_length("text") >= LEAST_BYTES).select("key", "doc", "mark", *halves)
+    firsts = texts.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    copies = texts.join(stage(firsts, "repeated-texts"), ["a", "b"]).filter("doc > first")
+    return stage(copies.select("key", "doc", "mark").distinct(), "later-copies")
+
+
+def _with_runs_by_key(rows: DataFrame, buckets: int) -> DataFrame:
+    """(doc, text, runs), without sending the sketch anywhere.
+
+    Other documents may have the same key, so what is joined by it names its document, or may
+    hold too much. All joins of the rows are left joins by key, of all their columns, so that
+    one exchange of them serves all.
+    """
+    rows = rows.withColumn("key", F.hash("doc", "mark"))
+    copies = _later_copies(rows)
+    by_key = copies.groupBy("key").agg(F.collect_list(F.struct("doc", "mark")).alias("copies"))
+    is_copy = F.coalesce(F.array_contains("copies", F.struct("doc", "mark")), F.lit(False))
+    told = A.told(rows.join(by_key, "key", "left").filter(~is_copy), _placed_anchors, buckets)
+    asked = rows.join(told, "key", "left").filter("anchors is not null").select("doc", "mark", "text", "anchors")
+    runs = _later(asked.mapInArrow(lambda batches: _candidates(_by_list, buckets, batches), ROWS))
+    runs = runs.select(F.hash("doc", "mark").alias("key"), "doc", "mark", "start", "n")
+    whole = copies.select("key", "doc", "mark", F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("n"))
+    runs = runs.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("doc", "mark", "start", "n")).alias("all"))
+    own = F.filter("all", lambda run: (run["doc"] == F.col("doc")) & (run["mark"] == F.col("mark")))
+    return rows.join(runs, "key", "left").select("doc", "text", own.alias("runs"))
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words of their runs, joined by one space."""
     for batch in batches:
@@ -125,7 +192,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # bytes.split() cuts at 0x20 and 0x09 to 0x0D, the separators of `words`.
             parts = data[bounds[i] : bounds[i + 1]].tobytes().split()
             total.append(len(parts))
-            if runs[i].is_valid:
+            if runs[i].is_valid and len(parts) >= WINDOW:
                 drop = np.zeros(len(parts), bool)
                 for run in runs[i].as_py():
                     drop[run["start"] : run["start"] + run["n"] + WINDOW - 1] = True
@@ -153,8 +220,8 @@ def without_repeated_windows(docs: DataFrame, sketch_bytes: int = A.SKETCH_BYTES
     of the text; rows that repeat both are one document and give the same result each. Other
     columns are not read. An empty table gives an empty result.
     """
-    runs = repeated_windows(docs, sketch_bytes).groupBy("doc", "mark")
-    runs = runs.agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    joined = A.keyed(docs).join(runs, ["doc", "mark"], "left").select("doc", "text", "runs")
+    rows = A.keyed(docs)
+    buckets = A.bucket_count(rows, BYTES_PER_ANCHOR)
+    joined = (_with_runs if A.fits(buckets, sketch_bytes) else _with_runs_by_key)(rows, buckets)
     cut = joined.mapInArrow(_cut, "doc BIGINT, n_words BIGINT, n_removed BIGINT, kept STRING")
     return cut.select(A.doc_id(), "n_words", "n_removed", "kept")
