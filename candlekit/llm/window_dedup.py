@@ -11,8 +11,9 @@ of all rows sends one window per buffer, not one per row.
 The merged sketch is sent to the executors while it is smaller than `SKETCH_BYTES`; beyond
 that the anchors are sent to the buckets of the sketch, and the repeated ones back to their
 texts (`anchors.told`). Texts are then shuffled once, by `key`, for all steps that read them, and
-texts that also stand under a smaller doc_id send nothing: all their windows are repeated.
-The result is the same.
+texts that also stand under a smaller doc_id send nothing: all their windows are repeated. The
+key is made of the smallest hash of a text's runs, so near copies mostly meet in one task, which
+sends their common windows once. The result is the same.
 """
 
 from collections.abc import Callable, Iterator
@@ -34,7 +35,15 @@ BYTES_PER_ANCHOR = 42
 LEAST_BYTES = 2 * WINDOW - 1
 #: Length of a run that goes on to the end of its text.
 WHOLE = (1 << 31) - 1
-ROWS = "bucket BIGINT, anchor BIGINT, h1 BIGINT, h2 BIGINT, doc BIGINT, mark BIGINT, start BIGINT, n BIGINT"
+#: Words of the runs that tell near copies: the fewer, the more edits they stand.
+NEAR_RUN = 4
+#: Texts that about share a key, and the most groups of more texts that are told to the executors.
+TOGETHER = 16
+LARGE_GROUPS = 1 << 20
+ROWS = "h1 BIGINT, h2 BIGINT, key INT, doc BIGINT, mark BIGINT, start BIGINT, n BIGINT"
+ABOUT = "near BIGINT, doc BIGINT, mark BIGINT, a BIGINT, b BIGINT"
+COPIES = "key INT, doc BIGINT, mark BIGINT"
+KEYED = "key INT, doc BIGINT, mark BIGINT, text STRING"
 
 
 def _whole_windows(chunk: Chunk):
@@ -60,10 +69,6 @@ def _placed_anchors(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return values[new], rows[new]
 
 
-def _by_sketch(repeated: Callable) -> Callable:
-    return lambda batch: lambda rows, values: repeated(values)
-
-
 def _by_list(batch: pa.RecordBatch) -> Callable:
     """Which anchors are in the list (`anchors`) of their row."""
     lists = batch.column("anchors")
@@ -78,54 +83,88 @@ def _by_list(batch: pa.RecordBatch) -> Callable:
     return repeated
 
 
-def _batch(anchor, h1, h2, doc, mark, start, n, buckets: int) -> pa.RecordBatch:
-    bucket = (anchor.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-    columns = [bucket, anchor.view(np.int64), h1, h2, doc, mark, start, n]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[part.split()[0] for part in ROWS.split(", ")])
+def _batch(schema: str, *columns) -> pa.RecordBatch:
+    columns = [x if isinstance(x, pa.Array) else pa.array(x) for x in columns]
+    return pa.RecordBatch.from_arrays(columns, names=[part.split()[0] for part in schema.split(", ")])
+
+
+def _near(batch: pa.RecordBatch) -> np.ndarray:
+    """Per row the smallest hash of its runs, which near copies mostly share; without a window its mark."""
+    near = batch.column("mark").to_numpy().astype(np.int64)
+    for chunk in chunks(batch.column("text")):
+        spans = words(chunk)
+        long = np.flatnonzero(np.diff(spans.first) >= WINDOW)
+        if len(long):
+            runs = np.append(gram_hashes(word_hashes(chunk.data, spans), NEAR_RUN), np.uint64(0))
+            within = np.stack([spans.first[long], spans.first[long + 1] - NEAR_RUN + 1], axis=1).ravel()
+            near[chunk.first + long] = np.minimum.reduceat(runs, within)[::2].view(np.int64)
+    return near
+
+
+def _keys(groups: tuple[np.ndarray, np.ndarray], near: np.ndarray, docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """A key for each row, from `near`; `groups` has those values that more rows share than belong together, and their parts."""
+    names, parts = groups
+    part = np.zeros(len(near), np.uint64)
+    if len(names):
+        at = np.minimum(np.searchsorted(names, near), len(names) - 1)
+        row = mix(docs.view(np.uint64) ^ mix(marks.view(np.uint64)))
+        part = np.where(names[at] == near, row % parts[at] + np.uint64(1), part)
+    return (mix(near.view(np.uint64) ^ mix(part)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield _batch(ABOUT, _near(batch), *(batch.column(name) for name in ("doc", "mark", "a", "b")))
+
+
+def _with_keys(groups: tuple[np.ndarray, np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their key. They have `near`, or the text that it is made of."""
+    for batch in batches:
+        docs, marks = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
+        whole = "text" in batch.schema.names
+        keys = _keys(groups, _near(batch) if whole else batch.column("near").to_numpy(), docs, marks)
+        yield _batch(KEYED, keys, docs, marks, batch.column("text")) if whole else _batch(COPIES, keys, docs, marks)
 
 
-def _candidates(judge: Callable, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(judge: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows with a repeated anchor, which `judge(batch)` tells by row and anchor. Of equal
     windows of a buffer the first, with n = 0; the others are known to be repeated: they go on
     as runs of n windows from `start`, in no group."""
     held, size = [], 0
 
     def flush():
-        anchor, h1, h2, doc, mark, start = (np.concatenate(part) for part in zip(*held))
+        h1, h2, key, doc, mark, start = (np.concatenate(part) for part in zip(*held))
         order = np.lexsort((start, mark, doc, h2, h1))
-        anchor, h1, h2, doc, mark, start = (x[order] for x in (anchor, h1, h2, doc, mark, start))
+        h1, h2, key, doc, mark, start = (x[order] for x in (h1, h2, key, doc, mark, start))
         new = np.ones(len(h1), bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
         head = np.flatnonzero(new)[np.cumsum(new) - 1]
         later = (doc != doc[head]) | (mark != mark[head]) | (start != start[head])
-        none = np.zeros(int(new.sum()), np.int64)
-        yield _batch(anchor[new], h1[new], h2[new], doc[new], mark[new], start[new], none, buckets)
+        yield _batch(ROWS, h1[new], h2[new], key[new], doc[new], mark[new], start[new], np.zeros(int(new.sum()), np.int64))
         if later.any():
-            doc, mark, start, anchor = doc[later], mark[later], start[later], anchor[later]
+            key, doc, mark, start = key[later], doc[later], mark[later], start[later]
             order = np.lexsort((start, mark, doc))
-            doc, mark, start, anchor = doc[order], mark[order], start[order], anchor[order]
+            key, doc, mark, start = key[order], doc[order], mark[order], start[order]
             begin = np.ones(len(doc), bool)
             begin[1:] = (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]) | (start[1:] > start[:-1] + 1)
             at = np.flatnonzero(begin)
             last = np.append(at[1:], len(doc)) - 1
             spread = mix(start[at].astype(np.uint64) ^ mark[at].view(np.uint64)).view(np.int64)
-            yield _batch(
-                anchor[at], spread, doc[at], doc[at], mark[at], start[at], start[last] - start[at] + 1, buckets
-            )
+            yield _batch(ROWS, spread, doc[at], key[at], doc[at], mark[at], start[at], start[last] - start[at] + 1)
 
     for batch in batches:
-        docs, marks = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
+        keys, docs, marks = (batch.column(name).to_numpy() for name in ("key", "doc", "mark"))
         repeated = judge(batch)
         for chunk in chunks(batch.column("text")):
             spans, hashes, begins, rows, values, _ = _whole_windows(chunk)
             keep = repeated(chunk.first + rows, values)
             if not keep.any():
                 continue
-            begins, rows, values = begins[keep], rows[keep], values[keep]
+            begins, rows = begins[keep], rows[keep]
             h1 = gram_hashes(hashes, WINDOW)[begins].view(np.int64)
             h2 = gram_hashes(mix(hashes ^ np.uint64(0x5BD1E995)), WINDOW)[begins].view(np.int64)
             row = rows + chunk.first
-            held.append((values, h1, h2, docs[row], marks[row], begins - spans.first[rows]))
+            held.append((h1, h2, keys[row], docs[row], marks[row], begins - spans.first[rows]))
             size += len(begins)
             if size >= A.BUFFER:
                 yield from flush()
@@ -135,50 +174,76 @@ def _candidates(judge: Callable, buckets: int, batches: Iterator[pa.RecordBatch]
 
 
 def _later(found: DataFrame) -> DataFrame:
-    """(doc, mark, start, n): runs of n windows, from word `start`, that also start earlier."""
+    """(key, doc, mark, start, n): runs of n windows, from word `start`, that also start earlier."""
     # Runs have n > 0 and are in groups of their own.
     first = Window.partitionBy("h1", "h2", "n").orderBy("doc", "mark", "start")
     later = found.withColumn("place", F.rank().over(first)).filter("place > 1 or n > 0")
-    return later.select("doc", "mark", "start", F.greatest("n", F.lit(1)).alias("n"))
+    return later.select("key", "doc", "mark", "start", F.greatest("n", F.lit(1)).alias("n"))
 
 
 def _with_runs(rows: DataFrame, buckets: int) -> DataFrame:
     """(doc, text, runs), the windows being compared with a sketch that is sent to the executors."""
     merged = A.merged_sketch(rows, _anchors, buckets)
     shared = rows.sparkSession.sparkContext.broadcast(A.estimate(buckets, merged, buckets * A.BUCKET_BYTES))
-    found = rows.mapInArrow(lambda batches: _candidates(_by_sketch(shared.value), buckets, batches), ROWS)
+    found = rows.withColumn("key", F.lit(0)).mapInArrow(
+        lambda batches: _candidates(lambda batch: lambda row, values: shared.value(values), batches), ROWS
+    )
     runs = _later(found).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     return rows.join(runs, ["doc", "mark"], "left").select("doc", "text", "runs")
 
 
-def _later_copies(rows: DataFrame) -> DataFrame:
+def _large_groups(about: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Values of `near` that too many rows share, in order, and the parts to cut these rows into."""
+    together = max(TOGETHER, about.count() // LARGE_GROUPS)
+    large = about.groupBy("near").count().filter(F.col("count") > together).orderBy("near").toArrow()
+    return large.column("near").to_numpy(), -(-large.column("count").to_numpy() // together).astype(np.uint64)
+
+
+def _of_many_texts(about: DataFrame, keyed: Callable) -> DataFrame:
+    """(key, docs): per key its documents whose doc_id stands on several texts."""
+    names = about.groupBy("doc").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low < high")
+    rows = about.join(stage(names.select("doc"), "several-texts"), "doc").select("near", "doc", "mark").distinct()
+    return rows.mapInArrow(keyed, COPIES).groupBy("key").agg(F.collect_set("doc").alias("docs"))
+
+
+def _later_copies(about: DataFrame, keyed: Callable) -> DataFrame:
     """(key, doc, mark) of the rows whose text also stands under a smaller doc_id."""
-    digest = F.sha2("text", 256)
-    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "a"), (16, "b"))]
-    texts = rows.filter(F.octet_length("text") >= LEAST_BYTES).select("key", "doc", "mark", *halves)
-    firsts = texts.groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    copies = texts.join(stage(firsts, "repeated-texts"), ["a", "b"]).filter("doc > first")
-    return stage(copies.select("key", "doc", "mark").distinct(), "later-copies")
+    firsts = about.filter("a is not null").groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    copies = about.join(stage(firsts, "repeated-texts"), ["a", "b"]).filter("doc > first").select("near", "doc", "mark")
+    return stage(copies.distinct().mapInArrow(keyed, COPIES), "later-copies")
 
 
 def _with_runs_by_key(rows: DataFrame, buckets: int) -> DataFrame:
     """(doc, text, runs), without sending the sketch anywhere.
 
     Other documents may have the same key, so what is joined by it names its document, or may
-    hold too much. All joins of the rows are left joins by key, of all their columns, so that
-    one exchange of them serves all.
+    hold too much. All joins of the rows are by key and of all their columns, so that one exchange
+    of them serves all.
     """
-    rows = rows.withColumn("key", F.hash("doc", "mark"))
-    copies = _later_copies(rows)
+    digest = F.when(F.octet_length("text") >= LEAST_BYTES, F.sha2("text", 256))
+    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(name) for at, name in ((1, "a"), (16, "b"))]
+    about = stage(rows.select("*", *halves).mapInArrow(_about, ABOUT), "about-texts")
+    shared = rows.sparkSession.sparkContext.broadcast(_large_groups(about))
+
+    def keyed(batches):
+        return _with_keys(shared.value, batches)
+
+    copies = _later_copies(about, keyed)
+    # A key that may be null would be filtered before some joins only, by an exchange of its own.
+    rows = rows.mapInArrow(keyed, KEYED).withColumn("key", F.coalesce("key", F.lit(0)))
     by_key = copies.groupBy("key").agg(F.collect_list(F.struct("doc", "mark")).alias("copies"))
     is_copy = F.coalesce(F.array_contains("copies", F.struct("doc", "mark")), F.lit(False))
     told = A.told(rows.join(by_key, "key", "left").filter(~is_copy), _placed_anchors, buckets)
-    asked = rows.join(told, "key", "left").filter("anchors is not null").select("doc", "mark", "text", "anchors")
-    runs = _later(asked.mapInArrow(lambda batches: _candidates(_by_list, buckets, batches), ROWS))
-    runs = runs.select(F.hash("doc", "mark").alias("key"), "doc", "mark", "start", "n")
-    whole = copies.select("key", "doc", "mark", F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("n"))
-    runs = runs.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("doc", "mark", "start", "n")).alias("all"))
-    own = F.filter("all", lambda run: (run["doc"] == F.col("doc")) & (run["mark"] == F.col("mark")))
+    told = told.join(by_key, "key", "left").join(_of_many_texts(about, keyed), "key", "left")
+    asked = rows.join(told, "key", "left").filter("anchors is not null").filter(~is_copy)
+    # Marks are 8 bytes a window. Where a doc_id has one text, 0 stands for its mark.
+    mark = F.when(F.array_contains("docs", F.col("doc")), F.col("mark")).otherwise(F.lit(0))
+    asked = asked.select("key", "doc", mark.alias("mark"), "text", "anchors")
+    found = asked.mapInArrow(lambda batches: _candidates(_by_list, batches), ROWS)
+    whole = copies.select("*", F.lit(0).cast("long").alias("start"), F.lit(WHOLE).cast("long").alias("n"))
+    runs = F.collect_list(F.struct("doc", "mark", "start", "n"))
+    runs = _later(found).unionByName(whole).groupBy("key").agg(runs.alias("all"))
+    own = F.filter("all", lambda run: (run["doc"] == F.col("doc")) & run["mark"].isin(F.lit(0), F.col("mark")))
     return rows.join(runs, "key", "left").select("doc", "text", own.alias("runs"))
 
 

@@ -61,7 +61,7 @@ def test_windows_without_repetition_are_not_shuffled(spark):
     frame = without_repeated_windows(spark.createDataFrame(texts, SCHEMA), 0)
     assert Counter(map(tuple, frame.collect())) == plain(texts)
     # The texts themselves, and 12 bytes an anchor; the hashes of the windows alone are over twice the text.
-    assert 0 < shuffled_bytes(frame) < 2 * sum(len(text) for _, text in texts)
+    assert 0 < shuffled_bytes(frame) < 1.6 * sum(len(text) for _, text in texts)
 
 
 @pytest.mark.parametrize("sketch_bytes", [0, 64 << 20])
