@@ -208,8 +208,8 @@ def _of_many_texts(about: DataFrame, keyed: Callable) -> DataFrame:
 
 def _later_copies(about: DataFrame, keyed: Callable) -> DataFrame:
     """(key, doc, mark) of the rows whose text also stands under a smaller doc_id."""
-    firsts = about.filter("a is not null").groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    copies = about.join(stage(firsts, "repeated-texts"), ["a", "b"]).filter("doc > first").select("near", "doc", "mark")
+    texts = about.filter("a is not null").groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    copies = about.join(stage(texts.filter("first < last"), "repeated-texts"), ["a", "b"]).filter("doc > first").select("near", "doc", "mark")
     return stage(copies.distinct().mapInArrow(keyed, COPIES), "later-copies")
 
 
@@ -233,7 +233,9 @@ def _with_runs_by_key(rows: DataFrame, buckets: int) -> DataFrame:
     rows = rows.mapInArrow(keyed, KEYED).withColumn("key", F.coalesce("key", F.lit(0)))
     by_key = copies.groupBy("key").agg(F.collect_list(F.struct("doc", "mark")).alias("copies"))
     is_copy = F.coalesce(F.array_contains("copies", F.struct("doc", "mark")), F.lit(False))
-    told = A.told(rows.join(by_key, "key", "left").filter(~is_copy), _placed_anchors, buckets)
+    # Not a broadcast join: its tasks would make keys and ask anchors at once, with twice the Python workers.
+    first = rows.join(by_key.hint("merge"), "key", "left").filter(~is_copy)
+    told = A.told(first, _placed_anchors, buckets)
     told = told.join(by_key, "key", "left").join(_of_many_texts(about, keyed), "key", "left")
     asked = rows.join(told, "key", "left").filter("anchors is not null").filter(~is_copy)
     # Marks are 8 bytes a window. Where a doc_id has one text, 0 stands for its mark.
