@@ -102,7 +102,7 @@ def _near(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _keys(groups: tuple[np.ndarray, np.ndarray], near: np.ndarray, docs: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """A key for each row, from `near`; `groups` has those values that more rows share than belong together, and their parts."""
+    """A key for each row, from `near`; `groups` has the values that too many rows share, and their parts."""
     names, parts = groups
     part = np.zeros(len(near), np.uint64)
     if len(names):
@@ -208,9 +208,10 @@ def _of_many_texts(about: DataFrame, keyed: Callable) -> DataFrame:
 
 def _later_copies(about: DataFrame, keyed: Callable) -> DataFrame:
     """(key, doc, mark) of the rows whose text also stands under a smaller doc_id."""
-    texts = about.filter("a is not null").groupBy("a", "b").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    copies = about.join(stage(texts.filter("first < last"), "repeated-texts"), ["a", "b"]).filter("doc > first").select("near", "doc", "mark")
-    return stage(copies.distinct().mapInArrow(keyed, COPIES), "later-copies")
+    texts = about.filter("a is not null").groupBy("a", "b")
+    texts = texts.agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    copies = about.join(stage(texts.filter("first < last"), "repeated-texts"), ["a", "b"]).filter("doc > first")
+    return stage(copies.select("near", "doc", "mark").distinct().mapInArrow(keyed, COPIES), "later-copies")
 
 
 def _with_runs_by_key(rows: DataFrame, buckets: int) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlekit.llm import anchors as A
+from candlekit.llm import window_dedup as W
 from candlekit.llm.textbytes import chunks
 from candlekit.llm.window_dedup import _placed_anchors, without_repeated_windows
 
@@ -20,10 +21,10 @@ def phrase(seed, n):
     return [f"{rng.randrange(10**6):06d}" for _ in range(n)]
 
 
-def plain(texts):
-    """Counts of (doc_id, n_words, n_removed, kept), by the definition."""
+def plain(texts, rank=str):
+    """Counts of (doc_id, n_words, n_removed, kept), by the definition; `rank` orders the texts of one doc_id."""
     seen, expected = set(), {}
-    for doc, text in sorted({(-1 if d is None else d, t) for d, t in texts}):
+    for doc, text in sorted({(-1 if d is None else d, t) for d, t in texts}, key=lambda row: (row[0], rank(row[1]))):
         found, gone = text.split(), set()
         for i in range(len(found) - 19):
             if tuple(found[i : i + 20]) in seen:
@@ -75,18 +76,50 @@ def test_copies_of_a_text(spark, sketch_bytes):
     assert cut(spark, texts, sketch_bytes) == plain(texts)
 
 
+def test_near_copies_on_few_doc_ids(spark):
+    """More near copies than go together; doc_ids stand on several texts, or are missing, beside plain ones."""
+    base, texts = phrase(4, 90), []
+    for i in range(70):
+        text = " ".join(base[: i % 60] + phrase(200 + i, 1) + base[i % 60 + 1 :])
+        texts.append(((None, i % 5, 100 + i)[i % 3], text))
+    texts += [(i % 4, text) for i, (_, text) in enumerate(texts[:20])] + [(0, " ".join(phrase(5, 25)))] * 2
+    marks = spark.createDataFrame([(text,) for _, text in texts], "text STRING").select("text", F.xxhash64("text"))
+    assert cut(spark, texts) == plain(texts, dict(map(tuple, marks.collect())).get)
+
+
+def near(texts):
+    marks = pa.array(np.arange(len(texts), dtype=np.int64))
+    return W._near(pa.RecordBatch.from_arrays([marks, pa.array(texts)], names=["mark", "text"]))
+
+
 def test_documents_with_one_key(spark):
     """What is joined by a key goes to its own document only."""
-    one, other = " ".join(phrase(4, 60)), " ".join(phrase(5, 60) + phrase(4, 60)[10:40])
-    ids = spark.range(1, 300_000).select(F.col("id").alias("doc"))
-    marked = ids.crossJoin(spark.createDataFrame([(one,), (other,)], "text STRING").select(F.xxhash64("text").alias("mark"), "text"))
-    same = marked.groupBy(F.hash("doc", "mark").alias("key")).agg(F.collect_list(F.struct("doc", "text")).alias("rows"))
-    found = same.filter(F.size(F.array_distinct("rows.text")) == 2).select("rows").first()
-    assert found
-    texts = [tuple(row) for row in found["rows"]] + [(0, one), (300_001, other), (300_002, other + " more " + one)]
+    one = phrase(4, 60)
+    texts = [" ".join(phrase(400 + i, 10 + i % 3 * 30) + one + phrase(500 + i, 40)) for i in range(60)] + [" ".join(one)]
+    values = near(texts)
+    texts = [text for text, value in zip(texts, values) if value == values[-1]]
+    assert 4 <= len(texts)
+    texts = [(i, text) for i, text in enumerate(texts[-12:])] + [(20, " ".join(phrase(8, 50)))]
     assert cut(spark, texts) == plain(texts)
 
 
+def test_near_copies_share_a_key():
+    """Texts whose smallest run is the same; large groups are cut into parts, the same for equal rows."""
+    base = phrase(9, 200)
+    texts = [" ".join(base[:150] + phrase(300 + i, 1) + base[151:]) for i in range(40)] + [" ".join(phrase(10, 200)), "few words"]
+    marks = np.arange(len(texts), dtype=np.int64)
+    values = near(texts)
+    shared, count = Counter(values.tolist()).most_common(1)[0]
+    assert count >= 35 and values[40] != shared and values[41] == 41
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    keys = W._keys(none, values, marks, marks)
+    assert len(set(keys[values == shared].tolist())) == 1 and keys[40] != keys[0]
+    groups = np.array([shared]), np.array([3], np.uint64)
+    parts = W._keys(groups, values, marks, marks)
+    assert len(set(parts[values == shared].tolist())) == 3 and (parts[values != shared] == keys[values != shared]).all()
+    assert (W._keys(groups, values[::-1], marks[::-1], marks[::-1]) == parts[::-1]).all()
+
+
 def test_an_anchor_is_asked_twice_at_most():
     """The others of a buffer are told without being asked, wherever they stand."""
     texts = [" ".join(phrase(6, 30) + phrase(i, 30)) for i in range(100, 140)]
@@ -103,6 +136,7 @@ def test_an_anchor_is_asked_twice_at_most():
     (chunk,) = chunks(batch.column("text"))
     anchors, rows = _placed_anchors(chunk)
     often = Counter(anchors.tolist())
-    repeated = {(int(keys[r]), int(np.int64(a & 0xFFFFFFFF).astype(np.int32))) for a, r in zip(anchors.tolist(), rows) if often[a] > 1}
+    low = anchors.astype(np.uint32).view(np.int32).tolist()
+    repeated = {(int(keys[r]), b) for a, b, r in zip(anchors.tolist(), low, rows) if often[a] > 1}
     assert len(repeated) >= 3 * len(texts) and repeated <= told
     assert len(told) < len(repeated) + 10
